@@ -73,10 +73,12 @@ class Replay:
         per_slice = self.timed.groupBy("slice_id").agg(
             F.max("et_us").alias("batch_max_us"),
             F.count(F.lit(1)).alias("n_events"),
-            F.count_if(F.col("event_type") == F.lit(self.counted_type)).alias("n_trips"))
+            F.count_if(F.col("event_type") == F.lit(self.counted_type)).alias("n_trips"),
+            F.min("pt_us").alias("min_pt_us"), F.max("pt_us").alias("max_pt_us"))
         scanned = prefix_scan(per_slice, "slice_id", "batch_max_us", SLICE_BLOCK)
         out = scanned.select(
             "slice_id", F.col("idx").alias("batch_id"), "n_events", "n_trips", "batch_max_us",
+            "min_pt_us", "max_pt_us",
             (F.col("prev_max") - lateness).alias("watermark_before_us"),
             (F.col("upto_max") - lateness).alias("watermark_after_us"))
         return materialize(out)
