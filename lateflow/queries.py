@@ -427,3 +427,298 @@ FROM batches"""))
 def q_arrival_order_check(spark, sf_dir):
     r = replay_for(spark, sf_dir)
     return Q.arrival_order_check(r.batches)
+
+
+# ------------------------------------------------------- versioned counts table
+LEDGER_SQL = f"""
+commits0 AS (
+  SELECT f.batch_id, f.has_surge, b.max_pt_us AS ts_us,
+         dense_rank() OVER (ORDER BY f.batch_id) AS version
+  FROM (SELECT batch_id, max(CASE WHEN surge_n > 0 THEN 1 ELSE 0 END) AS has_surge
+        FROM fin GROUP BY batch_id) f JOIN batches b USING (batch_id)
+),
+commits AS (
+  SELECT *, has_surge = 1 AND COALESCE(max(has_surge) OVER (ORDER BY batch_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0 AS evolves
+  FROM commits0
+),
+late_commits0 AS (
+  SELECT f.batch_id, f.has_surge, b.max_pt_us AS ts_us,
+         dense_rank() OVER (ORDER BY f.batch_id) AS version
+  FROM (SELECT batch_id, max(CASE WHEN surge_multiplier IS NOT NULL THEN 1 ELSE 0 END)
+               AS has_surge FROM late GROUP BY batch_id) f JOIN batches b USING (batch_id)
+),
+late_commits AS (
+  SELECT *, has_surge = 1 AND COALESCE(max(has_surge) OVER (ORDER BY batch_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0 AS evolves
+  FROM late_commits0
+),
+busiest AS (
+  SELECT event_date AS day, count(*) AS n FROM late_trips WHERE event_date IS NOT NULL
+  GROUP BY event_date ORDER BY n DESC, day LIMIT 1
+),
+published AS (SELECT f.*, c.version FROM fin f JOIN commits c USING (batch_id)),
+correction AS (
+  SELECT window_start_us, window_start_us + {O.W} AS window_end_us, pickup_zone AS zone,
+         count(*) AS trip_count, CAST(-1 AS BIGINT) AS batch_id,
+         CAST(make_timestamp(window_start_us) AS DATE) AS window_date
+  FROM late_trips WHERE event_date IN (SELECT day FROM busiest)
+  GROUP BY window_start_us, pickup_zone
+),
+snap_before AS (
+  SELECT window_start_us, window_end_us, zone, trip_count, batch_id, window_date FROM published
+),
+snap_bad AS (
+  SELECT * FROM snap_before WHERE window_date NOT IN (SELECT day FROM busiest)
+  UNION ALL SELECT window_start_us, window_end_us, zone, trip_count, batch_id, window_date
+  FROM correction
+),
+nver AS (SELECT COALESCE(max(version), 0) AS n, min(ts_us) AS first_ts, max(ts_us) AS last_ts
+         FROM commits),
+hist AS (
+  SELECT CAST(0 AS BIGINT) AS version, (SELECT first_ts FROM nver) - 1000000 AS timestamp_us,
+         'CREATE TABLE' AS operation, CAST(NULL AS VARCHAR) AS predicate,
+         CAST(NULL AS VARCHAR) AS schema_evolution, CAST(NULL AS VARCHAR) AS job,
+         CAST(NULL AS BIGINT) AS restored_to
+  UNION ALL
+  SELECT version, ts_us, 'WRITE', NULL,
+         CASE WHEN evolves THEN 'added avg_surge_multiplier at batch ' || CAST(batch_id AS VARCHAR) END,
+         NULL, NULL FROM commits
+  UNION ALL
+  SELECT (SELECT n FROM nver) + 1, (SELECT last_ts FROM nver) + 60000000, 'WRITE',
+         'window_date = ''' || CAST(day AS VARCHAR) || '''', NULL, 'late-data-correction', NULL
+  FROM busiest
+  UNION ALL
+  SELECT (SELECT n FROM nver) + 2, (SELECT last_ts FROM nver) + 120000000, 'RESTORE',
+         NULL, NULL, NULL, (SELECT n FROM nver) FROM busiest
+)"""
+
+SNAP_COLS = "window_start_us, window_end_us, zone, trip_count, batch_id, " \
+            "CAST(window_date AS VARCHAR) AS window_date"
+
+_LEDGERS: dict[tuple, object] = {}
+
+
+def ledger_for(spark, sf_dir):
+    from lateflow.operators.versions import ReplayLedger
+
+    r = replay_for(spark, sf_dir)
+    key = id(r)
+    if key not in _LEDGERS:
+        _LEDGERS[key] = ReplayLedger(r)
+    return _LEDGERS[key]
+
+
+def _dates(df):
+    return df.select(*[F.date_format(c, "yyyy-MM-dd").alias(c)
+                       if isinstance(df.schema[c].dataType, T.DateType) else F.col(c)
+                       for c in df.columns])
+
+
+@register("busiest_late_day", O.with_replay_more(LEDGER_SQL, """
+SELECT CAST(day AS VARCHAR) AS day, n FROM busiest"""))
+def q_busiest_late_day(spark, sf_dir):
+    return _dates(ledger_for(spark, sf_dir).day)
+
+
+@register("late_trips_on_day", O.with_replay_more(LEDGER_SQL, """
+SELECT event_id, window_start_us, window_end_us, pickup_zone,
+       CAST(event_date AS VARCHAR) AS event_date
+FROM late_trips WHERE event_date IN (SELECT day FROM busiest)"""))
+def q_late_trips_on_day(spark, sf_dir):
+    from lateflow.operators.health import late_trips
+
+    led = ledger_for(spark, sf_dir)
+    lt = late_trips(led.late).join(
+        F.broadcast(led.day.select(F.col("day").alias("event_date"))), "event_date")
+    return for_oracle(lt.select("event_id", "window_start", "window_end", "pickup_zone",
+                                "event_date"))
+
+
+@register("zone_totals", O.with_replay_more(LEDGER_SQL, """
+SELECT zone, CAST(sum(trip_count) AS BIGINT) AS trips FROM snap_before
+WHERE window_date IN (SELECT day FROM busiest) GROUP BY zone"""))
+def q_zone_totals(spark, sf_dir):
+    return ledger_for(spark, sf_dir).zone_totals("before")
+
+
+@register("bad_correction", O.with_replay_more(LEDGER_SQL, f"""
+SELECT {SNAP_COLS} FROM correction"""))
+def q_bad_correction(spark, sf_dir):
+    return _dates(ledger_for(spark, sf_dir).correction_rows.select(
+        "window_start_us", "window_end_us", "zone", "trip_count", "batch_id", "window_date"))
+
+
+@register("asof_version", O.with_replay_more(LEDGER_SQL, f"""
+SELECT {SNAP_COLS} FROM snap_bad"""))
+def q_asof_version(spark, sf_dir):
+    return _dates(ledger_for(spark, sf_dir).snapshot("bad"))
+
+
+@register("restore_snapshot", O.with_replay_more(LEDGER_SQL, f"""
+SELECT {SNAP_COLS} FROM snap_before"""))
+def q_restore_snapshot(spark, sf_dir):
+    return _dates(ledger_for(spark, sf_dir).snapshot("current"))
+
+
+@register("snapshot_diff", O.with_replay_more(LEDGER_SQL, """
+SELECT COALESCE(zone, 'TOTAL') AS zone, CAST(sum(b) AS BIGINT) AS "before",
+       CAST(sum(a) AS BIGINT) AS "after", CAST(sum(b) - sum(a) AS BIGINT) AS lost
+FROM (SELECT zone, trip_count AS b, 0 AS a FROM snap_before
+      WHERE window_date IN (SELECT day FROM busiest)
+      UNION ALL SELECT zone, 0, trip_count FROM correction) u
+GROUP BY ROLLUP (zone)"""))
+def q_snapshot_diff(spark, sf_dir):
+    return ledger_for(spark, sf_dir).snapshot_diff()
+
+
+@register("snapshot_equal", O.with_replay_more(LEDGER_SQL, """
+SELECT (SELECT count(*) FROM (SELECT * FROM snap_before EXCEPT ALL
+                              SELECT * FROM snap_before) x) AS only_in_restored,
+       (SELECT count(*) FROM (SELECT * FROM snap_before EXCEPT ALL
+                              SELECT * FROM snap_before) y) AS only_in_before"""))
+def q_snapshot_equal(spark, sf_dir):
+    return ledger_for(spark, sf_dir).snapshot_equal()
+
+
+@register("daily_two_versions", O.with_replay_more(LEDGER_SQL, f"""
+SELECT CAST(day AS VARCHAR) AS day, counted_current, counted_bad, late,
+       {O.late_share('counted_current', 'late')} AS late_pct_current,
+       {O.late_share('counted_bad', 'late')} AS late_pct_bad
+FROM (
+  SELECT COALESCE(cb.day, lt.day) AS day, COALESCE(cb.counted_current, 0) AS counted_current,
+         COALESCE(cb.counted_bad, 0) AS counted_bad, COALESCE(lt.late, 0) AS late
+  FROM (SELECT COALESCE(c.day, b.day) AS day, c.counted_current, b.counted_bad
+        FROM (SELECT window_date AS day, CAST(sum(trip_count) AS BIGINT) AS counted_current
+              FROM snap_before GROUP BY window_date) c
+        FULL OUTER JOIN (SELECT window_date AS day, CAST(sum(trip_count) AS BIGINT) AS counted_bad
+                         FROM snap_bad GROUP BY window_date) b ON c.day = b.day) cb
+  FULL OUTER JOIN (SELECT event_date AS day, count(*) AS late FROM late_trips
+                   WHERE event_date IS NOT NULL GROUP BY event_date) lt ON cb.day = lt.day) d"""))
+def q_daily_two_versions(spark, sf_dir):
+    return _dates(ledger_for(spark, sf_dir).daily_two_versions())
+
+
+@register("history", O.with_replay_more(LEDGER_SQL, """
+SELECT version, timestamp_us, operation, predicate, schema_evolution, job, restored_to
+FROM hist ORDER BY version DESC"""))
+def q_history(spark, sf_dir):
+    return ledger_for(spark, sf_dir).history()
+
+
+@register("tagged_versions", O.with_replay_more(LEDGER_SQL, """
+SELECT max(version) AS bad_version, max(version) - 1 AS version_before
+FROM hist WHERE job = 'late-data-correction' HAVING max(version) IS NOT NULL"""))
+def q_tagged_versions(spark, sf_dir):
+    return ledger_for(spark, sf_dir).tagged_versions()
+
+
+@register("asof_timestamp", O.with_replay_more(LEDGER_SQL, """
+SELECT version, timestamp_us,
+       max(version) OVER (ORDER BY timestamp_us ROWS BETWEEN UNBOUNDED PRECEDING
+                          AND CURRENT ROW) AS resolves_to
+FROM hist"""))
+def q_asof_timestamp(spark, sf_dir):
+    return ledger_for(spark, sf_dir).asof_timestamp()
+
+
+SCHEMA_CHANGES_SQL = """
+SELECT 'zone_window_counts' AS table_name, version, ts_us AS timestamp_us,
+       'added avg_surge_multiplier at batch ' || CAST(batch_id AS VARCHAR) AS change
+FROM commits WHERE evolves
+UNION ALL
+SELECT 'late_events', version, ts_us,
+       'added surge_multiplier at batch ' || CAST(batch_id AS VARCHAR)
+FROM late_commits WHERE evolves"""
+
+
+@register("schema_changes", O.with_replay_more(LEDGER_SQL, SCHEMA_CHANGES_SQL))
+def q_schema_changes(spark, sf_dir):
+    return ledger_for(spark, sf_dir).schema_changes()
+
+
+@register("schema_diff", O.with_replay_more(LEDGER_SQL, f"""
+SELECT table_name, version - 1 AS version_before, version AS version_after,
+       regexp_extract(change, '^added (\\w+) at', 1) AS added_column
+FROM ({SCHEMA_CHANGES_SQL}) c"""))
+def q_schema_diff(spark, sf_dir):
+    return ledger_for(spark, sf_dir).schema_diff()
+
+
+@register("null_split", O.with_replay_more(LEDGER_SQL, """
+SELECT 'zone_window_counts' AS table_name, CAST(window_date AS VARCHAR) AS partition,
+       count(*) AS rows, count(*) FILTER (WHERE surge_n > 0) AS with_value
+FROM published GROUP BY window_date
+UNION ALL
+SELECT 'late_events', CAST(event_date AS VARCHAR), count(*), count(surge_multiplier)
+FROM late GROUP BY event_date"""))
+def q_null_split(spark, sf_dir):
+    return ledger_for(spark, sf_dir).null_split()
+
+
+@register("txn_versions", O.with_replay_more(LEDGER_SQL, """
+SELECT 'zone_window_counts' AS table_name, 'replay' AS app_id,
+       (SELECT max(batch_id) FROM commits) AS txn_version
+UNION ALL
+SELECT 'late_events', 'replay', (SELECT max(batch_id) FROM late_commits)"""))
+def q_txn_versions(spark, sf_dir):
+    return ledger_for(spark, sf_dir).txn_versions()
+
+
+@register("describe", O.with_replay_more(LEDGER_SQL, """
+SELECT 'zone_window_counts' AS table_name, (SELECT max(version) FROM hist) AS version,
+       (SELECT count(*) FROM snap_before) AS rows,
+       (SELECT count(*) FILTER (WHERE operation = 'WRITE') FROM hist) AS writes,
+       (SELECT count(*) FILTER (WHERE predicate IS NOT NULL) FROM hist) AS overwrites,
+       (SELECT count(*) FILTER (WHERE operation = 'RESTORE') FROM hist) AS restores
+UNION ALL
+SELECT 'late_events', (SELECT COALESCE(max(version), 0) FROM late_commits),
+       (SELECT count(*) FROM late), (SELECT count(*) FROM late_commits), 0, 0"""))
+def q_describe(spark, sf_dir):
+    return ledger_for(spark, sf_dir).describe()
+
+
+@register("additive_correction", O.with_replay_more(WINDOW_COMPLETENESS_SQL, """
+SELECT window_start_us, zone, counted AS published, late, counted + late AS corrected
+FROM wcomp"""))
+def q_additive_correction(spark, sf_dir):
+    return ledger_for(spark, sf_dir).additive_correction()
+
+
+@register("diagnose_days", O.with_replay_more(LEDGER_SQL, f"""
+SELECT CAST(day AS VARCHAR) AS day, counted, late, late_pct, tunnel_late_pct, other_late_pct,
+       round_even(median_delay_min, 1) AS median_delay_min,
+       CASE WHEN late = 0 AND counted > 0 THEN 'late_events_missing_upstream'
+            WHEN counted < 0.2 * median_day_counted THEN 'partition_overwritten'
+            WHEN late_pct >= 10.0 THEN 'watermark_ran_ahead'
+            WHEN tunnel_late_pct >= 3.0 * other_late_pct AND median_delay_min > 10.0
+                 AND median_delay_min <= 30.0 THEN 'tunnel_buffering_exceeds_lateness'
+            WHEN tunnel_late_pct >= 3.0 * other_late_pct AND median_delay_min >= 60.0
+                 THEN 'devices_offline_hours'
+            ELSE 'healthy' END AS cause
+FROM (
+  SELECT *, {O.late_share('counted', 'late')} AS late_pct,
+         round_even(CAST(100.0 AS DOUBLE) * late_tunnel
+                    / NULLIF(counted_tunnel + late_tunnel, 0), 1) AS tunnel_late_pct,
+         round_even(CAST(100.0 AS DOUBLE) * (late - late_tunnel)
+                    / NULLIF((counted - counted_tunnel) + (late - late_tunnel), 0), 1)
+           AS other_late_pct,
+         median(counted) OVER () AS median_day_counted
+  FROM (
+    SELECT COALESCE(dc.day, dl.day) AS day, COALESCE(dc.counted, 0) AS counted,
+           COALESCE(dc.counted_tunnel, 0) AS counted_tunnel, COALESCE(dl.late, 0) AS late,
+           COALESCE(dl.late_tunnel, 0) AS late_tunnel, dl.median_delay_min
+    FROM (SELECT window_date AS day, CAST(sum(trip_count) AS BIGINT) AS counted,
+                 CAST(sum(CASE WHEN zone IN ('Z03', 'Z04') THEN trip_count ELSE 0 END)
+                      AS BIGINT) AS counted_tunnel
+          FROM snap_bad GROUP BY window_date) dc
+    FULL OUTER JOIN (
+          SELECT event_date AS day, count(*) AS late,
+                 count(*) FILTER (WHERE zone IN ('Z03', 'Z04')) AS late_tunnel,
+                 median(arrival_delay_min) AS median_delay_min
+          FROM late_trips WHERE event_date IS NOT NULL GROUP BY event_date) dl
+    ON dc.day = dl.day) d0) d1"""))
+def q_diagnose_days(spark, sf_dir):
+    from lateflow.operators.versions import diagnose_days
+
+    return _dates(diagnose_days(ledger_for(spark, sf_dir), "bad"))
