@@ -12,6 +12,9 @@ run as one batch query over all events:
 * finalized   = by the first batch whose post-batch watermark reaches window_end,
                 stamped with that watermark; windows no batch reaches stay open.
 
+Products: ``window_counts`` (on-time counts per window and zone) and ``late_rows``
+(the side output) are materialized once per replay; reports are built on them.
+
 Plan shape: one partial/final aggregate over the events gives one row per slice
 (bounded by time span / slice width, not by data volume); two-level scans over that
 table give batch ids and watermarks; it is materialized, size-checked and broadcast
@@ -75,7 +78,8 @@ class Replay:
             F.count(F.lit(1)).alias("n_events"),
             F.count_if(F.col("event_type") == F.lit(self.counted_type)).alias("n_trips"),
             F.min("pt_us").alias("min_pt_us"), F.max("pt_us").alias("max_pt_us"))
-        scanned = prefix_scan(per_slice, "slice_id", "batch_max_us", SLICE_BLOCK)
+        # one row per non-empty slice: materialized so the scan below reads metadata only
+        scanned = prefix_scan(materialize(per_slice), "slice_id", "batch_max_us", SLICE_BLOCK)
         out = scanned.select(
             "slice_id", F.col("idx").alias("batch_id"), "n_events", "n_trips", "batch_max_us",
             "min_pt_us", "max_pt_us",
@@ -93,10 +97,11 @@ class Replay:
                                                        "watermark_before_us")))
 
     # -------------------------------------------------------------- outputs
-    @property
+    @cached_property
     def late_rows(self) -> DataFrame:
-        """Side output rows (internal form: epoch micros)."""
-        return self.classified.filter(F.col("late_reason").isNotNull())
+        """Side output rows (internal form: epoch micros). One of the replay's two
+        products, so it is written once (checkpoint folder) and reports read it."""
+        return materialize(self.classified.filter(F.col("late_reason").isNotNull()))
 
     def late_events(self) -> DataFrame:
         """The ``late_events`` table: input columns + routing metadata."""
@@ -114,10 +119,13 @@ class Replay:
         """On-time counted events per (window, zone) over all batches."""
         on_time = self.classified.filter(
             F.col("late_reason").isNull() & (F.col("event_type") == F.lit(self.counted_type)))
-        return on_time.groupBy("window_start_us", F.col(self.zone_column).alias("zone")).agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            F.sum("surge_multiplier").alias("surge_sum"),
-            F.count("surge_multiplier").alias("surge_n"))
+        # the replay's aggregated product: written once, read by the as-of lookup and
+        # the final join
+        return materialize(
+            on_time.groupBy("window_start_us", F.col(self.zone_column).alias("zone")).agg(
+                F.count(F.lit(1)).alias("trip_count"),
+                F.sum("surge_multiplier").alias("surge_sum"),
+                F.count("surge_multiplier").alias("surge_n")))
 
     @cached_property
     def finalizing(self) -> DataFrame:

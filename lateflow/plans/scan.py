@@ -34,15 +34,28 @@ def materialize(df: DataFrame) -> DataFrame:
     Reliable checkpoint (never ``localCheckpoint``): the data lives in the shared
     folder named by ``spark.checkpoint.dir``, so a lost executor does not lose it.
     """
+    import uuid
+
+    from pyspark.sql import Observation
+
     from lateflow.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    obs = Observation(f"rows-{uuid.uuid4().hex}")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    out._materialized_rows = obs.get["rows"]  # counted while writing: no extra job
+    return out
+
+
+def row_count(df: DataFrame) -> int:
+    n = getattr(df, "_materialized_rows", None)
+    return df.count() if n is None else n
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count check; ``df`` should be materialized."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    """Broadcast hint only behind a row-count check (taken when ``df`` was
+    materialized); above the bound the join stays a shuffle join."""
+    return F.broadcast(df) if row_count(df) <= max_rows else df
 
 
 def prefix_scan(df: DataFrame, key: str, value: str, block_width: int) -> DataFrame:
@@ -51,21 +64,22 @@ def prefix_scan(df: DataFrame, key: str, value: str, block_width: int) -> DataFr
     * ``prev_max``: max of ``value`` over rows with a smaller key (null if none);
     * ``upto_max``: the same including the row itself;
     * ``idx``: 0-based position of the row (dense index of keys).
-    Nulls in ``value`` are ignored, as ``max`` does.
+    Nulls in ``value`` are ignored, as ``max`` does. ``df`` should be cheap to read
+    twice (materialized metadata).
     """
     blk = "_scan_blk"
-    d = df.withColumn(blk, floor_div(key, block_width))
     w = Window.partitionBy(blk).orderBy(key)
-    d = (d.withColumn("_in_prev", F.max(value).over(
-            w.rowsBetween(Window.unboundedPreceding, -1)))
-          .withColumn("_in_idx", F.row_number().over(w) - 1))
+    d = (df.withColumn(blk, floor_div(key, block_width))
+         .withColumn("_in_prev", F.max(value).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+         .withColumn("_in_idx", F.row_number().over(w) - 1))
+    # block totals come from the block-partitioned rows (no further exchange); the carry
+    # table has one row per block that holds rows, so it is broadcast
     wb = Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (df.withColumn(blk, floor_div(key, block_width))
-              .groupBy(blk).agg(F.max(value).alias("_bmax"), F.count(F.lit(1)).alias("_bn"))
-              .select(blk, F.max("_bmax").over(wb).alias("_carry_max"),
-                      F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_carry_n")))
+    carry = (d.groupBy(blk).agg(F.max(value).alias("_bmax"), F.count(F.lit(1)).alias("_bn"))
+             .select(blk, F.max("_bmax").over(wb).alias("_carry_max"),
+                     F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_carry_n")))
     prev = F.greatest(F.col("_in_prev"), F.col("_carry_max"))
-    return (d.join(blocks, blk)
+    return (d.join(F.broadcast(carry), blk)
             .withColumn("prev_max", prev)
             .withColumn("upto_max", F.greatest(prev, F.col(value)))
             .withColumn("idx", (F.col("_carry_n") + F.col("_in_idx")).cast("long"))
