@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateflow.functions.timecols import epoch_us
+from lateflow.plans.rank import exact_median
 
 COUNTED_TYPE = "trip_started"
 
@@ -38,9 +39,11 @@ def late_by_zone(counts: DataFrame, late: DataFrame) -> DataFrame:
     """Counted and late trips per zone, late share, median arrival delay of late trips."""
     counted = counts.groupBy("zone").agg(F.sum("trip_count").alias("counted"))
     lt = late_trips(late).filter(F.col("zone").isNotNull())
-    per_zone = lt.groupBy("zone").agg(
-        F.count(F.lit(1)).alias("late"),
-        F.bround(F.median("arrival_delay_min"), 0).alias("median_delay_min"))
+    per_zone = lt.groupBy("zone").agg(F.count(F.lit(1)).alias("late"))
+    # exact median without holding a (possibly hot) zone in one aggregation buffer
+    median = exact_median(lt, ["zone"], "arrival_delay_min", "event_id", "_median")
+    per_zone = per_zone.join(median, "zone", "left").withColumn(
+        "median_delay_min", F.bround("_median", 0)).drop("_median")
     return (counted.join(per_zone, "zone", "full_outer")
             .select("zone",
                     F.coalesce("counted", F.lit(0)).cast("long").alias("counted"),

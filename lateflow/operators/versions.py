@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from lateflow.functions.timecols import date_of_us
 from lateflow.functions.trips import is_tunnel_zone
 from lateflow.operators import health as H
+from lateflow.plans.rank import exact_median
 from lateflow.plans.replay import Replay
-from lateflow.plans.scan import broadcast_if_small, materialize, prefix_scan
+from lateflow.plans.scan import broadcast_if_small, materialize, prefix_scan, row_count
 from lateflow.schemas import BAD_CORRECTION_JOB, COUNTS_TABLE, LATE_TABLE
 
 US_PER_S = 1_000_000
@@ -88,7 +89,8 @@ class ReplayLedger:
     def published(self) -> DataFrame:
         """Finalized rows with their commit version and window_date (vN snapshot)."""
         fin = self.replay.finalized_internal()
-        versions = broadcast_if_small(self.commits.select("batch_id", "version"))
+        versions = broadcast_if_small(self.commits.select("batch_id", "version"),
+                                      rows=row_count(self.commits))
         return (fin.join(versions, "batch_id")
                 .withColumn("window_date", date_of_us("window_start_us")))
 
@@ -318,8 +320,10 @@ def diagnose_days(ledger: ReplayLedger, which: str = "bad",
     lt = H.late_trips(ledger.late).filter(F.col("event_date").isNotNull())
     late = lt.groupBy(F.col("event_date").alias("day")).agg(
         F.count(F.lit(1)).alias("late"),
-        F.count_if(tunnel).alias("late_tunnel"),
-        F.median("arrival_delay_min").alias("median_delay_min"))
+        F.count_if(tunnel).alias("late_tunnel"))
+    median = exact_median(lt.withColumnRenamed("event_date", "day"), ["day"],
+                          "arrival_delay_min", "event_id", "median_delay_min")
+    late = late.join(median, "day", "left")
     d = (counted.join(late, "day", "full_outer")
          .select("day", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
                           for c in ("counted", "counted_tunnel", "late", "late_tunnel")],

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from lateflow.functions.timecols import (date_of_us, epoch_us, floor_div, floor_to,
                                          from_epoch_us, late_reason)
 from lateflow.plans.scan import (broadcast_if_small, first_at_or_after, materialize,
-                                 prefix_scan)
+                                 prefix_scan, row_count)
 from lateflow.schemas import (DEFAULT_POLICY, DEFAULT_SLICE_MINUTES, EVENT_NAMES,
                               US_PER_DAY, US_PER_MINUTE, LatenessPolicy)
 
@@ -91,7 +91,8 @@ class Replay:
     def classified(self) -> DataFrame:
         """Every event with batch id, the watermark it met, and its late reason."""
         meta = broadcast_if_small(
-            self.batches.select("slice_id", "batch_id", "watermark_before_us"))
+            self.batches.select("slice_id", "batch_id", "watermark_before_us"),
+            rows=row_count(self.batches))
         return (self.timed.join(meta, "slice_id")
                 .withColumn("late_reason", late_reason("et_us", "window_end_us",
                                                        "watermark_before_us")))

@@ -52,10 +52,13 @@ def row_count(df: DataFrame) -> int:
     return df.count() if n is None else n
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count check (taken when ``df`` was
-    materialized); above the bound the join stays a shuffle join."""
-    return F.broadcast(df) if row_count(df) <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       rows: int | None = None) -> DataFrame:
+    """Broadcast hint only behind a row-count check (``rows``, or the count taken when
+    ``df`` was materialized); above the bound the join stays a shuffle join, where AQE
+    splits skewed partitions."""
+    n = row_count(df) if rows is None else rows
+    return F.broadcast(df) if n <= max_rows else df
 
 
 def prefix_scan(df: DataFrame, key: str, value: str, block_width: int) -> DataFrame:
