@@ -53,6 +53,18 @@ def late_reason(event_us: str | Column, window_end_us: str | Column,
             .when(wm.isNotNull() & (end <= wm), F.lit("beyond_watermark")))
 
 
+def policy_reason(event_us, window_end_us, watermark_us, route_missing_zone: bool = False,
+                  zone="pickup_zone", event_type="event_type",
+                  counted_type: str = "trip_started") -> Column:
+    """``late_reason`` plus, when enabled, ``missing_zone`` for an otherwise on-time
+    counted row whose zone is null."""
+    base = late_reason(event_us, window_end_us, watermark_us)
+    if not route_missing_zone:
+        return base
+    no_zone = col_of(zone).isNull() & (col_of(event_type) == F.lit(counted_type))
+    return F.coalesce(base, F.when(no_zone, F.lit("missing_zone")))
+
+
 ISO_MS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 

@@ -166,11 +166,20 @@ class ReplayLedger:
                 .orderBy(F.col("version").desc()))
 
     def tagged_versions(self, job: str = BAD_CORRECTION_JOB) -> DataFrame:
-        """The most recent commit tagged ``job`` and the version before it."""
-        tagged = self.history().filter(F.col("job") == F.lit(job))
-        return tagged.agg(F.max("version").alias("bad_version")).select(
-            "bad_version", (F.col("bad_version") - 1).alias("version_before")).filter(
-            F.col("bad_version").isNotNull())
+        """The most recent commit tagged ``job``, the version before it, the first
+        schema-evolution version, and the day the tagged overwrite replaced (the quoted
+        literal of its predicate). No tagged commit -> no row."""
+        h = self.history()
+        is_job = F.col("job") == F.lit(job)
+        agg = h.agg(
+            F.max(F.when(is_job, F.col("version"))).alias("bad_version"),
+            F.min(F.when(F.col("schema_evolution").isNotNull(), F.col("version")))
+            .alias("first_evolution_version"),
+            F.max_by(F.split(F.col("predicate"), "'").getItem(1),
+                     F.when(is_job, F.col("version"))).alias("corrected_day"))
+        return agg.filter(F.col("bad_version").isNotNull()).select(
+            "bad_version", (F.col("bad_version") - 1).alias("version_before"),
+            "first_evolution_version", "corrected_day")
 
     def asof_timestamp(self) -> DataFrame:
         """For each commit time t: the version a read 'as of t' resolves to (the latest

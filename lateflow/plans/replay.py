@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateflow.functions.timecols import (date_of_us, epoch_us, floor_div, floor_to,
-                                         from_epoch_us, late_reason)
+                                         from_epoch_us, policy_reason)
 from lateflow.plans.scan import (broadcast_if_small, first_at_or_after, materialize,
                                  prefix_scan, row_count)
 from lateflow.schemas import (DEFAULT_POLICY, DEFAULT_SLICE_MINUTES, EVENT_NAMES,
@@ -94,8 +94,10 @@ class Replay:
             self.batches.select("slice_id", "batch_id", "watermark_before_us"),
             rows=row_count(self.batches))
         return (self.timed.join(meta, "slice_id")
-                .withColumn("late_reason", late_reason("et_us", "window_end_us",
-                                                       "watermark_before_us")))
+                .withColumn("late_reason", policy_reason(
+                    "et_us", "window_end_us", "watermark_before_us",
+                    self.policy.route_missing_zone, self.zone_column, "event_type",
+                    self.counted_type)))
 
     # -------------------------------------------------------------- outputs
     @cached_property

@@ -273,14 +273,14 @@ FULL OUTER JOIN (
   SELECT zone, count(*) AS late, round_even(median(arrival_delay_min), 0) AS median_delay_min
   FROM late_trips WHERE zone IS NOT NULL GROUP BY zone) lz ON c.zone = lz.zone"""))
 def q_late_by_zone(spark, sf_dir):
-    return H.late_by_zone(*_tables(spark, sf_dir))
+    return H.late_by_zone(*_tables(spark, sf_dir)).orderBy(F.col("late_pct").desc(), "zone")
 
 
 @register("delay_class_counts", O.with_replay("""
 SELECT _delay_class AS delay_class, count(*) AS n FROM late_trips
 WHERE _delay_class IS NOT NULL GROUP BY _delay_class"""))
 def q_delay_class_counts(spark, sf_dir):
-    return H.delay_class_counts(_tables(spark, sf_dir)[1])
+    return H.order_count_by(H.delay_class_counts(_tables(spark, sf_dir)[1]), ["delay_class"])
 
 
 WINDOW_COMPLETENESS_SQL = """
@@ -311,7 +311,8 @@ SELECT zone, count(*) AS windows, count(*) FILTER (WHERE completeness < 1) AS in
        round_even(avg(completeness), 3) AS mean_completeness
 FROM wcomp GROUP BY zone"""))
 def q_zone_health(spark, sf_dir):
-    return H.zone_health(H.window_completeness(*_tables(spark, sf_dir)))
+    return (H.zone_health(H.window_completeness(*_tables(spark, sf_dir)))
+            .orderBy("mean_completeness", "zone"))
 
 
 @register("worst_windows", O.with_replay_more(WINDOW_COMPLETENESS_SQL, """
@@ -345,21 +346,22 @@ daily AS (
 SELECT CAST(day AS VARCHAR) AS day, counted, late,
        {O.late_share('counted', 'late')} AS late_pct FROM daily"""))
 def q_daily_health(spark, sf_dir):
-    return for_oracle(H.daily_health(*_tables(spark, sf_dir)))
+    return for_oracle(H.daily_health(*_tables(spark, sf_dir)).orderBy("day"))
 
 
 @register("late_by_reason", O.with_replay("""
 SELECT late_reason, COALESCE(_delay_class, '-') AS delay_class, count(*) AS n
 FROM late GROUP BY late_reason, _delay_class"""))
 def q_late_by_reason(spark, sf_dir):
-    return H.late_by_reason(_tables(spark, sf_dir)[1])
+    return H.order_count_by(H.late_by_reason(_tables(spark, sf_dir)[1]),
+                            ["late_reason", "delay_class"])
 
 
 @register("late_trips_by_zone", O.with_replay("""
 SELECT pickup_zone, count(*) AS n FROM late WHERE event_type = 'trip_started'
 GROUP BY pickup_zone"""))
 def q_late_trips_by_zone(spark, sf_dir):
-    return H.late_trips_by_zone(_tables(spark, sf_dir)[1])
+    return H.order_count_by(H.late_trips_by_zone(_tables(spark, sf_dir)[1]), ["pickup_zone"])
 
 
 # -------------------------------------------------------------------- quality
@@ -552,13 +554,14 @@ def q_bad_correction(spark, sf_dir):
 @register("asof_version", O.with_replay_more(LEDGER_SQL, f"""
 SELECT {SNAP_COLS} FROM snap_bad"""))
 def q_asof_version(spark, sf_dir):
-    return _dates(ledger_for(spark, sf_dir).snapshot("bad"))
+    return _dates(ledger_for(spark, sf_dir).snapshot("bad").orderBy("window_start_us", "zone"))
 
 
 @register("restore_snapshot", O.with_replay_more(LEDGER_SQL, f"""
 SELECT {SNAP_COLS} FROM snap_before"""))
 def q_restore_snapshot(spark, sf_dir):
-    return _dates(ledger_for(spark, sf_dir).snapshot("current"))
+    return _dates(ledger_for(spark, sf_dir).snapshot("current")
+                  .orderBy("window_start_us", "zone"))
 
 
 @register("snapshot_diff", O.with_replay_more(LEDGER_SQL, """
@@ -607,8 +610,13 @@ def q_history(spark, sf_dir):
 
 
 @register("tagged_versions", O.with_replay_more(LEDGER_SQL, """
-SELECT max(version) AS bad_version, max(version) - 1 AS version_before
-FROM hist WHERE job = 'late-data-correction' HAVING max(version) IS NOT NULL"""))
+SELECT bad_version, bad_version - 1 AS version_before, first_evolution_version, corrected_day
+FROM (SELECT max(version) FILTER (WHERE job = 'late-data-correction') AS bad_version,
+             min(version) FILTER (WHERE schema_evolution IS NOT NULL) AS first_evolution_version,
+             arg_max(split_part(predicate, chr(39), 2), version)
+               FILTER (WHERE job = 'late-data-correction') AS corrected_day
+      FROM hist) t
+WHERE bad_version IS NOT NULL"""))
 def q_tagged_versions(spark, sf_dir):
     return ledger_for(spark, sf_dir).tagged_versions()
 

@@ -62,6 +62,9 @@ class LatenessPolicy:
 
     window_minutes: int = 15
     allowed_lateness_minutes: int = 10
+    # an on-time counted row without a zone cannot be published (zone is the key):
+    # when set it goes to the side output as ``missing_zone`` instead
+    route_missing_zone: bool = False
 
     @property
     def window_us(self) -> int:

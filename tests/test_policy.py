@@ -84,3 +84,20 @@ def test_state_store_load_before_returns_previous_version(spark, tmpdir_path):
         store.save(batch_id, {"max_event_time_us": max_et, "watermark_us": wm}, df)
     assert store.load_before(2)[0]["watermark_us"] == 30 * M  # replay of 2 starts from 1
     assert store.latest()[0]["watermark_us"] == 50 * M
+
+
+def test_missing_zone_is_routed_only_when_enabled(spark):
+    from lateflow.schemas import EVENT_SCHEMA
+    from lateflow.streaming.job import classify_batch
+
+    rows = spark.createDataFrame(
+        [("a", "trip_started", None), ("b", "trip_completed", None), ("c", "trip_started", "Z01")],
+        "event_id STRING, event_type STRING, pickup_zone STRING").selectExpr(
+        "event_id", "event_type", "pickup_zone",
+        "timestamp_micros(600000000) AS event_time")
+    off = dict(classify_batch(rows, None, POLICY).select("event_id", "late_reason").collect())
+    assert off == {"a": None, "b": None, "c": None}
+    routed = LatenessPolicy(15, 10, route_missing_zone=True)
+    on = dict(classify_batch(rows, None, routed).select("event_id", "late_reason").collect())
+    assert on == {"a": "missing_zone", "b": None, "c": None}
+    assert EVENT_SCHEMA  # the same columns a landed batch carries

@@ -70,3 +70,21 @@ def test_watermark_never_regresses(replay):
 def test_batch_ids_are_dense(replay):
     b = replay.batches.agg(F.min("batch_id"), F.max("batch_id"), F.count(F.lit(1))).first()
     assert b[0] == 0 and b[1] == b[2] - 1
+
+
+def test_no_on_time_row_falls_in_a_closed_window(replay):
+    # the guard of the per-batch step: an on-time row's window is still open
+    on_time = replay.classified.filter(F.col("late_reason").isNull())
+    assert on_time.filter(F.col("watermark_before_us").isNotNull()
+                          & (F.col("window_end_us") <= F.col("watermark_before_us"))).count() == 0
+
+
+def test_missing_zone_routing_keeps_reconciliation(spark):
+    trips = trip_events(spark, SF_SMALL).withColumn(
+        "pickup_zone", F.when(F.col("event_id").cast("long") % 50 == 0, F.lit(None))
+        .otherwise(F.col("pickup_zone")))
+    r = Replay(trips, LatenessPolicy(15, 10, route_missing_zone=True))
+    rec = r.reconcile().first()
+    assert rec["reconciles"]
+    assert r.late_rows.filter("late_reason = 'missing_zone'").count() > 0
+    assert r.finalized_internal().filter(F.col("zone").isNull()).count() == 0
