@@ -201,6 +201,24 @@ class ReplayLedger:
                      F.col("batch_id").cast("string")).alias("change"))
         return counts.unionByName(late)
 
+    def first_value_commit(self) -> DataFrame:
+        """Per table: the commit that first carried a value of the evolving column (the
+        one that evolves the schema), its batch, its rows and rows with a value."""
+        fin = self.replay.finalized_internal().groupBy("batch_id").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("surge_n") > 0).alias("rows_with_value"))
+        late = self.replay.late_rows.groupBy("batch_id").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count("surge_multiplier").alias("rows_with_value"))
+        cols = ["version", "batch_id", "rows", "rows_with_value"]
+        counts = (self.commits.filter("evolves").join(fin, "batch_id")
+                  .select(F.lit(COUNTS_TABLE).alias("table_name"),
+                          F.lit("avg_surge_multiplier").alias("column_name"), *cols))
+        late_part = (self.late_commits.filter("evolves").join(late, "batch_id")
+                     .select(F.lit(LATE_TABLE).alias("table_name"),
+                             F.lit("surge_multiplier").alias("column_name"), *cols))
+        return counts.unionByName(late_part)
+
     def schema_diff(self) -> DataFrame:
         """The column each table gained, with the versions just before and at the change."""
         return self.schema_changes().select(

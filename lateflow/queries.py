@@ -645,6 +645,23 @@ def q_schema_changes(spark, sf_dir):
     return ledger_for(spark, sf_dir).schema_changes()
 
 
+@register("first_value_commit", O.with_replay_more(LEDGER_SQL, """
+SELECT 'zone_window_counts' AS table_name, 'avg_surge_multiplier' AS column_name,
+       c.version, c.batch_id, f.rows, f.rows_with_value
+FROM commits c JOIN (SELECT batch_id, count(*) AS rows,
+                            count(*) FILTER (WHERE surge_n > 0) AS rows_with_value
+                     FROM fin GROUP BY batch_id) f USING (batch_id)
+WHERE c.evolves
+UNION ALL
+SELECT 'late_events', 'surge_multiplier', c.version, c.batch_id, l.rows, l.rows_with_value
+FROM late_commits c JOIN (SELECT batch_id, count(*) AS rows,
+                                 count(surge_multiplier) AS rows_with_value
+                          FROM late GROUP BY batch_id) l USING (batch_id)
+WHERE c.evolves"""))
+def q_first_value_commit(spark, sf_dir):
+    return ledger_for(spark, sf_dir).first_value_commit()
+
+
 @register("schema_diff", O.with_replay_more(LEDGER_SQL, f"""
 SELECT table_name, version - 1 AS version_before, version AS version_after,
        regexp_extract(change, '^added (\\w+) at', 1) AS added_column

@@ -20,13 +20,16 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+EXACT = False
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
@@ -99,6 +102,10 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
 def main(argv):
     from lateflow.session import build_session
 
+    global EXACT
+    if "--exact" in argv:
+        EXACT = True
+        argv = [a for a in argv if a != "--exact"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or None
     spark = build_session("local[8]", 8)
