@@ -27,6 +27,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of DataFrames that are gone are removed from the shared folder
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)

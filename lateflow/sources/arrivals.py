@@ -57,6 +57,10 @@ def adapt(events: DataFrame, annotate: bool = True) -> DataFrame:
     df = events.select(
         e.alias("_e"), t.alias("_t"), epoch_us("ts").alias("_et0"),
         F.col("user_id"), F.col("value"))
+    # A trip's schema version is fixed by its first event. The per-trip window runs on
+    # the five source columns, so nothing derived crosses its shuffle (groups of at most
+    # two rows: skew-free); queries that need no version prune it away entirely.
+    df = df.withColumn("_trip_first", F.min("_et0").over(Window.partitionBy("_t")))
     e, t = F.col("_e"), F.col("_t")
     started = F.pmod(e, F.lit(2)) == 0
     pick_no = F.lit(1) + F.pmod(_mod_hash(t, ZONE_PRIME, *PICKUP_HASH), F.lit(8))
@@ -82,10 +86,7 @@ def adapt(events: DataFrame, annotate: bool = True) -> DataFrame:
                                                F.col("_cls")))
             .withColumn("_delay", F.element_at(F.array(*delays), F.col("_cls"))))
 
-    # A trip's schema version is fixed by its first event: one row pair per trip id,
-    # so the per-trip window is a skew-free shuffle (groups of at most two rows).
-    trip_first = F.min("_et0").over(Window.partitionBy("_t"))
-    v2 = trip_first >= F.lit(SCHEMA_V2_FROM_US)
+    v2 = F.col("_trip_first") >= F.lit(SCHEMA_V2_FROM_US)
     surge = F.when(v2, F.lit(1.0) + F.lit(0.25) * F.pmod(t, F.lit(9)).cast("double"))
     km = (F.col("value").cast("decimal(12,2)") * F.lit("0.25").cast("decimal(3,2)"))
     surge_dec = F.coalesce(surge.cast("decimal(6,2)"), F.lit(1).cast("decimal(6,2)"))
