@@ -36,9 +36,13 @@ def floor_div(us: str | Column, width_us: int) -> Column:
     return (floor_to(us, width_us) / F.lit(width_us)).cast("long")
 
 
+US_PER_DAY = 86_400_000_000
+
+
 def date_of_us(us: str | Column) -> Column:
-    """UTC calendar date of an instant given in epoch micros (floors before day 0)."""
-    return F.to_date(F.timestamp_micros(col_of(us)))
+    """UTC calendar date of an instant given in epoch micros (floors before day 0).
+    Integer arithmetic, so it does not depend on the session time zone."""
+    return F.date_from_unix_date(floor_div(us, US_PER_DAY).cast("int"))
 
 
 def late_reason(event_us: str | Column, window_end_us: str | Column,
