@@ -101,3 +101,13 @@ def test_missing_zone_is_routed_only_when_enabled(spark):
     on = dict(classify_batch(rows, None, routed).select("event_id", "late_reason").collect())
     assert on == {"a": "missing_zone", "b": None, "c": None}
     assert EVENT_SCHEMA  # the same columns a landed batch carries
+
+
+def test_state_store_prunes_old_snapshots(spark, tmpdir_path):
+    store = StateStore(spark, tmpdir_path + "/state")
+    empty = spark.createDataFrame([], STATE_SCHEMA)
+    for b in range(5):
+        store.save(b, {"max_event_time_us": b, "watermark_us": b}, empty)
+    assert store.prune(2) == 3
+    assert store.versions() == [3, 4]
+    assert store.load_before(4)[0]["watermark_us"] == 3
