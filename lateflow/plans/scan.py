@@ -69,6 +69,11 @@ def prefix_scan(df: DataFrame, key: str, value: str, block_width: int) -> DataFr
     * ``idx``: 0-based position of the row (dense index of keys).
     Nulls in ``value`` are ignored, as ``max`` does. ``df`` should be cheap to read
     twice (materialized metadata).
+
+    The carry table is broadcast: it has one row per block that holds rows, so its size
+    is at most ``key span / block_width`` and at most the row count of ``df``. Every
+    caller scans a metadata table (one row per slice, commit or partition) with a width
+    that keeps it to a handful of rows.
     """
     blk = "_scan_blk"
     w = Window.partitionBy(blk).orderBy(key)
