@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lateflow.schemas import US_PER_DAY
+
 
 def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -36,9 +38,6 @@ def floor_div(us: str | Column, width_us: int) -> Column:
     return (floor_to(us, width_us) / F.lit(width_us)).cast("long")
 
 
-US_PER_DAY = 86_400_000_000
-
-
 def date_of_us(us: str | Column) -> Column:
     """UTC calendar date of an instant given in epoch micros (floors before day 0).
     Integer arithmetic, so it does not depend on the session time zone."""
