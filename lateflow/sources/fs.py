@@ -81,5 +81,9 @@ class HadoopFS:
         if fs.exists(self._path(path)):
             fs.delete(self._path(path), recursive)
 
+    def rename(self, src: str, dst: str) -> None:
+        if not self._fs(src).rename(self._path(src), self._path(dst)):
+            raise OSError(f"rename failed: {src} -> {dst}")
+
     def set_mtime(self, path: str, mtime_ms: int) -> None:
         self._fs(path).setTimes(self._path(path), int(mtime_ms), -1)
