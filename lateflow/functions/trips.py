@@ -7,17 +7,9 @@ from pyspark.sql import functions as F
 
 from lateflow.functions.timecols import col_of
 
-# The eight pricing zones (number, code, area, harbor tunnel or not).
-ZONES = [
-    (1, "Z01", "DOWNTOWN", False),
-    (2, "Z02", "WATERFRONT", False),
-    (3, "Z03", "HARBOR-TUNNEL-N", True),
-    (4, "Z04", "HARBOR-TUNNEL-S", True),
-    (5, "Z05", "NAVAL-BASE", False),
-    (6, "Z06", "AIRPORT", False),
-    (7, "Z07", "BEACH", False),
-    (8, "Z08", "UNIVERSITY", False),
-]
+# The zones' codes run from Z01 to Z08; these two are in the tunnel.
+ZONES = 8
+TUNNEL_ZONES = ("Z03", "Z04")
 
 # fare = (base + per_km * km) * surge, surge capped at 3.0 in quarter steps.
 FARE_BASE_USD = "2.50"
@@ -31,15 +23,14 @@ DELAY_BAND_ELSE = "very_late"
 
 
 def zone_dim(spark: SparkSession) -> DataFrame:
-    """The zone dimension: 8 fixed rows, safe to broadcast."""
-    return spark.createDataFrame(
-        [(code, area, tunnel) for _, code, area, tunnel in ZONES],
-        "zone STRING, zone_area STRING, is_tunnel BOOLEAN")
+    """The zone dimension, one row for each zone."""
+    return spark.range(1, ZONES + 1).select(
+        F.format_string("Z%02d", "id").alias("zone")).withColumn(
+        "is_tunnel", F.col("zone").isin(*TUNNEL_ZONES))
 
 
 def is_tunnel_zone(zone: str | Column) -> Column:
-    tunnels = [code for _, code, _, tunnel in ZONES if tunnel]
-    return col_of(zone).isin(tunnels)
+    return col_of(zone).isin(*TUNNEL_ZONES)
 
 
 def event_zone(event_type: str | Column = "event_type", pickup: str | Column = "pickup_zone",

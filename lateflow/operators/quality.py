@@ -22,37 +22,45 @@ def stream_summary(trips: DataFrame) -> DataFrame:
     kind = (F.when(F.col("_g1") == 0, F.lit("event_type"))
             .when(F.col("_g2") == 0, F.lit("delay_class"))
             .when(F.col("_g3") == 0, F.lit("schema_version")).otherwise(F.lit("events")))
-    key = F.coalesce(F.col("event_type"), F.col("_delay_class"),
-                     F.col("schema_version").cast("string"), F.lit("all"))
+    key = (F.when(F.col("_g1") == 0, F.col("event_type"))
+           .when(F.col("_g2") == 0, F.col("_delay_class"))
+           .when(F.col("_g3") == 0, F.col("schema_version").cast("string")).otherwise("all"))
     return g.select(kind.alias("kind"), key.alias("key"), "n")
 
 
-def out_of_order(trips: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Events whose event time is below the max event time of everything that arrived
-    before them (arrival order = processing_time, then event_id).
+def running_max(rows: DataFrame, order: list[str], value: str,
+                partitions: int | None = None) -> DataFrame:
+    """Adds prev_max_us: the greatest ``value`` of the rows before, in ``order`` (unique).
 
-    Exact and distributed: the events are range-partitioned on the arrival key (the
-    sampled bounds split even a hot instant, since event_id breaks ties) and written
-    to the checkpoint folder; one row per partition gives the carry from earlier
-    partitions; a window per partition does the rest. No step holds more than one
-    balanced partition.
+    Exact and distributed: rows are range partitioned on the order (sampled bounds split
+    even a hot value, as the last order column breaks ties) and written as a columnar
+    table; one row per partition gives the carry from earlier partitions; a window per
+    partition does the rest. No step holds more than one balanced partition.
     """
-    spark = trips.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = trips.select("event_id", epoch_us("processing_time").alias("pt_us"),
+    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(rows.repartitionByRange(n, *order)
+                         .withColumn("_part", F.spark_partition_id()))
+    parts = (ranged.groupBy("_part").agg(F.max(value).alias("_most"))
+             .transform(lambda d: prefix_scan(d, "_part", "_most", 1 << 20))
+             .select("_part", F.col("prev_max").alias("_carry")))
+    w = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged.join(parts, "_part")
+            .withColumn("prev_max_us", F.greatest(F.max(value).over(w), F.col("_carry")))
+            .drop("_part", "_carry"))
+
+
+def _clocks(trips: DataFrame) -> DataFrame:
+    return trips.select("event_id", epoch_us("processing_time").alias("pt_us"),
                         epoch_us("event_time").alias("et_us"))
-    ranged = materialize(base.repartitionByRange(n, "pt_us", "event_id")
-                         .withColumn("part", F.spark_partition_id()))
-    parts = (ranged.groupBy("part").agg(F.max("et_us").alias("part_max"))
-             .transform(lambda d: prefix_scan(d, "part", "part_max", 1 << 20))
-             .select("part", F.col("prev_max").alias("carry_us")))
-    w = Window.partitionBy("part").orderBy("pt_us", "event_id").rowsBetween(
-        Window.unboundedPreceding, -1)
-    return (ranged.join(F.broadcast(parts), "part")  # one row per partition: bounded by n
-            .withColumn("prev_max_us", F.greatest(F.max("et_us").over(w), F.col("carry_us")))
-            .select("event_id", "pt_us", "et_us", "prev_max_us",
-                    F.coalesce(F.col("et_us") < F.col("prev_max_us"), F.lit(False))
-                    .alias("out_of_order")))
+
+
+def out_of_order(trips: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Events whose event time is below the max event time of everything that arrived
+    before them (arrival order = processing_time, then event_id)."""
+    seen = running_max(_clocks(trips), ["pt_us", "event_id"], "et_us", partitions)
+    return seen.select("event_id", "pt_us", "et_us", "prev_max_us",
+                       F.coalesce(F.col("et_us") < F.col("prev_max_us"), F.lit(False))
+                       .alias("out_of_order"))
 
 
 def trip_pairs(trips: DataFrame) -> DataFrame:
@@ -78,7 +86,7 @@ def duplicate_windows(counts: DataFrame) -> DataFrame:
 def late_rate_tunnel(trips: DataFrame) -> DataFrame:
     """Share of events in the ``late`` delay class, tunnel zones vs the rest (zone of
     the event: pickup for a start, dropoff for a completion)."""
-    zones = F.broadcast(zone_dim(trips.sparkSession).select("zone", "is_tunnel"))  # 8 rows
+    zones = zone_dim(trips.sparkSession)
     ev = trips.select(event_zone().alias("zone"), "_delay_class")
     return (ev.join(zones, "zone", "left")
             .groupBy(F.coalesce("is_tunnel", F.lit(False)).alias("is_tunnel"))
@@ -87,13 +95,11 @@ def late_rate_tunnel(trips: DataFrame) -> DataFrame:
             .withColumn("late_rate", F.col("late") / F.col("events")))
 
 
-def arrival_order_check(batches: DataFrame) -> DataFrame:
-    """Per batch: arrival-time span, and whether it starts after every earlier batch."""
-    spans = batches.select("slice_id", "batch_id", "min_pt_us", "max_pt_us")
-    return (prefix_scan(spans, "slice_id", "max_pt_us", 4096)
-            .select("batch_id", "min_pt_us", "max_pt_us",
-                    F.coalesce(F.col("prev_max") < F.col("min_pt_us"), F.lit(True))
-                    .alias("in_order")))
+def arrival_order_check(rows: DataFrame, order: list[str], time: str) -> DataFrame:
+    """Each row of a frame in the order it landed (``order``): whether its ``time`` is no
+    earlier than that of every row before it."""
+    seen = running_max(rows, order, time)
+    return seen.withColumn("in_order", F.coalesce(F.col(time) >= F.col("prev_max_us"), F.lit(True)))
 
 
 def delay_bands(trips: DataFrame) -> DataFrame:

@@ -28,8 +28,10 @@ from lateflow.functions.trips import is_tunnel_zone
 from lateflow.operators import health as H
 from lateflow.plans.rank import exact_median
 from lateflow.plans.replay import Replay
-from lateflow.plans.scan import broadcast_if_small, materialize, prefix_scan, row_count
-from lateflow.schemas import BAD_CORRECTION_JOB, COUNTS_TABLE, LATE_TABLE
+from lateflow.operators.repair import row_difference, zone_change
+from lateflow.plans.scan import first_at_or_after, materialize, prefix_scan
+from lateflow.schemas import (BAD_CORRECTION_JOB, COUNTS_COLUMNS, COUNTS_TABLE, EVOLVING_COLUMNS,
+                              LATE_COLUMNS, LATE_TABLE, US_PER_DAY)
 
 US_PER_S = 1_000_000
 CREATE_BEFORE_US = 1 * US_PER_S      # v0 is committed 1 s before the first append
@@ -37,6 +39,14 @@ CORRECTION_AFTER_US = 60 * US_PER_S  # the bad correction 1 min after the last a
 RESTORE_AFTER_US = 120 * US_PER_S    # the restore 2 min after the last append
 
 
+SNAPSHOT = ["window_start_us", "window_end_us", "zone", "trip_count", "batch_id", "window_date"]
+
+
+def _shown(versioned: DataFrame, version: int) -> DataFrame:
+    return versioned.filter((F.col("since") <= version)
+                            & (F.col("until").isNull() | (F.col("until") > version)))
+
+
 def busiest_day(late: DataFrame) -> DataFrame:
     """One row (day, n): the day with the most late trips; ties -> earliest day.
     Null days are ignored; no late trip -> no row. A top-1 (limit is the feature)."""
@@ -45,6 +55,14 @@ def busiest_day(late: DataFrame) -> DataFrame:
     return per_day.orderBy(F.col("n").desc(), F.col("day").asc()).limit(1)
 
 
+def _values_so_far() -> list:
+    """Whether the evolving column has a value in this commit, in any earlier one, and up
+    to this one; a commit with the first value evolves the table."""
+    had = F.coalesce(F.col("prev_max"), F.lit(0)) == 1
+    return ["has_surge", had.alias("had_value"), (F.col("upto_max") == 1).alias("has_value"),
+            ((F.col("has_surge") == 1) & ~had).alias("evolves")]
+
+
 @dataclass
 class ReplayLedger:
     replay: Replay
@@ -62,11 +80,10 @@ class ReplayLedger:
         per_batch = fin.groupBy("batch_id").agg(
             F.max((F.col("surge_n") > 0).cast("int")).alias("has_surge"))
         times = self.replay.batches.select("batch_id", F.col("max_pt_us").alias("ts_us"))
-        scanned = prefix_scan(per_batch.join(times, "batch_id"), "batch_id", "has_surge", 4096)
+        scanned = prefix_scan(materialize(per_batch.join(times, "batch_id")), "batch_id",
+                              "has_surge", 4096)
         out = scanned.select(
-            "batch_id", (F.col("idx") + 1).alias("version"), "ts_us", "has_surge",
-            ((F.col("has_surge") == 1) & (F.coalesce(F.col("prev_max"), F.lit(0)) == 0))
-            .alias("evolves"))
+            "batch_id", (F.col("idx") + 1).alias("version"), "ts_us", *_values_so_far())
         return materialize(out)
 
     @cached_property
@@ -75,11 +92,10 @@ class ReplayLedger:
         per_batch = self.replay.late_rows.groupBy("batch_id").agg(
             F.max(F.col("surge_multiplier").isNotNull().cast("int")).alias("has_surge"))
         times = self.replay.batches.select("batch_id", F.col("max_pt_us").alias("ts_us"))
-        scanned = prefix_scan(per_batch.join(times, "batch_id"), "batch_id", "has_surge", 4096)
+        scanned = prefix_scan(materialize(per_batch.join(times, "batch_id")), "batch_id",
+                              "has_surge", 4096)
         return materialize(scanned.select(
-            "batch_id", (F.col("idx") + 1).alias("version"), "ts_us", "has_surge",
-            ((F.col("has_surge") == 1) & (F.coalesce(F.col("prev_max"), F.lit(0)) == 0))
-            .alias("evolves")))
+            "batch_id", (F.col("idx") + 1).alias("version"), "ts_us", *_values_so_far()))
 
     @cached_property
     def day(self) -> DataFrame:
@@ -89,16 +105,18 @@ class ReplayLedger:
     def published(self) -> DataFrame:
         """Finalized rows with their commit version and window_date (vN snapshot)."""
         fin = self.replay.finalized_internal()
-        versions = broadcast_if_small(self.commits.select("batch_id", "version"),
-                                      rows=row_count(self.commits))
-        return (fin.join(versions, "batch_id")
+        return (fin.join(self.commits.select("batch_id", "version"), "batch_id")
                 .withColumn("window_date", date_of_us("window_start_us")))
 
+    @cached_property
+    def last(self) -> int:
+        """The version of the last data commit, vN (0: none)."""
+        return self.commits.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
     @cached_property
     def correction_rows(self) -> DataFrame:
-        lt = H.late_trips(self.late)
-        on_day = lt.join(F.broadcast(self.day.select(F.col("day").alias("event_date"))),
-                         "event_date")
+        lt = H.late_trips(self.late).withColumn("day", date_of_us("window_start_us"))
+        on_day = lt.join(self.day.select("day"), "day")
         return (on_day.groupBy("window_start_us", F.col("pickup_zone").alias("zone"))
                 .agg(F.count(F.lit(1)).alias("trip_count"))
                 .withColumn("window_end_us",
@@ -106,17 +124,48 @@ class ReplayLedger:
                 .withColumn("batch_id", F.lit(-1).cast("long"))
                 .withColumn("window_date", date_of_us("window_start_us")))
 
+    @cached_property
+    def versioned(self) -> DataFrame:
+        """Every row the table ever held, with the versions that show it: from ``since`` up
+        to, not including, ``until`` (null: still shown). The bad correction ends the day's
+        rows and starts its own; the restore ends those and shows again what the version
+        it restores showed of the day."""
+        n = self.last
+        on_day = F.col("day").isNotNull()
+        marked = self.published.join(
+            self.day.select("day"), F.col("window_date") == F.col("day"), "left")
+        whole = marked.select(*SNAPSHOT, F.col("version").alias("since"),
+                              F.when(on_day, F.lit(n + 1)).cast("long").alias("until"))
+        bad = self.correction_rows.select(*SNAPSHOT, F.lit(n + 1).cast("long").alias("since"),
+                                          F.lit(n + 2).cast("long").alias("until"))
+        target = _shown(whole, n).filter(F.col("until") == n + 1)
+        back = target.select(*SNAPSHOT, F.lit(n + 2).cast("long").alias("since"),
+                             F.lit(None).cast("long").alias("until"))
+        return materialize(whole.unionByName(bad).unionByName(back))
+
+    def as_of(self, version: int) -> DataFrame:
+        """The table as of a version."""
+        return _shown(self.versioned, version).select(*SNAPSHOT)
+
+    def as_of_versions(self, versions: list[int]) -> DataFrame:
+        """The table as of each of a few versions (column as_of), in one scan."""
+        asked = F.array(*[F.lit(v).cast("long") for v in sorted(set(versions))])
+        shown = F.filter(asked, lambda v: (F.col("since") <= v)
+                         & (F.col("until").isNull() | (F.col("until") > v)))
+        return self.versioned.select(F.explode(shown).alias("as_of"), *SNAPSHOT)
+
+    def as_of_ts(self, probes: DataFrame) -> DataFrame:
+        """For each probe_us: the latest version committed at or before it (null: none)."""
+        steps = self.history().select((-F.col("timestamp_us")).alias("at"),
+                                      (-F.col("version")).alias("version"))
+        asked = probes.select((-F.col("probe_us")).alias("q")).distinct()
+        found = first_at_or_after(asked, "q", steps, "at", ["version"], US_PER_DAY)
+        return found.select((-F.col("q")).alias("probe_us"),
+                            (-F.col("version")).alias("resolves_to"))
+
     def snapshot(self, which: str) -> DataFrame:
-        """``current`` (vN+2 = vN restored), ``before`` (vN) or ``bad`` (vN+1).
-        Columns: window_start_us, window_end_us, zone, trip_count, batch_id, window_date."""
-        cols = ["window_start_us", "window_end_us", "zone", "trip_count", "batch_id",
-                "window_date"]
-        base = self.published.select(*cols)
-        if which in ("current", "before"):
-            return base
-        kept = base.join(F.broadcast(self.day.select(F.col("day").alias("window_date"))),
-                         "window_date", "left_anti")
-        return kept.select(*cols).unionByName(self.correction_rows.select(*cols))
+        """``before`` (vN), ``bad`` (vN+1) or ``current`` (vN+2, the restored table)."""
+        return self.as_of(self.last + {"before": 0, "bad": 1, "current": 2}[which])
 
     # --------------------------------------------------------------- reports
     def history(self) -> DataFrame:
@@ -182,12 +231,10 @@ class ReplayLedger:
             "first_evolution_version", "corrected_day")
 
     def asof_timestamp(self) -> DataFrame:
-        """For each commit time t: the version a read 'as of t' resolves to (the latest
-        version committed at or before t)."""
-        h = self.history().select("version", "timestamp_us")
-        scanned = prefix_scan(h, "timestamp_us", "version", 86_400_000_000)
-        return scanned.select("version", "timestamp_us",
-                              F.col("upto_max").alias("resolves_to"))
+        """Reads as of instants before, at and after every commit."""
+        at = F.col("timestamp_us")
+        near = self.history().select(F.explode(F.array(at - 1, at, at + 1)).alias("probe_us"))
+        return self.as_of_ts(near)
 
     def schema_changes(self) -> DataFrame:
         """Commits that added a column, per table: table_name, version, timestamp_us, change."""
@@ -219,12 +266,26 @@ class ReplayLedger:
                              F.lit("surge_multiplier").alias("column_name"), *cols))
         return counts.unionByName(late_part)
 
+    def columns_by_version(self, table: str) -> DataFrame:
+        """The columns a reader of each version sees, and those of the version before: the
+        evolving columns belong to the table once any row so far has a value."""
+        commits, columns = ((self.commits, COUNTS_COLUMNS) if table == COUNTS_TABLE
+                            else (self.late_commits, LATE_COLUMNS))
+        base = F.array(*[F.lit(c) for c, _ in columns if c not in EVOLVING_COLUMNS])
+        more = F.array(*[F.lit(c) for c, _ in columns if c in EVOLVING_COLUMNS])
+        return commits.select(
+            "version", F.when(F.col("has_value"), F.concat(base, more)).otherwise(base)
+            .alias("columns"), F.when(F.col("had_value"), F.concat(base, more)).otherwise(base)
+            .alias("columns_before"))
+
     def schema_diff(self) -> DataFrame:
-        """The column each table gained, with the versions just before and at the change."""
-        return self.schema_changes().select(
-            "table_name", (F.col("version") - 1).alias("version_before"),
+        """The columns each table gained, with the versions just before and at the change."""
+        parts = [self.columns_by_version(t).select(
+            F.lit(t).alias("table_name"), (F.col("version") - 1).alias("version_before"),
             F.col("version").alias("version_after"),
-            F.regexp_extract("change", r"^added (\w+) at", 1).alias("added_column"))
+            F.explode(F.array_except("columns", "columns_before")).alias("added_column"))
+            for t in (COUNTS_TABLE, LATE_TABLE)]
+        return parts[0].unionByName(parts[1])
 
     def null_split(self) -> DataFrame:
         """Rows and rows with a value of the evolved column, per partition (current)."""
@@ -241,31 +302,22 @@ class ReplayLedger:
 
     def snapshot_diff(self) -> DataFrame:
         """Per zone on the corrected day: trips before (vN), after (vN+1), lost; + TOTAL."""
-        day = F.broadcast(self.day.select(F.col("day").alias("window_date")))
-        before = self.snapshot("before").join(day, "window_date").select(
-            "zone", F.col("trip_count").alias("b"), F.lit(0).cast("long").alias("a"))
-        after = self.correction_rows.select(
-            "zone", F.lit(0).cast("long").alias("b"), F.col("trip_count").alias("a"))
-        g = before.unionByName(after).rollup("zone").agg(
-            F.sum("b").cast("long").alias("before"), F.sum("a").cast("long").alias("after"))
-        return g.select(F.coalesce("zone", F.lit("TOTAL")).alias("zone"), "before", "after",
-                        (F.col("before") - F.col("after")).alias("lost"))
+        day = self.day.select(F.col("day").alias("window_date"))
+        return zone_change(*(self.snapshot(w).join(day, "window_date") for w in ("before", "bad")))
 
     def zone_totals(self, which: str = "before") -> DataFrame:
-        day = F.broadcast(self.day.select(F.col("day").alias("window_date")))
+        day = self.day.select(F.col("day").alias("window_date"))
         return (self.snapshot(which).join(day, "window_date").groupBy("zone")
                 .agg(F.sum("trip_count").cast("long").alias("trips")))
 
     def snapshot_equal(self) -> DataFrame:
-        """Row-multiset equality of the restored table and vN, both ways."""
-        a, b = self.snapshot("current"), self.snapshot("before")
-        only_a = a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_in_restored"))
-        only_b = b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_in_before"))
-        parts = (only_a.select("only_in_restored", F.lit(0).cast("long").alias("only_in_before"))
-                 .unionByName(only_b.select(F.lit(0).cast("long").alias("only_in_restored"),
-                                            "only_in_before")))
-        return parts.agg(F.sum("only_in_restored").cast("long").alias("only_in_restored"),
-                         F.sum("only_in_before").cast("long").alias("only_in_before"))
+        """Rows that two versions don't share: the restored table and the bad one, each
+        against the last good one (pair, only_left, only_right)."""
+        good = self.snapshot("before")
+        parts = [row_difference(self.snapshot(w), good).select(
+            F.lit(f"{name} / before").alias("pair"), "only_left", "only_right")
+            for w, name in (("current", "restored"), ("bad", "bad"))]
+        return parts[0].unionByName(parts[1])
 
     def daily_two_versions(self) -> DataFrame:
         """Daily view of the healthy table next to the bad correction (side by side)."""
@@ -328,7 +380,8 @@ class DiagnosisThresholds:
     """Our thresholds for the symptom -> cause rules (the reference states them in prose)."""
 
     collapse_ratio: float = 0.2       # day's counted < ratio x median day: overwritten
-    spike_pct: float = 10.0           # late share that means the watermark ran ahead
+    spike_pct: float = 10.0           # late share that means the watermark ran ahead, if
+    complete: float = 0.95            # its windows are also less complete than this
     tunnel_factor: float = 3.0        # tunnel late share vs other zones
     buffering_max_factor: float = 3.0  # median delay within (lateness, factor x lateness]
     offline_min_minutes: float = 60.0  # median delay of hours: devices offline
@@ -351,10 +404,14 @@ def diagnose_days(ledger: ReplayLedger, which: str = "bad",
     median = exact_median(lt.withColumnRenamed("event_date", "day"), ["day"],
                           "arrival_delay_min", "event_id", "median_delay_min")
     late = late.join(median, "day", "left")
-    d = (counted.join(late, "day", "full_outer")
+    complete = (H.window_completeness(snap.withColumn(
+                    "window_start", F.timestamp_micros("window_start_us")), ledger.late)
+                .groupBy(date_of_us("window_start_us").alias("day"))
+                .agg(F.bround(F.avg("completeness"), 3).alias("mean_completeness")))
+    d = (counted.join(late, "day", "full_outer").join(complete, "day", "left")
          .select("day", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
                           for c in ("counted", "counted_tunnel", "late", "late_tunnel")],
-                 "median_delay_min"))
+                 "median_delay_min", "mean_completeness"))
     d = (d.withColumn("late_pct", H.late_share("counted", "late"))
           .withColumn("tunnel_late_pct", F.bround(F.try_divide(
               F.lit(100.0) * F.col("late_tunnel"), F.col("counted_tunnel") + F.col("late_tunnel")), 1))
@@ -369,7 +426,8 @@ def diagnose_days(ledger: ReplayLedger, which: str = "bad",
                     F.lit("late_events_missing_upstream"))
              .when(F.col("counted") < F.lit(t.collapse_ratio) * F.col("median_day_counted"),
                    F.lit("partition_overwritten"))
-             .when(F.col("late_pct") >= F.lit(t.spike_pct), F.lit("watermark_ran_ahead"))
+             .when((F.col("late_pct") >= F.lit(t.spike_pct))
+                   & (F.col("mean_completeness") < F.lit(t.complete)), F.lit("watermark_ran_ahead"))
              .when(tunnel_heavy & (F.col("median_delay_min") > F.lit(float(lateness_min)))
                    & (F.col("median_delay_min")
                       <= F.lit(t.buffering_max_factor * lateness_min)),
@@ -379,4 +437,4 @@ def diagnose_days(ledger: ReplayLedger, which: str = "bad",
              .otherwise(F.lit("healthy")))
     return d.select("day", "counted", "late", "late_pct", "tunnel_late_pct", "other_late_pct",
                     F.bround("median_delay_min", 1).alias("median_delay_min"),
-                    cause.alias("cause"))
+                    "mean_completeness", cause.alias("cause"))

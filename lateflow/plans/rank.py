@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lateflow.plans.scan import broadcast_if_small, materialize
+from lateflow.plans.scan import materialize
 
 
 def ranked(df: DataFrame, groups: list[str], value: str, tiebreak: str,
@@ -38,7 +38,7 @@ def ranked(df: DataFrame, groups: list[str], value: str, tiebreak: str,
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_carry"),
         F.sum("_c").over(wg).alias("_n")))
     wl = Window.partitionBy("_part", *groups).orderBy(value, tiebreak)
-    return (parted.join(broadcast_if_small(carry), ["_part", *groups])
+    return (parted.join(carry, ["_part", *groups])
             .withColumn("_rank", F.col("_carry") + F.row_number().over(wl) - 1)
             .drop("_carry", "_part"))
 

@@ -33,8 +33,7 @@ from pyspark.sql import functions as F
 
 from lateflow.functions.timecols import (date_of_us, epoch_us, floor_div, floor_to,
                                          from_epoch_us, policy_reason)
-from lateflow.plans.scan import (broadcast_if_small, first_at_or_after, materialize,
-                                 prefix_scan, row_count)
+from lateflow.plans.scan import first_at_or_after, materialize, prefix_scan
 from lateflow.schemas import (DEFAULT_POLICY, DEFAULT_SLICE_MINUTES, EVENT_NAMES,
                               US_PER_DAY, US_PER_MINUTE, LatenessPolicy)
 
@@ -89,22 +88,21 @@ class Replay:
 
     @cached_property
     def classified(self) -> DataFrame:
-        """Every event with batch id, the watermark it met, and its late reason."""
-        meta = broadcast_if_small(
-            self.batches.select("slice_id", "batch_id", "watermark_before_us"),
-            rows=row_count(self.batches))
-        return (self.timed.join(meta, "slice_id")
-                .withColumn("late_reason", policy_reason(
-                    "et_us", "window_end_us", "watermark_before_us",
-                    self.policy.route_missing_zone, self.zone_column, "event_type",
-                    self.counted_type)))
+        """Every event with batch id, the watermark it met, and its late reason. Written
+        once as a columnar table: the late rows and the window counts both read it, so the
+        events are derived and shuffled once."""
+        meta = self.batches.select("slice_id", "batch_id", "watermark_before_us")
+        return materialize(self.timed.join(meta, "slice_id")
+                           .withColumn("late_reason", policy_reason(
+                               "et_us", "window_end_us", "watermark_before_us",
+                               self.policy.route_missing_zone, self.zone_column, "event_type",
+                               self.counted_type)))
 
     # -------------------------------------------------------------- outputs
     @cached_property
     def late_rows(self) -> DataFrame:
-        """Side output rows (internal form: epoch micros). One of the replay's two
-        products, so it is written once (checkpoint folder) and reports read it."""
-        return materialize(self.classified.filter(F.col("late_reason").isNotNull()))
+        """Side output rows (internal form: epoch micros)."""
+        return self.classified.filter(F.col("late_reason").isNotNull())
 
     def late_events(self) -> DataFrame:
         """The ``late_events`` table: input columns + routing metadata."""
@@ -150,10 +148,9 @@ class Replay:
     def windows(self) -> DataFrame:
         """All counted windows with their finalizing batch (null while open)."""
         w = self.policy.window_us
-        fin = broadcast_if_small(self.finalizing)
         return (self.window_counts
                 .withColumn("window_end_us", F.col("window_start_us") + F.lit(w))
-                .join(fin, "window_end_us", "left"))
+                .join(self.finalizing, "window_end_us", "left"))
 
     def finalized_internal(self) -> DataFrame:
         return self.windows.filter(F.col("batch_id").isNotNull())

@@ -1,4 +1,4 @@
-"""Ordered scans and sized joins for per-batch metadata.
+"""Ordered scans and as-of joins for per-batch metadata.
 
 The replay needs running values in arrival order over *per-batch* rows (one row per
 non-empty processing-time slice): the running max event time (the watermark), the
@@ -18,47 +18,26 @@ never a range expansion.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lateflow.functions.timecols import floor_div
-
-# A broadcast side must be proven small: its row count is checked after it is
-# materialized. Above this, the join falls back to a shuffle join (AQE splits skew).
-BROADCAST_MAX_ROWS = 2_000_000
-
+from lateflow.session import ensure_checkpoint_dir
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and cut its lineage.
-
-    Reliable checkpoint (never ``localCheckpoint``): the data lives in the shared
-    folder named by ``spark.checkpoint.dir``, so a lost executor does not lose it.
-    """
-    import uuid
-
-    from pyspark.sql import Observation
-
-    from lateflow.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    obs = Observation(f"rows-{uuid.uuid4().hex}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    out._materialized_rows = obs.get["rows"]  # counted while writing: no extra job
-    return out
-
-
-def row_count(df: DataFrame) -> int:
-    n = getattr(df, "_materialized_rows", None)
-    return df.count() if n is None else n
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back: the lineage
+    is cut, a lost executor loses nothing, later reads take only the columns they need,
+    and the optimizer knows the table's size in bytes when it picks a join."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    _write(df, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a row-count check (``rows``, or the count taken when
-    ``df`` was materialized); above the bound the join stays a shuffle join, where AQE
-    splits skewed partitions."""
-    n = row_count(df) if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
+def _write(df: DataFrame, path: str) -> None:
+    df.write.parquet(path)
 
 
 def prefix_scan(df: DataFrame, key: str, value: str, block_width: int) -> DataFrame:
@@ -70,10 +49,7 @@ def prefix_scan(df: DataFrame, key: str, value: str, block_width: int) -> DataFr
     Nulls in ``value`` are ignored, as ``max`` does. ``df`` should be cheap to read
     twice (materialized metadata).
 
-    The carry table is broadcast: it has one row per block that holds rows, so its size
-    is at most ``key span / block_width`` and at most the row count of ``df``. Every
-    caller scans a metadata table (one row per slice, commit or partition) with a width
-    that keeps it to a handful of rows.
+    The carry table has one row per block that holds rows.
     """
     blk = "_scan_blk"
     w = Window.partitionBy(blk).orderBy(key)
@@ -87,7 +63,7 @@ def prefix_scan(df: DataFrame, key: str, value: str, block_width: int) -> DataFr
              .select(blk, F.max("_bmax").over(wb).alias("_carry_max"),
                      F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_carry_n")))
     prev = F.greatest(F.col("_in_prev"), F.col("_carry_max"))
-    return (d.join(F.broadcast(carry), blk)
+    return (d.join(carry, blk)
             .withColumn("prev_max", prev)
             .withColumn("upto_max", F.greatest(prev, F.col(value)))
             .withColumn("idx", (F.col("_carry_n") + F.col("_in_idx")).cast("long"))

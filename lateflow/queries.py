@@ -18,6 +18,7 @@ from lateflow.functions.timecols import date_of_us, epoch_us, iso_ms, parse_iso
 from lateflow.operators import health as H
 from lateflow.operators import quality as Q
 from lateflow.plans.replay import Replay
+from lateflow.plans.scan import materialize
 from lateflow.schemas import DEFAULT_POLICY, DEFAULT_SLICE_MINUTES
 from lateflow.sources.arrivals import strip_annotations, trip_events
 
@@ -48,19 +49,38 @@ def for_oracle(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-_REPLAYS: dict[tuple, Replay] = {}
+#: the replay of the input that was asked for last; its steps are written tables
+_LAST: dict[tuple, Replay] = {}
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    """Name, size and time of the files of a table: changes when its data does."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.listFiles(p, True)
+    out = []
+    while found.hasNext():
+        f = found.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
+def forget() -> None:
+    """The next query derives its replay anew."""
+    _LAST.clear()
+    _LEDGERS.clear()
 
 
 def replay_for(spark: SparkSession, sf_dir: str, policy=DEFAULT_POLICY,
                slice_minutes: int = DEFAULT_SLICE_MINUTES) -> Replay:
-    """One replay per (application, input, policy): its per-batch table is materialized
-    once in the checkpoint folder and shared by the queries built on it."""
-    key = (spark.sparkContext.applicationId, sf_dir, policy, slice_minutes)
-    r = _REPLAYS.get(key)
-    if r is None:
-        r = Replay(trip_events(spark, sf_dir), policy, slice_minutes)
-        _REPLAYS[key] = r
-    return r
+    """The replay of an input and policy, shared by the queries that follow each other on
+    the same files; another input, or changed files, start a new one."""
+    key = (spark.sparkContext.applicationId, _files(spark, f"{sf_dir.rstrip('/')}/events.parquet"),
+           policy, slice_minutes)
+    if key not in _LAST:
+        forget()
+        _LAST[key] = Replay(trip_events(spark, sf_dir), policy, slice_minutes)
+    return _LAST[key]
 
 
 def trips_for(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +270,9 @@ UNION ALL BY NAME
 SELECT event_id, schema_version, surge_multiplier, fare_usd FROM trips
 WHERE schema_version = 2"""))
 def q_evolve_union(spark, sf_dir):
-    t = trips_for(spark, sf_dir)
+    # two batches of one landed table: written once, so the events are derived once
+    t = materialize(trips_for(spark, sf_dir).select("event_id", "schema_version", "fare_usd",
+                                                    "surge_multiplier"))
     v1 = t.filter(F.col("schema_version") == 1).select("event_id", "schema_version", "fare_usd")
     v2 = t.filter(F.col("schema_version") == 2).select("event_id", "schema_version",
                                                        "surge_multiplier", "fare_usd")
@@ -370,7 +392,10 @@ SELECT CASE WHEN grouping(event_type) = 0 THEN 'event_type'
             WHEN grouping(_delay_class) = 0 THEN 'delay_class'
             WHEN grouping(schema_version) = 0 THEN 'schema_version'
             ELSE 'events' END AS kind,
-       COALESCE(event_type, _delay_class, CAST(schema_version AS VARCHAR), 'all') AS key,
+       CASE WHEN grouping(event_type) = 0 THEN event_type
+            WHEN grouping(_delay_class) = 0 THEN _delay_class
+            WHEN grouping(schema_version) = 0 THEN CAST(schema_version AS VARCHAR)
+            ELSE 'all' END AS key,
        count(*) AS n
 FROM trips
 GROUP BY GROUPING SETS ((event_type), (_delay_class), (schema_version), ())"""))
@@ -421,14 +446,24 @@ def q_late_rate_tunnel(spark, sf_dir):
     return Q.late_rate_tunnel(trips_for(spark, sf_dir))
 
 
-@register("arrival_order_check", O.with_replay("""
-SELECT batch_id, min_pt_us, max_pt_us,
-       COALESCE(max(max_pt_us) OVER (ORDER BY slice_id
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) < min_pt_us, true) AS in_order
-FROM batches"""))
+@register("arrival_order_check", O.with_trips("""
+SELECT 'arrival' AS landed_by, event_id, pt_us, prev AS prev_max_us,
+       COALESCE(pt_us >= prev, true) AS in_order
+FROM (SELECT event_id, pt_us, max(pt_us) OVER (ORDER BY pt_us, event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM trips) a
+UNION ALL
+SELECT 'event', event_id, pt_us, prev, COALESCE(pt_us >= prev, true)
+FROM (SELECT event_id, pt_us, max(pt_us) OVER (ORDER BY CAST(event_id AS BIGINT)
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM trips) e"""))
 def q_arrival_order_check(spark, sf_dir):
-    r = replay_for(spark, sf_dir)
-    return Q.arrival_order_check(r.batches)
+    """Two landing orders of the events: by arrival (never goes back) and by event number
+    (goes back wherever an event arrived late)."""
+    rows = trips_for(spark, sf_dir).select("event_id", epoch_us("processing_time").alias("pt_us"))
+    rows = rows.withColumn("number", F.col("event_id").cast("long"))
+    parts = [Q.arrival_order_check(rows, order, "pt_us").select(
+        F.lit(name).alias("landed_by"), "event_id", "pt_us", "prev_max_us", "in_order")
+        for name, order in (("arrival", ["pt_us", "event_id"]), ("event", ["number"]))]
+    return parts[0].unionByName(parts[1])
 
 
 # ------------------------------------------------------- versioned counts table
@@ -464,7 +499,8 @@ correction AS (
   SELECT window_start_us, window_start_us + {O.W} AS window_end_us, pickup_zone AS zone,
          count(*) AS trip_count, CAST(-1 AS BIGINT) AS batch_id,
          CAST(make_timestamp(window_start_us) AS DATE) AS window_date
-  FROM late_trips WHERE event_date IN (SELECT day FROM busiest)
+  FROM late_trips
+  WHERE CAST(make_timestamp(window_start_us) AS DATE) IN (SELECT day FROM busiest)
   GROUP BY window_start_us, pickup_zone
 ),
 snap_before AS (
@@ -532,7 +568,7 @@ def q_late_trips_on_day(spark, sf_dir):
 
     led = ledger_for(spark, sf_dir)
     lt = late_trips(led.late).join(
-        F.broadcast(led.day.select(F.col("day").alias("event_date"))), "event_date")
+        led.day.select(F.col("day").alias("event_date")), "event_date")
     return for_oracle(lt.select("event_id", "window_start", "window_end", "pickup_zone",
                                 "event_date"))
 
@@ -552,9 +588,15 @@ def q_bad_correction(spark, sf_dir):
 
 
 @register("asof_version", O.with_replay_more(LEDGER_SQL, f"""
-SELECT {SNAP_COLS} FROM snap_bad"""))
+SELECT v AS as_of, {SNAP_COLS} FROM published, (
+  SELECT DISTINCT unnest([1, n // 2, n]) AS v FROM nver) probes WHERE version <= v
+UNION ALL SELECT (SELECT n FROM nver) + 1, {SNAP_COLS} FROM snap_bad
+UNION ALL SELECT (SELECT n FROM nver) + 2, {SNAP_COLS} FROM snap_before"""))
 def q_asof_version(spark, sf_dir):
-    return _dates(ledger_for(spark, sf_dir).snapshot("bad").orderBy("window_start_us", "zone"))
+    led = ledger_for(spark, sf_dir)
+    n = led.last
+    return _dates(led.as_of_versions([1, n // 2, n, n + 1, n + 2])
+                  .orderBy("as_of", "window_start_us", "zone"))
 
 
 @register("restore_snapshot", O.with_replay_more(LEDGER_SQL, f"""
@@ -565,7 +607,8 @@ def q_restore_snapshot(spark, sf_dir):
 
 
 @register("snapshot_diff", O.with_replay_more(LEDGER_SQL, """
-SELECT COALESCE(zone, 'TOTAL') AS zone, CAST(sum(b) AS BIGINT) AS "before",
+SELECT CASE WHEN grouping(zone) = 1 THEN 'TOTAL' ELSE zone END AS zone,
+       CAST(sum(b) AS BIGINT) AS "before",
        CAST(sum(a) AS BIGINT) AS "after", CAST(sum(b) - sum(a) AS BIGINT) AS lost
 FROM (SELECT zone, trip_count AS b, 0 AS a FROM snap_before
       WHERE window_date IN (SELECT day FROM busiest)
@@ -576,10 +619,11 @@ def q_snapshot_diff(spark, sf_dir):
 
 
 @register("snapshot_equal", O.with_replay_more(LEDGER_SQL, """
-SELECT (SELECT count(*) FROM (SELECT * FROM snap_before EXCEPT ALL
-                              SELECT * FROM snap_before) x) AS only_in_restored,
-       (SELECT count(*) FROM (SELECT * FROM snap_before EXCEPT ALL
-                              SELECT * FROM snap_before) y) AS only_in_before"""))
+SELECT 'restored / before' AS pair, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right
+UNION ALL
+SELECT 'bad / before',
+  (SELECT count(*) FROM (SELECT * FROM snap_bad EXCEPT ALL SELECT * FROM snap_before) x),
+  (SELECT count(*) FROM (SELECT * FROM snap_before EXCEPT ALL SELECT * FROM snap_bad) y)"""))
 def q_snapshot_equal(spark, sf_dir):
     return ledger_for(spark, sf_dir).snapshot_equal()
 
@@ -622,10 +666,9 @@ def q_tagged_versions(spark, sf_dir):
 
 
 @register("asof_timestamp", O.with_replay_more(LEDGER_SQL, """
-SELECT version, timestamp_us,
-       max(version) OVER (ORDER BY timestamp_us ROWS BETWEEN UNBOUNDED PRECEDING
-                          AND CURRENT ROW) AS resolves_to
-FROM hist"""))
+SELECT probe_us, (SELECT max(version) FROM hist WHERE timestamp_us <= probe_us) AS resolves_to
+FROM (SELECT DISTINCT unnest([timestamp_us - 1, timestamp_us, timestamp_us + 1]) AS probe_us
+      FROM hist) p"""))
 def q_asof_timestamp(spark, sf_dir):
     return ledger_for(spark, sf_dir).asof_timestamp()
 
@@ -662,10 +705,13 @@ def q_first_value_commit(spark, sf_dir):
     return ledger_for(spark, sf_dir).first_value_commit()
 
 
-@register("schema_diff", O.with_replay_more(LEDGER_SQL, f"""
-SELECT table_name, version - 1 AS version_before, version AS version_after,
-       regexp_extract(change, '^added (\\w+) at', 1) AS added_column
-FROM ({SCHEMA_CHANGES_SQL}) c"""))
+@register("schema_diff", O.with_replay_more(LEDGER_SQL, """
+SELECT 'zone_window_counts' AS table_name, min(version) - 1 AS version_before,
+       min(version) AS version_after, 'avg_surge_multiplier' AS added_column
+FROM commits WHERE has_surge = 1 HAVING count(*) > 0
+UNION ALL
+SELECT 'late_events', min(version) - 1, min(version), 'surge_multiplier'
+FROM late_commits WHERE has_surge = 1 HAVING count(*) > 0"""))
 def q_schema_diff(spark, sf_dir):
     return ledger_for(spark, sf_dir).schema_diff()
 
@@ -712,10 +758,10 @@ def q_additive_correction(spark, sf_dir):
 
 @register("diagnose_days", O.with_replay_more(LEDGER_SQL, f"""
 SELECT CAST(day AS VARCHAR) AS day, counted, late, late_pct, tunnel_late_pct, other_late_pct,
-       round_even(median_delay_min, 1) AS median_delay_min,
+       round_even(median_delay_min, 1) AS median_delay_min, mean_completeness,
        CASE WHEN late = 0 AND counted > 0 THEN 'late_events_missing_upstream'
             WHEN counted < 0.2 * median_day_counted THEN 'partition_overwritten'
-            WHEN late_pct >= 10.0 THEN 'watermark_ran_ahead'
+            WHEN late_pct >= 10.0 AND mean_completeness < 0.95 THEN 'watermark_ran_ahead'
             WHEN tunnel_late_pct >= 3.0 * other_late_pct AND median_delay_min > 10.0
                  AND median_delay_min <= 30.0 THEN 'tunnel_buffering_exceeds_lateness'
             WHEN tunnel_late_pct >= 3.0 * other_late_pct AND median_delay_min >= 60.0
@@ -732,7 +778,7 @@ FROM (
   FROM (
     SELECT COALESCE(dc.day, dl.day) AS day, COALESCE(dc.counted, 0) AS counted,
            COALESCE(dc.counted_tunnel, 0) AS counted_tunnel, COALESCE(dl.late, 0) AS late,
-           COALESCE(dl.late_tunnel, 0) AS late_tunnel, dl.median_delay_min
+           COALESCE(dl.late_tunnel, 0) AS late_tunnel, dl.median_delay_min, dw.mean_completeness
     FROM (SELECT window_date AS day, CAST(sum(trip_count) AS BIGINT) AS counted,
                  CAST(sum(CASE WHEN zone IN ('Z03', 'Z04') THEN trip_count ELSE 0 END)
                       AS BIGINT) AS counted_tunnel
@@ -742,7 +788,18 @@ FROM (
                  count(*) FILTER (WHERE zone IN ('Z03', 'Z04')) AS late_tunnel,
                  median(arrival_delay_min) AS median_delay_min
           FROM late_trips WHERE event_date IS NOT NULL GROUP BY event_date) dl
-    ON dc.day = dl.day) d0) d1"""))
+    ON dc.day = dl.day
+    LEFT JOIN (
+      SELECT CAST(make_timestamp(ws) AS DATE) AS day,
+             round_even(avg(CAST(c AS DOUBLE) / (c + l)), 3) AS mean_completeness
+      FROM (SELECT COALESCE(a.window_start_us, b.window_start_us) AS ws,
+                   COALESCE(a.trip_count, 0) AS c, COALESCE(b.late, 0) AS l
+            FROM snap_bad a FULL OUTER JOIN (
+              SELECT window_start_us, zone, count(*) AS late FROM late_trips
+              WHERE window_start_us IS NOT NULL AND zone IS NOT NULL
+              GROUP BY window_start_us, zone) b
+            ON a.window_start_us = b.window_start_us AND a.zone = b.zone) w
+      GROUP BY 1) dw ON COALESCE(dc.day, dl.day) = dw.day) d0) d1"""))
 def q_diagnose_days(spark, sf_dir):
     from lateflow.operators.versions import diagnose_days
 

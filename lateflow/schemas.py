@@ -30,14 +30,12 @@ COUNTS_COLUMNS = [
     ("trip_count", "BIGINT"), ("avg_surge_multiplier", "DOUBLE"),
     ("finalized_at_watermark", "TIMESTAMP"), ("batch_id", "BIGINT"), ("window_date", "DATE"),
 ]
-COUNTS_SCHEMA = ", ".join(f"{n} {t}" for n, t in COUNTS_COLUMNS)
 
 # Side output: every input column, then the routing metadata.
 LATE_COLUMNS = EVENT_COLUMNS + [
     ("late_reason", "STRING"), ("window_start", "TIMESTAMP"), ("window_end", "TIMESTAMP"),
     ("watermark", "TIMESTAMP"), ("batch_id", "BIGINT"), ("event_date", "DATE"),
 ]
-LATE_SCHEMA = ", ".join(f"{n} {t}" for n, t in LATE_COLUMNS)
 
 # Open-window state carried between micro-batches (one row per open window and zone).
 STATE_SCHEMA = "window_start_us BIGINT, zone STRING, n BIGINT, surge_sum DOUBLE, surge_n BIGINT"
@@ -47,11 +45,8 @@ EVOLVING_COLUMNS = ("surge_multiplier", "avg_surge_multiplier")
 
 COUNTS_TABLE = "zone_window_counts"
 LATE_TABLE = "late_events"
-PARTITION_COLUMN = {COUNTS_TABLE: "window_date", LATE_TABLE: "event_date"}
-TABLE_SCHEMAS = {COUNTS_TABLE: COUNTS_COLUMNS, LATE_TABLE: LATE_COLUMNS}
 
 # Commit tags in the ledger history.
-SCHEMA_EVOLUTION_TAG = "schemaEvolution"
 JOB_TAG = "job"
 BAD_CORRECTION_JOB = "late-data-correction"
 
@@ -62,9 +57,9 @@ class LatenessPolicy:
 
     window_minutes: int = 15
     allowed_lateness_minutes: int = 10
-    # an on-time counted row without a zone cannot be published (zone is the key):
-    # when set it goes to the side output as ``missing_zone`` instead
-    route_missing_zone: bool = False
+    # an on-time counted row without a zone cannot be published (zone is the key): it goes
+    # to the side output as ``missing_zone``; off, it counts under a null zone
+    route_missing_zone: bool = True
 
     @property
     def window_us(self) -> int:

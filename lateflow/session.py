@@ -5,7 +5,7 @@ Everything runs in UTC: windows align to the Unix epoch and dates are UTC dates.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,11 +42,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder used to cut lineage.
-
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set (a local test run) a fresh folder under the system temp dir is used.
-    """
+    """The shared folder used to cut lineage, from ``spark.checkpoint.dir`` (or the
+    context's checkpoint folder). Only a local session may go without: it gets a fresh
+    temporary folder, as driver and executors are one process there."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -54,12 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lateflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def shared_scratch(spark: SparkSession, name: str) -> str:
-    """A folder next to the checkpoint data for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name + "-" + os.urandom(6).hex()

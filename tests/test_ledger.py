@@ -9,8 +9,9 @@ from conftest import M
 from pyspark.sql import functions as F
 
 from lateflow.functions.timecols import date_of_us
-from lateflow.operators import corrections as C
 from lateflow.operators.health import count_by, order_count_by
+from lateflow.operators.repair import recount, row_difference, zone_change
+from lateflow.operators.versions import busiest_day
 from lateflow.schemas import COUNTS_TABLE, EVENT_SCHEMA, LATE_COLUMNS, LATE_TABLE
 from lateflow.sources.ledger import pipeline_tables
 
@@ -121,8 +122,8 @@ def test_first_value_evolves_schema_once(spark, tables):
     t.append(window_rows(spark, [wrow(0, "Z1", 3, 0)]), "q1", 0)
     t.append(window_rows(spark, [wrow(15, "Z1", 1, 1, 1.5)]), "q1", 1)
     t.append(window_rows(spark, [wrow(30, "Z1", 2, 2)]), "q1", 2)
-    assert [(c["version"], c["change"]) for c in t.schema_changes()] == \
-        [(2, "added avg_surge_multiplier at batch 1")]
+    assert t.schema_changes() == [
+        {"version": 2, "txn_version": 1, "columns": ["avg_surge_multiplier"]}]
     assert "avg_surge_multiplier" not in t.read(1).columns
     assert "avg_surge_multiplier" in t.read(2).columns
     surge = [r["avg_surge_multiplier"] for r in t.read().orderBy("window_start").collect()]
@@ -170,40 +171,84 @@ def scenario(spark, tables):
     return tables
 
 
-def test_schema_evolution_report(scenario):
-    r = C.schema_evolution(scenario)
-    counts = r[COUNTS_TABLE]
-    assert counts["added"] == ["avg_surge_multiplier"]
-    split = {row["window_date"]: (row["null"], row["value"])
-             for row in counts["by_partition"].collect()}
-    assert split[DAY3][0] == 2 and split[DAY4][1] == 1
-    assert r[LATE_TABLE]["added"] == ["surge_multiplier"]
+def by_zone(counts, day):
+    rows = counts.filter(F.col("window_date") == F.lit(day)).groupBy("zone").agg(
+        F.sum("trip_count").alias("n"))
+    return {r["zone"]: r["n"] for r in rows.collect()}
 
 
-def test_busiest_late_day(scenario):
-    assert C.busiest_late_day(scenario) == DAY3
-
-
-def test_bad_correction_then_time_travel_and_restore(scenario):
+def test_new_columns_and_their_values_by_partition(scenario):
     counts = scenario[COUNTS_TABLE]
-    before_totals = C.totals_dict(C.zone_totals(counts.read(), DAY3))
-    bad = C.apply_bad_correction(scenario, DAY3)
-    assert C.totals_dict(C.zone_totals(counts.read(), DAY3)) == {"Z1": 2}
-    assert C.totals_dict(C.zone_totals(counts.read(), DAY4)) == {"Z1": 4}
-    found_bad, before = C.last_version_before(counts)
-    assert (found_bad, before) == (bad, bad - 1)
-    tt = C.time_travel(counts, DAY3, before)
-    assert tt["before"] == before_totals == {"Z1": 10, "Z2": 7}
-    assert tt["current"] == {"Z1": 2}
-    assert tt["timestamp_resolves_to"] == before
-    diff = {r["zone"]: (r["before"], r["after"], r["lost"])
-            for r in C.snapshot_diff(counts.read(before), counts.read(), DAY3).collect()}
-    assert diff["TOTAL"] == (17, 2, 15)
-    assert C.restore_and_check(counts, before, DAY3)
-    assert C.totals_dict(C.zone_totals(counts.read(), DAY3)) == before_totals
+    (change,) = counts.schema_changes()
+    assert change["columns"] == ["avg_surge_multiplier"]
+    split = {r["window_date"]: (r["n"], r["v"]) for r in counts.read().groupBy("window_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count("avg_surge_multiplier").alias("v")).collect()}
+    assert split == {DAY3: (2, 0), DAY4: (1, 1)}
+    assert scenario[LATE_TABLE].schema_changes()[0]["columns"] == ["surge_multiplier"]
+
+
+def test_busiest_day_is_the_one_with_most_late_trips(scenario):
+    assert busiest_day(scenario[LATE_TABLE].read()).first()["day"] == DAY3
+
+
+def test_a_day_rebuilt_from_late_trips_is_found_and_restored(scenario):
+    counts, late = scenario[COUNTS_TABLE], scenario[LATE_TABLE].read()
+    good = counts.version()
+    bad = counts.overwrite_partitions(recount(late, DAY3, F.current_timestamp()),
+                                      [DAY3.isoformat()])
+    assert by_zone(counts.read(), DAY3) == {"Z1": 2}
+    assert by_zone(counts.read(), DAY4) == {"Z1": 4}
+    assert by_zone(counts.read(good), DAY3) == {"Z1": 10, "Z2": 7}
+    at = next(c["timestamp"] for c in counts.commits() if c["version"] == good)
+    assert [counts.version_as_of(at + d) for d in (-1, 0)] == [good - 1, good]
+    on_day = F.col("window_date") == F.lit(DAY3)
+    change = {r["zone"]: (r["before"], r["after"], r["lost"]) for r in zone_change(
+        counts.read(good).filter(on_day), counts.read(bad).filter(on_day)).collect()}
+    assert change == {"Z1": (10, 2, 8), "Z2": (7, 0, 7), "TOTAL": (17, 2, 15)}
+    assert tuple(row_difference(counts.read(bad), counts.read(good)).first()) == (2, 2)
+    counts.restore(good)
+    assert tuple(row_difference(counts.read(), counts.read(good)).first()) == (0, 0)
     assert counts.commits()[-1]["operation"] == "RESTORE"
 
 
-def test_no_correction_found(scenario):
-    with pytest.raises(LookupError):
-        C.last_version_before(scenario[COUNTS_TABLE])
+def test_a_null_zone_is_not_the_total(spark):
+    rows = spark.createDataFrame([("Z1", 2), (None, 3)], "zone STRING, trip_count BIGINT")
+    got = [tuple(r) for r in zone_change(rows, rows.limit(0)).collect()]
+    assert sorted(got, key=str) == sorted([("Z1", 2, 0, 2), (None, 3, 0, 3),
+                                           ("TOTAL", 5, 0, 5)], key=str)
+
+
+def test_recount_takes_the_windows_of_the_day_not_the_events(spark):
+    """A window that begins before midnight keeps its late trips of after midnight."""
+    start = DAY0 + DAY_US - 45 * M
+    late = spark.createDataFrame(
+        [("a", start + 10 * M, start), ("b", start + 80 * M, start)],
+        "event_id STRING, t BIGINT, s BIGINT").select(
+        F.lit("trip_started").alias("event_type"), F.timestamp_micros("t").alias("event_time"),
+        F.lit("Z1").alias("pickup_zone"), F.timestamp_micros("s").alias("window_start"),
+        F.timestamp_micros(F.col("s") + 90 * M).alias("window_end"),
+        date_of_us("t").alias("event_date"))
+    rows = recount(late, dt.date(2026, 9, 28), F.current_timestamp()).collect()
+    assert [(r["trip_count"], r["window_date"]) for r in rows] == [(2, dt.date(2026, 9, 28))]
+
+
+def test_a_stale_writer_harms_no_committed_version(spark, tables, tmpdir_path):
+    stale = tables[COUNTS_TABLE]
+    stale.commits()  # cached
+    other = pipeline_tables(spark, tmpdir_path)[COUNTS_TABLE]
+    assert other.append(window_rows(spark, [wrow(0, "Z7", 7, 0)]), "b", 0)
+    with pytest.raises(FileExistsError):
+        stale.append(window_rows(spark, [wrow(0, "Z1", 1, 0)]), "a", 0)
+    assert [(r["zone"], r["trip_count"]) for r in other.refresh().read().collect()] == [("Z7", 7)]
+    assert stale.refresh().append(window_rows(spark, [wrow(0, "Z1", 1, 0)]), "a", 0)
+    assert other.refresh().read().count() == 2 and other.read(1).count() == 1
+
+
+def test_overwrite_refuses_rows_of_other_partitions_null_included(spark, tables):
+    t = tables[COUNTS_TABLE]
+    t.append(window_rows(spark, [wrow(0, "Z1", 3, 0)]), "q", 0)
+    rows = window_rows(spark, [wrow(0, "Z1", 1, -1)])
+    for outside in (F.lit(None).cast("date"), F.lit(DAY4)):
+        with pytest.raises(ValueError):
+            t.overwrite_partitions(rows.withColumn("window_date", outside), ["2026-09-28"])
+    assert t.read().first()["trip_count"] == 3

@@ -1,5 +1,6 @@
 """Lateness policy: small exact vectors (window 15 min, lateness 10 min)."""
 
+import pytest
 from conftest import M
 from pyspark.sql import functions as F
 
@@ -74,16 +75,16 @@ def test_null_event_time_keeps_its_row(spark):
     assert (None, "missing_event_time") in [tuple(r) for r in rows]
 
 
-def test_state_store_load_before_returns_previous_version(spark, tmpdir_path):
-    store = StateStore(spark, tmpdir_path + "/state")
-    assert store.load_before(0)[0] == {"max_event_time_us": None, "watermark_us": None}
+def test_a_batch_starts_from_the_snapshot_before_it(spark, tmpdir_path):
+    store = StateStore(spark, tmpdir_path + "/state", "w1")
+    assert store.before(0)[0] == {"max_event_time_us": None, "watermark_us": None}
     for batch_id, max_t in [(0, 20), (1, 40), (2, 60)]:
-        meta, df = store.load_before(batch_id)
+        meta, df = store.before(batch_id)
         max_et, wm = advance_watermark(meta["max_event_time_us"], meta["watermark_us"],
                                        max_t * M, POLICY)
         store.save(batch_id, {"max_event_time_us": max_et, "watermark_us": wm}, df)
-    assert store.load_before(2)[0]["watermark_us"] == 30 * M  # replay of 2 starts from 1
-    assert store.latest()[0]["watermark_us"] == 50 * M
+    assert store.before(2)[0]["watermark_us"] == 30 * M  # replay of 2 starts from 1
+    assert store.newest()[0]["watermark_us"] == 50 * M
 
 
 def test_missing_zone_is_routed_only_when_enabled(spark):
@@ -94,18 +95,23 @@ def test_missing_zone_is_routed_only_when_enabled(spark):
         "event_id STRING, event_type STRING, pickup_zone STRING").selectExpr(
         "event_id", "event_type", "pickup_zone",
         "timestamp_micros(600000000) AS event_time")
-    off = dict(classify_batch(rows, None, POLICY).select("event_id", "late_reason").collect())
+    counting = LatenessPolicy(15, 10, route_missing_zone=False)
+    off = dict(classify_batch(rows, None, counting).select("event_id", "late_reason").collect())
     assert off == {"a": None, "b": None, "c": None}
-    routed = LatenessPolicy(15, 10, route_missing_zone=True)
-    on = dict(classify_batch(rows, None, routed).select("event_id", "late_reason").collect())
+    on = dict(classify_batch(rows, None, POLICY).select("event_id", "late_reason").collect())
     assert on == {"a": "missing_zone", "b": None, "c": None}
 
 
-def test_state_store_prunes_old_snapshots(spark, tmpdir_path):
-    store = StateStore(spark, tmpdir_path + "/state")
+def test_writers_keep_their_own_snapshots_however_many(spark, tmpdir_path):
     empty = spark.createDataFrame([], STATE_SCHEMA)
-    for b in range(5):
-        store.save(b, {"max_event_time_us": b, "watermark_us": b}, empty)
-    assert store.prune(2) == 3
-    assert store.versions() == [3, 4]
-    assert store.load_before(4)[0]["watermark_us"] == 3
+    first = StateStore(spark, tmpdir_path + "/state", "w1")
+    for b in range(14):
+        first.save(b, {"max_event_time_us": b, "watermark_us": b}, empty)
+    second = StateStore(spark, tmpdir_path + "/state", "w2")
+    assert second.before(0)[0]["watermark_us"] is None  # a new writer starts from nothing
+    with pytest.raises(LookupError):
+        second.before(1)  # its batch 0 left no state: refused, not taken as empty
+    second.save(0, {"max_event_time_us": 100, "watermark_us": 100}, empty)
+    assert first.versions() == list(range(14))
+    assert first.before(3)[0]["watermark_us"] == 2  # a rewind past ten batches
+    assert first.newest()[0]["watermark_us"] == 13 and second.newest()[0]["watermark_us"] == 100

@@ -2,10 +2,10 @@
 
     python tools/plan_census.py [sf_dir]
 
-Looks at each query's physical plan (inputs that a replay materializes show up as
-scans of checkpointed data) and prints one line per query: hash / range / single-
-partition exchanges, broadcasts, sort-merge joins, nested-loop or cartesian joins, and
-windows. Single-partition exchanges must only feed bounded metadata (block carries,
+Looks at the physical plan of each query and of every intermediate table that it writes
+(each query starts afresh), and prints one line per query: hash / range / single-
+partition exchanges, broadcasts, sort-merge joins, nested-loop or cartesian joins, windows,
+and scans of the events. Single-partition exchanges must only feed bounded metadata (block carries,
 per-day or per-commit tables, top-k merges); nested-loop and cartesian joins must not
 appear at all.
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import sys
+from contextlib import contextmanager
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -27,16 +28,39 @@ PATTERNS = {
     "bhj": r"BroadcastHashJoin",
     "nlj": r"BroadcastNestedLoopJoin|CartesianProduct",
     "window": r"\bWindow\b",
+    "events": r"FileScan parquet .*events\.parquet",
 }
 
 
+@contextmanager
+def written_plans():
+    """Collects the physical plans of the intermediate tables written meanwhile."""
+    from lateflow.plans import scan
+
+    plans, write = [], scan._write
+
+    def noting(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, path)
+
+    scan._write = noting
+    try:
+        yield plans
+    finally:
+        scan._write = write
+
+
 def census(spark, sf_dir: str) -> dict[str, dict[str, int]]:
-    from lateflow.queries import SPARK
+    from lateflow import queries
 
     out = {}
-    for name, fn in SPARK.items():
-        plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-        out[name] = {k: len(re.findall(p, plan)) for k, p in PATTERNS.items()}
+    for name, fn in queries.SPARK.items():
+        queries.forget()
+        with written_plans() as plans:
+            plans.append(fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
+        text = "\n".join(plans)
+        out[name] = {k: len(re.findall(p, text)) for k, p in PATTERNS.items()}
+    queries.forget()
     return out
 
 
