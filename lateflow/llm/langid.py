@@ -131,7 +131,8 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 words = Words(*text_buffer(texts.slice(a, b - a)))
                 logp, index = lattice.distinct_logp(model.key, trie, model.logp, words)
                 total = np.stack([np.bincount(words.doc, weights=logp[index, k],
-                                              minlength=b - a) for k in range(len(langs))], axis=1)
+                                              minlength=b - a).astype(float)
+                                  for k in range(len(langs))], axis=1)
                 best = np.argmax(total + prior, axis=1)
                 flat = total * np.minimum(1.0, SHARPNESS / np.maximum(words.per_doc(), 1))[:, None]
                 flat = flat + prior

@@ -139,7 +139,7 @@ def lm_scores(docs: DataFrame, held_out, vocabulary: str, rounds: int = ROUNDS)
             inside = at < len(known_h)
             hit[inside] = known_h[at[inside]] == words.hash[inside]
             row, at = words.doc[hit], at[hit]
-            sums = [np.bincount(row, weights=w, minlength=n)
+            sums = [np.bincount(row, weights=w, minlength=n).astype(float)  # also if empty
                     for w in (base(known_c[at]), known_p[at])]
             rare, rest = words.hash[~hit], words.doc[~hit]
             order = np.lexsort((rare, rest))
