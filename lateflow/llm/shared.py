@@ -30,12 +30,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = 2000
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers, once for each application: Spark's own
-    file server carries the archive, so executors need no copy of the repository."""
+    file server carries the archive, so executors need no copy of the repository. Arrow
+    batches are set to at most ``BATCH_ROWS`` rows, as texts can be long."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
