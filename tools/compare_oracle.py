@@ -1,9 +1,9 @@
 """Run every registered query in Spark and its oracle SQL in DuckDB; compare results.
 
-    python tools/compare_oracle.py [sf_dir] [name ...]
+    python tools/compare_oracle.py [--loose] [sf_dir] [name ...]
 
-Compares row count, column names and the multiset of rows (floats to 9 significant
-digits). Prints one line per query and exits non-zero on any mismatch.
+Compares row count, column names and the multiset of rows: floats exactly, NaN for itself
+(--loose: to 9 significant digits, NaN as null). Prints one line per query and exits non-zero on any mismatch.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-EXACT = False
+EXACT = True
 
 
 def _norm(v):
@@ -28,7 +28,7 @@ def _norm(v):
         return None
     if isinstance(v, float):
         if math.isnan(v):
-            return None
+            return "NaN" if EXACT else None
         return v if EXACT else float(f"{v:.9g}")
     if hasattr(v, "item"):
         return _norm(v.item())
@@ -103,9 +103,9 @@ def main(argv):
     from lateflow.session import build_session
 
     global EXACT
-    if "--exact" in argv:
-        EXACT = True
-        argv = [a for a in argv if a != "--exact"]
+    if "--loose" in argv:
+        EXACT = False
+        argv = [a for a in argv if a != "--loose"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or None
     spark = build_session("local[8]", 8)
