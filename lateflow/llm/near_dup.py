@@ -14,11 +14,15 @@ need no further comparison; the remaining pairs between different components are
 once they are few against the members, else another pivot round follows. Between rounds, a
 member is set aside if too few of its shingles occur in any other open member for a link to
 be possible. So every pair of a bucket is compared, or already joined through other links,
-or excluded by proof (set sizes, shared shingles); no partner is capped. Sets are hashed
-again only for documents that share a bucket.
+or excluded (set sizes, shared shingles, and, as in banding, by its signatures: see Recall);
+no partner is capped, and a pair that shares several buckets is emitted in the first. Sets
+are hashed again only for documents that share a bucket, and joined only with pairs whose
+signatures, of one byte a coordinate, agree as often as a link's would.
 
 Recall. A pair at similarity s misses all bands with probability (1 - s^ROWS)^BANDS:
-3e-5 at 0.85, 2e-7 at 0.9. A shingle is known by a 64-bit hash.
+3e-5 at 0.85, 2e-7 at 0.9; that the signatures of a link agree in fewer coordinates than
+``DEVIATIONS`` standard deviations below the mean is rarer still (6e-7). A shingle is known by a
+64-bit hash.
 
 Defined cases: null or blank text has an empty set, links with nothing and is kept. Rows
 with a null id take part in no link, have a null component and are kept. Rows that share
@@ -39,6 +43,7 @@ from lateflow.llm.words import Words, mix, row_slices, shingles, text_buffer
 ROWS = 6
 BANDS = 22
 WORDS = 5
+DEVIATIONS = 5
 _C1, _C2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
 _SIGMA = U64(0x2545F4914F6CDD1D)
 #: pairs left between components are emitted at once when they are no more than this many
@@ -92,23 +97,27 @@ def _profile(rows: int, bands: int):
             size = np.bincount(doc, minlength=n)
             digest = np.zeros((2, n), dtype=U64)
             keys = np.zeros((n, bands), dtype=U64)
+            short = np.zeros((n, rows * bands), dtype=np.int8)
             if len(has):
                 with np.errstate(over="ignore"):
                     for i, c in enumerate((U64(0x9AE16A3B2F90404F), U64(0xC3A5C85C97CB3127))):
                         digest[i, has] = np.add.reduceat(mix(s * c + c), starts)
-                    sig = signatures(starts, s, rows * bands).reshape(len(has), bands, rows)
+                    sig = signatures(starts, s, rows * bands)
+                    short[has] = ((sig * _C1) >> U64(56)).astype(np.uint8).view(np.int8)
+                    sig = sig.reshape(len(has), bands, rows)
                     key = np.broadcast_to(np.arange(1, bands + 1, dtype=U64) * _C2,
                                           (len(has), bands)).copy()
                     for r in range(rows):
                         key = mix(key * _C1 + sig[:, :, r])
                 keys[has] = key
-            lists = pa.ListArray.from_arrays(
-                np.arange(0, n * bands + 1, bands, dtype=np.int32),
-                pa.array(keys.reshape(-1).view(np.int64)))
+            lists, coordinates = (pa.ListArray.from_arrays(
+                np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.reshape(-1)))
+                for x in (keys.view(np.int64), short))
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(a, n), pa.array(size.astype(np.int64)),
-                 pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)), lists],
-                names=["doc_id", "n_shingles", "h1", "h2", "bands"])
+                 pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)), lists,
+                 coordinates],
+                names=["doc_id", "n_shingles", "h1", "h2", "bands", "sig"])
 
     return stage
 
@@ -178,11 +187,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, rows: int = ROWS,
                        F.col("text").cast("string").alias("text"))
     profile = written(arrow_stage(
         docs, _profile(rows, bands),
-        "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"), "profile")
+        "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, sig array<tinyint>"),
+        "profile")
     full = profile.filter("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-        F.first("bands").alias("bands"))
+        F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     reps = written(classes, "reps")
     label = components(_links(docs, reps, percent).union(
         # rows that share an id but not a text are one document
@@ -241,13 +251,17 @@ def _links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         if not left:
             break
         if left <= PAIRS_PER_MEMBER * size:
-            x, y = state.alias("x"), state.alias("y")
+            with_bands = state.join(reps.select("rep", "bands"), "rep")
+            x, y = with_bands.alias("x"), with_bands.alias("y")
+            # a pair in several buckets is emitted in its first; if a member has left that
+            # one, the pair was compared with a pivot there, or proved to be no link
             pairs = x.join(y, F.expr(
                 "x.key = y.key and x.c <> y.c and x.rep < y.rep and least(x.n, y.n) * 100 >= "
                 f"greatest(x.n, y.n) * {percent} and least(x.s, y.s) * 100 >= "
-                f"(x.n + y.n - least(x.s, y.s)) * {percent}"))
+                f"(x.n + y.n - least(x.s, y.s)) * {percent} and x.key = "
+                "filter(x.bands, (k, i) -> k = y.bands[i])[0]"))
             pairs = pairs.selectExpr("x.rep as a", "y.rep as b", "x.n as na", "y.n as nb")
-            more = written(_confirmed(pairs, sets, percent), "links")
+            more = written(_confirmed(pairs, reps, sets, percent), "links")
             return more if links is None else links.union(more)
         pivot = state.groupBy("key").agg(F.max(F.struct(
             "weight", (-F.col("rep")).alias("minus"), "rep", "n", "c")).alias("p"))
@@ -255,7 +269,7 @@ def _links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                                      F.col("p.c").alias("ca")), "pivot")
         pairs = state.join(pivot, "key").filter("c <> ca").selectExpr(
             "a", "rep as b", "na", "n as nb")
-        more = written(_confirmed(pairs, sets, percent), "links")
+        more = written(_confirmed(pairs, reps, sets, percent), "links")
         grown = not more.isEmpty()
         links = more if links is None else links.union(more)
         if grown:
@@ -308,10 +322,15 @@ def _sets(docs: DataFrame, wanted: Bloom, ids: DataFrame) -> DataFrame:
     return found.join(ids, "rep", "left_semi")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     near = pairs.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    one, two = (reps.select(F.col("rep").alias(c), F.col("sig").alias(f"s{c}")) for c in "ab")
+    share, size = percent / 100, F.size("sa")
+    agree = F.size(F.filter(F.zip_with("sa", "sb", lambda p, q: p == q), lambda same: same))
+    likely = agree >= size * share - DEVIATIONS * F.sqrt(size * (share * (1 - share)))
+    near = near.join(one, "a").join(two, "b").filter(likely).select("a", "b").distinct()
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     both = near.join(left, "a").join(right, "b")
