@@ -34,6 +34,8 @@ from lateflow.llm.shared import numbered
 BLOCK = 16
 GRAIN = 4096
 TEMPER = 0.7
+#: rows of all sources in one hash range, so that no task numbers many more of one source
+CELL_ROWS = 1 << 12
 
 
 def units(weights: dict[str | None, float], grain: int = GRAIN) -> dict[str | None, int]:
@@ -87,7 +89,7 @@ def pfair_mix(docs: DataFrame, weights: dict[str | None, float] | None = None,
         period(share, grain) if share else [],
         "_source string, _unit long, _at long, _release long, _deadline long")
     sizes = spark.createDataFrame([(s, share[s]) for s in share], "_source string, _q long")
-    rows = numbered(docs, ["source"], order, 1 << 16, sum(counts.values()))
+    rows = numbered(docs, ["source"], order, CELL_ROWS, sum(counts.values()))
     rows = rows.withColumn("block", F.floor(F.col("number") / block).cast("long"))
     same = F.col("source").cast("string").eqNullSafe(F.col("_source"))
     # both tables have at most ``grain`` rows
