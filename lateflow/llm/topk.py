@@ -29,11 +29,11 @@ from pyspark.sql.window import Window
 
 from lateflow.llm.shared import ship, written
 
-BLOCK = 4096
+BLOCK = 1 << 14
 QUERY_BLOCK = 256
 SEGMENTS = 16
 #: segments processed between two looks at the bounds
-STEP = 64
+STEP = 128
 
 
 def integer_vectors(df: DataFrame, vec_id: str, embedding: str, scale: int = 1024) -> DataFrame:
@@ -61,10 +61,13 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         n, dims = vectors.shape
-        self.order = np.argsort(-vectors, axis=0, kind="stable")
+        order = np.argsort(-vectors, axis=0, kind="stable")
         cut = np.unique(np.linspace(0, n, min(SEGMENTS, n) + 1).astype(np.int64))
         self.first, self.last = cut[:-1], cut[1:]
-        ranked = np.take_along_axis(vectors, self.order, axis=0)
+        ranked = np.take_along_axis(vectors, order, axis=0)
+        #: the vectors in a segment of a dimension, one posting list after the other
+        self.postings = [np.split(column, cut[1:-1])
+                         for column in np.ascontiguousarray(order.T)]
         self.high = ranked[self.first].astype(float)  # [segment, dimension]
         self.low = ranked[self.last - 1].astype(float)
 
@@ -75,23 +78,22 @@ class ImpactIndex:
         impact = most - least  # [segment, dimension], not negative
         turn = np.argsort(-impact, axis=None, kind="stable")
         segment, dim = np.unravel_index(turn, impact.shape)
+        ahead_of = np.vstack((-np.sort(-impact, axis=0), np.zeros(dims)))
         base, got = least.sum(), np.zeros(n)
         possible = np.flatnonzero(self.ids != own)
-        exact = np.zeros(0, dtype=np.int64)
         floor = -np.inf
         for at in range(0, len(turn), STEP):
             s, d = segment[at:at + STEP], dim[at:at + STEP]
-            size = self.last[s] - self.first[s]
-            spots = np.repeat(self.first[s] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            got += np.bincount(self.order[spots, np.repeat(d, size)],
-                               weights=np.repeat(impact[s, d], size), minlength=n)
-            rest = np.zeros(dims)
-            np.maximum.at(rest, dim[at + STEP:], impact[segment[at + STEP:], dim[at + STEP:]])
-            ahead = possible[np.argsort(-got[possible], kind="stable")[:4 * k]]
-            exact = self.vectors[ahead] @ query
+            for i, j, x in zip(s.tolist(), d.tolist(), impact[s, d].tolist()):
+                got[self.postings[j][i]] += x  # a vector is once in a posting list
+            done = np.bincount(dim[:at + STEP], minlength=dims)
+            rest = ahead_of[done, np.arange(dims)]  # greatest unprocessed impacts
+            bound = base + got[possible] + rest.sum()
+            first = min(4 * k, len(possible))
+            best = np.argpartition(-bound, first - 1)[:first] if first else []
+            exact = self.vectors[possible[best]] @ query
             if len(exact) >= k:
                 floor = max(floor, float(np.sort(exact)[-k]))
-            bound = base + got[possible] + rest.sum()
             possible = possible[bound + 1e-9 * np.abs(bound) + 1 >= floor]
             if len(possible) <= max(8 * k, n // 16):
                 break  # whoever is left out is proved not to be among the best k
