@@ -2,8 +2,8 @@
 
     python tools/plan_census.py [sf_dir]
 
-Looks at the physical plan of each query and of every intermediate table that it writes
-(each query starts afresh), and prints one line per query: hash / range / single-
+Looks at the physical plan of each query and of every intermediate table that it writes (a
+step that queries share counts for the first of them), and prints one line per query: hash / range / single-
 partition exchanges, broadcasts, sort-merge joins, nested-loop or cartesian joins, windows,
 and scans of the events. Single-partition exchanges must only feed bounded metadata (block carries,
 per-day or per-commit tables, top-k merges); nested-loop and cartesian joins must not
@@ -54,13 +54,12 @@ def census(spark, sf_dir: str) -> dict[str, dict[str, int]]:
     from lateflow import queries
 
     out = {}
+    queries.forget()
     for name, fn in queries.SPARK.items():
-        queries.forget()
         with written_plans() as plans:
             plans.append(fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
         text = "\n".join(plans)
         out[name] = {k: len(re.findall(p, text)) for k, p in PATTERNS.items()}
-    queries.forget()
     return out
 
 
