@@ -8,9 +8,11 @@ benchmark items, so a question whose numbers or names were changed still meets i
 second form of each text keeps names as words, for texts in other letter case.
 
 A match has to be consistent: along matches at one alignment of document and item, what
-fills a placeholder in the item has to stand for one thing in the document, and the other
-way round. A document is contaminated by an item if its consistent matches at some
-alignment cover ``SHARE`` of the item's windows, or ``RUN`` of them.
+fills a placeholder in the item has to stand for one thing in the document (two things may
+become the same one). Where it stands for several, the windows that hold it don't count,
+unless they agree word for word; all other windows do. A document is contaminated by an item
+if its counted matches at some alignment cover ``SHARE`` of the item's windows, or ``RUN``
+of them.
 
 Scale. Document windows are filtered by a Bloom filter of fixed size before they leave the
 scan, so only likely matches are shuffled; the join behind it is exact. Its size does not
@@ -234,14 +236,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         (F.col("d.at") - F.col("i.at")).alias("shift"),
         F.arrays_zip(F.col("i.kinds").alias("k"), F.col("i.fillers").alias("x"),
                      F.col("d.fillers").alias("y")).alias("slots")), "pairs")
-    place = ["row", "item", "item_id", "shift"]
-    slots = pairs.select(*place, F.explode("slots").alias("s")).select(*place, "s.*").distinct()
-    clash = slots.groupBy(*place).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("k", "x").alias("nx"),
-        F.count_distinct("k", "y").alias("ny")).filter("n > nx or n > ny")
-    fits = pairs.groupBy(*place).agg(F.count_distinct("at").alias("got"),
-                                     F.max("windows").alias("windows"))
-    fits = fits.join(clash.select("row", "item", "shift"), ["row", "item", "shift"], "left_anti")
+    place = ["row", "item", "shift"]
+    window = [*place, "at", "df", "if"]
+    slots = pairs.filter(F.exists("slots", lambda s: s["x"] != s["y"])).select(
+        *window, F.explode("slots").alias("s")).select(*window, "s.*")
+    every = pairs.select(*place, F.explode("slots").alias("s")).select(*place, "s.*")
+    clash = every.groupBy(*place, "k", "x").agg(
+        F.min("y").alias("first"), F.max("y").alias("last")).filter("first <> last")
+    bad = slots.join(clash, [*place, "k", "x"]).select(*window).distinct()
+    fits = pairs.join(bad, window, "left_anti").groupBy(*place, "item_id").agg(
+        F.count_distinct("at").alias("got"), F.max("windows").alias("windows"))
     fits = fits.filter((F.col("got") >= SHARE * F.col("windows")) | (F.col("got") >= RUN))
     by_row = fits.groupBy("row").agg(F.count_distinct("item").alias("n_items"),
                                      F.sort_array(F.collect_set("item_id")).alias("item_ids"))

@@ -103,6 +103,19 @@ def test_templates_and_slots(spark):
     assert all(r["contaminated"] == (r["n_items"] > 0) for r in got.values())
 
 
+def test_a_conflict_takes_away_its_own_windows_only(spark):
+    words = [f"w{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(60)]
+    long = lambda a, b: " ".join(words[:10] + [a] + words[10:50] + [b] + words[50:])
+    bench = [(1, long("80", "80")),
+             (2, "Tom has 3 apples in a large basket and then buys 5 more of them at the market")]
+    got = run(spark, [
+        long("80", "81"),  # verbatim but for one of two equal numbers
+        long("95", "96"),  # equal by chance in the item, different in the copy
+        "Tom has 4 apples in a large basket and then buys 4 more of them at the market",
+        "Tom has 4 pears"], bench)
+    assert [got[i]["item_ids"] for i in range(4)] == [[1], [1], [2], []]
+
+
 def test_repeats_and_empty_tables(spark):
     got = run(spark, [" ".join([BENCH[1][1]] * 300)] * 3)
     assert all(r["item_ids"] == [2] for r in got.values())
