@@ -3,16 +3,21 @@
 A text becomes a sequence of template tokens: words in lower case without the punctuation
 around them, with numbers, units (after a number) and names (a capitalised word that does
 not begin a sentence) replaced by typed placeholders. Windows of ``WINDOW`` template tokens
-(shorter items: the whole item) are hashed and joined by hash with the windows of the
-benchmark items, so a question whose numbers or names were changed still meets its item. A
-second form of each text keeps names as words, for texts in other letter case.
+are hashed and joined by hash with the windows of the benchmark items, so a question whose
+numbers or names were changed still meets its item. Items of up to 20 tokens have shorter
+windows, so that one changed word leaves enough of them (from 13 tokens on; items of fewer
+than ``WINDOW`` tokens are one window). A second form of each text keeps names as words, for
+texts in other letter case. A third, broad form takes every capitalised word but A and I as a
+name, numbers as words (English, Spanish, French, German) or with their unit attached as
+numbers, and a run of names, or a number's words and its unit, as one token.
 
 A match has to be consistent: along matches at one alignment of document and item, what
 fills a placeholder in the item has to stand for one thing in the document (two things may
 become the same one). Where it stands for several, the windows that hold it don't count,
 unless they agree word for word; all other windows do. A document is contaminated by an item
-if its counted matches at some alignment cover ``SHARE`` of the item's windows, or ``RUN``
-of them.
+if its counted matches at some alignment, or at ``SLACK`` + 1 neighbouring ones together,
+cover ``SHARE`` of the item's windows, or ``RUN`` of them, and at least as many tokens as one
+full window (or the item) has.
 
 Scale. Document windows are filtered by a Bloom filter of fixed size before they leave the
 scan, so only likely matches are shuffled; the join behind it is exact. Its size does not
@@ -25,6 +30,8 @@ item_id is an item of its own; repeated rows are each decided.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +46,9 @@ LEAST = 5
 LITERALS = 4
 SHARE = 0.4
 RUN = 13
+#: words that may be put in or left out between matches that are counted together
+SLACK = 3
+GROUPS = 2
 UNITS = frozenset(
     "% ° kg g mg lb lbs oz t km m cm mm mi ft in yd l ml h hr hrs hour hours min mins minute "
     "minutes s sec secs second seconds ms day days week weeks month months year years mph "
@@ -47,33 +57,60 @@ UNITS = frozenset(
     "kilometer kilometers gram grams kilogram kilograms liter liters litre litres mile miles "
     "inch inches foot feet °c °f kb mb gb tb".split())
 _EDGE = " \t\r\n.,;:!?\"'()[]{}<>«»“”‘’…*#&|_~`^=+\\/"
-NUMBER, UNIT, NAME, DROP = 1, 2, 3, 4
+NUMBER, UNIT, NAME, DROP, ATTACHED, SPELT, CAPS = range(1, 8)
+_ATTACHED = re.compile(r"(\d[\d.,:/]*)([^\W\d].*)")
+_SPELT = {word: str(n) for words in (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen "
+    "fifteen sixteen seventeen eighteen nineteen",
+    "- - dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince "
+    "dieciséis diecisiete dieciocho diecinueve",
+    "- - deux trois quatre cinq six sept huit neuf dix onze douze treize quatorze quinze seize "
+    "dix-sept dix-huit dix-neuf",
+    "null - zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn "
+    "fünfzehn sechzehn siebzehn achtzehn neunzehn") for n, word in enumerate(words.split())}
+_SPELT |= {word: str(n) for words in (
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred",
+    "veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien",
+    "vingt trente quarante cinquante soixante soixante-dix quatre-vingts quatre-vingt-dix cent",
+    "zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert")
+    for n, word in zip(range(20, 101, 10), words.split())}
+_SPELT |= dict.fromkeys("thousand mil mille tausend".split(), "1000") | dict.fromkeys(
+    "million millions millón millones".split(), "1000000")
+_SPELT.pop("-")
 _CODES = mix(np.arange(100, 105, dtype=U64))
 _KEEP = 1 << 20
 _words: dict[str, tuple] = {}
 
 
-def _kind(word: str) -> tuple[str, int, bool]:
-    """(word as a template token, kind of it, whether it ends a sentence). Kinds: 0 word,
-    NUMBER, UNIT (also a word), NAME (if not first in its sentence), DROP."""
+def _kind(word: str) -> tuple[str, int, bool, str]:
+    """(word as a template token, kind of it, whether it ends a sentence, what it fills a
+    broad placeholder with). Kinds: 0 word, NUMBER, UNIT (also a word), NAME (if not first in
+    its sentence), DROP; words that are placeholders in the broad form only: ATTACHED (a
+    number with its unit), SPELT (a number), CAPS (a name)."""
     ends = word.rstrip("\"')]»”’*")[-1:] in (".", "!", "?", "…", ":")
     core = word.strip(_EDGE)
     if not core:
-        return "", UNIT if word.strip(".,;:") in UNITS else DROP, ends
+        return "", UNIT if word.strip(".,;:") in UNITS else DROP, ends, ""
     money = core.lstrip("$€£-").rstrip("%")
     if money[:1].isdigit() and money.replace(",", "").replace(".", "").replace(
             ":", "").replace("/", "").isdigit():
-        return core, NUMBER, ends
+        return core, NUMBER, ends, money
     lower = core.lower()
     if lower in UNITS:
-        return lower, UNIT, ends
-    if core[0].isupper() and core[1:] and not core.isupper():
-        return lower, NAME, ends
-    return lower, 0, ends
+        return lower, UNIT, ends, lower
+    if (m := _ATTACHED.fullmatch(money)) and m[2].lower() in UNITS:
+        return lower, ATTACHED, ends, m[1]
+    parts = [lower] if lower in _SPELT else lower.split("-")
+    if all(x in _SPELT for x in parts):
+        return lower, SPELT, ends, "-".join(_SPELT[x] for x in parts)
+    if core[0].isupper() and core not in ("A", "I"):
+        return lower, NAME if core[1:] and not core.isupper() else CAPS, ends, lower
+    return lower, 0, ends, lower
 
 
 def _tokens(words: Words):
-    """Per word: literal hash, kind and sentence end, from a table of distinct words."""
+    """Per word: literal hash, kind, sentence end and the hash of what fills a broad
+    placeholder, from a table of distinct words."""
     # the hash of the bytes in lower case, told apart by the first letter's case
     first = words.raw[words.start] if len(words) else np.zeros(0, np.uint8)
     upper = np.add.reduceat((words.raw != words.lower).astype(np.int64), words.start) \
@@ -81,41 +118,53 @@ def _tokens(words: Words):
     with np.errstate(over="ignore"):
         key = mix(words.hash + first.astype(U64) * U64(31) + np.minimum(upper, 2).astype(U64))
     h, at, index = np.unique(key, return_index=True, return_inverse=True)
-    known, lit, kind, ends = _words.get("t", (np.zeros(0, U64), np.zeros(0, U64),
-                                              np.zeros(0, np.int8), np.zeros(0, bool)))
+    known, lit, kind, ends, fill = _words.get("t", (
+        np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int8), np.zeros(0, bool),
+        np.zeros(0, U64)))
     spot = np.searchsorted(known, h)
     hit = np.zeros(len(h), dtype=bool)
     inside = spot < len(known)
     hit[inside] = known[spot[inside]] == h[inside]
-    out = [np.zeros(len(h), a.dtype) for a in (lit, kind, ends)]
-    for o, a in zip(out, (lit, kind, ends)):
+    out = [np.zeros(len(h), a.dtype) for a in (lit, kind, ends, fill)]
+    for o, a in zip(out, (lit, kind, ends, fill)):
         o[hit] = a[spot[hit]]
     new = np.flatnonzero(~hit)
     if len(new):
         raw = [words.raw[words.start[i]:words.end[i]].tobytes().decode(errors="replace")
                for i in at[new]]
         found = [_kind(w) for w in raw]
-        out[1][new] = [k for _, k, _ in found]
-        out[2][new] = [e for *_, e in found]
-        out[0][new] = Words(*text_buffer(pa.array(
-            [t.replace(" ", "") or "." for t, *_ in found]))).hash
+        out[1][new] = [k for _, k, *_ in found]
+        out[2][new] = [e for *_, e, _ in found]
+        for o, texts in ((out[0], [t for t, *_ in found]), (out[3], [f for *_, f in found])):
+            o[new] = Words(*text_buffer(pa.array(
+                ["".join(t.split()) or "." for t in texts]))).hash
         if len(known) + len(new) > _KEEP:
-            known, lit, kind, ends = (x[:0] for x in (known, lit, kind, ends))
+            known, lit, kind, ends, fill = (x[:0] for x in (known, lit, kind, ends, fill))
             hit[:] = False
             new = np.arange(len(h))
         merged = np.concatenate((known, h[new]))
         order = np.argsort(merged)
         _words["t"] = (merged[order], *(np.concatenate((a, o[new]))[order]
-                                        for a, o in zip((lit, kind, ends), out)))
-    return out[0][index], out[1][index], out[2][index]
+                                        for a, o in zip((lit, kind, ends, fill), out)))
+    return tuple(o[index] for o in out)
+
+
+class Form:
+    """Tokens of a slice in one form: row, hash, placeholder kind (0: a word) and filler.
+    Forms of one group have the same tokens, so that their windows may meet."""
+
+    def __init__(self, group: int, doc, code, kinds, fill):
+        self.group, self.doc, self.code, self.kinds, self.fill = group, doc, code, kinds, fill
+        self.words = np.concatenate(([0], np.cumsum(kinds == 0)))
 
 
 class Template:
-    """Template tokens of a slice, in both forms: hash, placeholder kind (0: a word) and
-    literal (the filler), for each kept token, with its row and its word."""
+    """The forms of a slice: names as placeholders, names as words, and the broad form, in
+    which any capitalised word is a name, numbers may be spelt or carry their unit, and a
+    run of names, or of a number's words and its unit, is one token."""
 
     def __init__(self, words: Words):
-        literal, kind, ends = _tokens(words)
+        literal, kind, ends, fill = _tokens(words)
         n = len(words)
         before_ends = np.ones(n, dtype=bool)
         if n:
@@ -127,67 +176,93 @@ class Template:
         named = slot.copy()
         named[(kind == NAME) & ~before_ends] = NAME
         keep = np.flatnonzero(kind != DROP)
-        self.doc, self.word = words.doc[keep], keep
-        self.literal = literal[keep]
+        doc, lit = words.doc[keep], literal[keep]
         self.forms = []
         for form in (named, slot):
             kinds = form[keep]
-            self.forms.append((np.where(kinds > 0, _CODES[kinds], self.literal), kinds))
-
-    def windows(self, size: int):
-        """(form, first tokens, hashes) of the specific windows of ``size`` tokens; the
-        second form only where it differs."""
-        many = len(self.doc) - size + 1
-        if many <= 0:
-            return
-        one = self.doc[:many] == self.doc[size - 1:]
-        named = None
-        for form, (code, kinds) in enumerate(self.forms):
-            with np.errstate(over="ignore"):
-                acc = np.full(many, size, dtype=U64)
-                for k in range(size):
-                    acc += code[k:k + many] * (_CODES[0] * U64(2 * k + 1) | U64(1))
-                words = np.concatenate(([0], np.cumsum(kinds == 0)))
-                fine = one & (words[size:size + many] - words[:many] >= min(LITERALS, size))
-                if form:
-                    fine &= acc != named
-                named = acc
-                at = np.flatnonzero(fine)
-                yield form, at, mix(acc[at])
-
-
-def _windows(column: pa.Array, sizes, wanted: Bloom | None):
-    """(row, size, form, position, hash, fillers) of the windows of each text that the
-    filter may hold; fillers are (kind, literal) of the window's placeholders."""
+            self.forms.append(Form(0, doc, np.where(kinds > 0, _CODES[kinds], lit), kinds, lit))
+        comma = np.isin(words.raw[words.end - 1], list(b",;")) if n else ends
+        self.forms.append(self._broad(doc, lit, kind[keep], (ends | comma)[keep], fill[keep]))
+
+    @staticmethod
+    def _broad(doc, literal, kind, ends, fill) -> Form:
+        slot = np.zeros(len(kind), dtype=np.int64)
+        slot[(kind == NUMBER) | (kind == ATTACHED) | (kind == SPELT)] = NUMBER
+        slot[(kind == NAME) | (kind == CAPS)] = NAME
+        run = np.zeros(len(kind), dtype=bool)
+        run[1:] = (doc[1:] == doc[:-1]) & ~ends[:-1]
+        after = np.zeros(len(kind), dtype=bool)
+        after[1:] = (kind[:-1] == NUMBER) | (kind[:-1] == SPELT)
+        unit = run & after & (kind == UNIT)
+        run[1:] &= (slot[1:] > 0) & (slot[1:] == slot[:-1])
+        first = np.flatnonzero(~(run | unit))
+        if len(first):
+            fill = np.add.reduceat(np.where((slot > 0) & ~unit, fill, U64(0)), first)
+        kinds = slot[first]
+        return Form(1, doc[first], np.where(kinds > 0, _CODES[kinds], literal[first]), kinds,
+                    fill)
+
+    def windows(self, sizes: dict[int, set[int]]):
+        """(form, size, first tokens, hashes) of the specific windows of each group's sizes;
+        the second form only where it differs from the first."""
+        named = {}
+        for number, form in enumerate(self.forms):
+            wanted = sizes.get(form.group, ())
+            acc = np.full(len(form.code), 1 + form.group, dtype=U64)
+            for k in range(min(max(wanted, default=0), len(acc))):
+                size, many = k + 1, len(form.code) - k
+                with np.errstate(over="ignore"):
+                    acc = acc[:many] + form.code[k:] * (_CODES[0] * U64(2 * k + 1) | U64(1))
+                    if size not in wanted:
+                        continue
+                    fine = form.doc[:many] == form.doc[k:]
+                    fine &= form.words[size:] - form.words[:many] >= min(LITERALS, size)
+                    if number == 0:
+                        named[size] = acc
+                    elif number == 1:
+                        fine &= acc != named.pop(size)
+                    at = np.flatnonzero(fine)
+                    yield number, size, at, mix(acc[at] + U64(size << 8))
+
+
+def window_size(tokens: np.ndarray) -> np.ndarray:
+    """Tokens of a window of items of so many tokens (0: not looked for): the most, up to
+    WINDOW, for which one changed word leaves SHARE of the windows, but at least LEAST."""
+    size = np.clip((1 - SHARE) * (tokens + 1) / (2 - SHARE) + 1e-9, LEAST, WINDOW).astype(int)
+    return np.where(tokens < LEAST, 0, np.where(tokens < WINDOW, tokens, size))
+
+
+def _windows(column: pa.Array, sizes: dict[int, set[int]], wanted: Bloom | None):
+    """(row, size, form, position, tokens of the row, hash, fillers) of the windows of each
+    text that the filter may hold; fillers are (kind, filler) of the window's placeholders.
+    Without a filter the texts are items, with windows of the items' own sizes."""
     words = Words(*text_buffer(column))
     t = Template(words)
-    begin = np.searchsorted(t.doc, np.arange(len(column)))
-    count = np.bincount(t.doc, minlength=len(column))
+    counts = [np.bincount(f.doc, minlength=len(column)) for f in t.forms]
+    begins = [np.cumsum(c) - c for c in counts]
     out = []
-    for size in sizes:
-        for form, at, h in t.windows(size):
-            if wanted is not None:
-                some = wanted.holds(h)
-                at, h = at[some], h[some]
-            elif size < WINDOW:  # an item's own short window: the whole item
-                some = count[t.doc[at]] == size
-                at, h = at[some], h[some]
-            kinds = t.forms[form][1]
-            for a, x in zip(at.tolist(), h.view(np.int64).tolist()):
-                spots = [a + i for i in range(size) if kinds[a + i]]
-                row = int(t.doc[a])
-                out.append((row, size, form, a - int(begin[row]), x,
-                            [int(kinds[s]) for s in spots],
-                            t.literal[spots].view(np.int64).tolist() if spots else []))
-    return out, count
-
-
-_HIT = "struct<size:int,form:int,at:int,h:long,kinds:array<int>,fillers:array<long>>"
+    for number, size, at, h in t.windows(sizes):
+        form, count, begin = t.forms[number], counts[number], begins[number]
+        if wanted is not None:
+            some = wanted.holds(h)
+        else:
+            some = window_size(count)[form.doc[at]] == size
+        at, h = at[some], h[some]
+        for a, x in zip(at.tolist(), h.view(np.int64).tolist()):
+            spots = [a + i for i in range(size) if form.kinds[a + i]]
+            row = int(form.doc[a])
+            out.append((row, size, number, a - int(begin[row]), int(count[row]), x,
+                        [int(form.kinds[s]) for s in spots],
+                        form.fill[spots].view(np.int64).tolist() if spots else []))
+    return out, counts[0]
+
+
+_HIT = "struct<size:int,form:int,at:int,tokens:int,h:long,kinds:array<int>,fillers:array<long>>"
 
 
 def _hits(sizes, wanted: Bloom | None, id_name: str):
     kind = pa.list_(pa.struct([("size", pa.int32()), ("form", pa.int32()), ("at", pa.int32()),
-                               ("h", pa.int64()), ("kinds", pa.list_(pa.int32())),
+                               ("tokens", pa.int32()), ("h", pa.int64()), ("kinds", pa.list_(pa.int32())),
                                ("fillers", pa.list_(pa.int64()))]))
 
     def stage(batch: pa.RecordBatch):
@@ -195,9 +270,9 @@ def _hits(sizes, wanted: Bloom | None, id_name: str):
         for a, b in row_slices(texts):
             found, count = _windows(texts.slice(a, b - a), sizes, wanted)
             rows = [[] for _ in range(b - a)]
-            for row, size, form, at, h, kinds, fillers in found:
-                rows[row].append({"size": size, "form": form, "at": at, "h": h,
-                                  "kinds": kinds, "fillers": fillers})
+            for row, size, form, at, tokens, h, kinds, fillers in found:
+                rows[row].append({"size": size, "form": form, "at": at, "tokens": tokens,
+                                  "h": h, "kinds": kinds, "fillers": fillers})
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(a, b - a), pa.array(count.astype(np.int32)), pa.array(rows, kind)],
                 names=[id_name, "n", "hits"])
@@ -210,7 +285,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     each row of ``docs`` (doc_id, text) against ``benchmark`` (item_id, text)."""
     items = written(arrow_stage(
         benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")),
-        _hits(range(LEAST, WINDOW + 1), None, "item_id"),
+        _hits({g: set(range(LEAST, WINDOW + 1)) for g in range(GROUPS)}, None, "item_id"),
         f"item_id long, n int, hits array<{_HIT}>").withColumn(
             "item", F.monotonically_increasing_id()), "items")
     asked = items.select("item", "item_id", F.explode("hits").alias("i")).select(
@@ -218,7 +293,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     asked = asked.withColumn("windows", F.count(F.lit(1)).over(
         Window.partitionBy("item", "form")))
     asked = written(asked, "asked")
-    sizes = sorted(r["size"] for r in asked.select("size").distinct().collect()) or [WINDOW]
+    group = F.greatest(F.col("form") - 1, F.lit(0))
+    sizes: dict[int, set[int]] = {}
+    for r in asked.select(group.alias("g"), "size").distinct().collect():
+        sizes.setdefault(r["g"], set()).add(r["size"])
     wanted = Bloom.build(asked.select("h"), "h", 1 << 24)
     text = F.col("text").cast("string")
     found = written(arrow_stage(
@@ -231,13 +309,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = found.select("row", F.explode("hits").alias("d")).select("row", "d.*")
     both = hits.alias("d").join(asked.alias("i"), "h")
     pairs = written(both.select(
-        "row", "item", "item_id", F.col("i.windows").alias("windows"),
+        "row", "item", "item_id", F.greatest(F.col("i.form") - 1, F.lit(0)).alias("group"),
+        F.col("i.windows").alias("windows"),
+        (F.least(F.col("i.tokens"), F.lit(WINDOW)) - F.col("i.size") + 1).alias("least"),
         F.col("d.form").alias("df"), F.col("i.form").alias("if"), F.col("i.at").alias("at"),
         (F.col("d.at") - F.col("i.at")).alias("shift"),
         F.arrays_zip(F.col("i.kinds").alias("k"), F.col("i.fillers").alias("x"),
                      F.col("d.fillers").alias("y")).alias("slots")), "pairs")
-    place = ["row", "item", "shift"]
-    window = [*place, "at", "df", "if"]
+    # each shift for itself, and bands of SLACK + 1 neighbouring shifts
+    places = F.array(*[F.struct((F.col("shift") - k).alias("shift"), F.lit(band).alias("band"))
+                       for band in (0, 1) for k in range(SLACK * band + 1)])
+    pairs = pairs.withColumn("p", F.explode(places)).withColumnRenamed("shift", "own").select(
+        "*", "p.*").drop("p")
+    place = ["row", "item", "group", "shift", "band"]
+    window = [*place, "own", "at", "df", "if"]
     slots = pairs.filter(F.exists("slots", lambda s: s["x"] != s["y"])).select(
         *window, F.explode("slots").alias("s")).select(*window, "s.*")
     every = pairs.select(*place, F.explode("slots").alias("s")).select(*place, "s.*")
@@ -245,8 +330,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.min("y").alias("first"), F.max("y").alias("last")).filter("first <> last")
     bad = slots.join(clash, [*place, "k", "x"]).select(*window).distinct()
     fits = pairs.join(bad, window, "left_anti").groupBy(*place, "item_id").agg(
-        F.count_distinct("at").alias("got"), F.max("windows").alias("windows"))
-    fits = fits.filter((F.col("got") >= SHARE * F.col("windows")) | (F.col("got") >= RUN))
+        F.count_distinct("at").alias("got"), F.max("windows").alias("windows"),
+        F.min("least").alias("least"))
+    fits = fits.filter("got >= least").filter((F.col("got") >= SHARE * F.col("windows")) | (F.col("got") >= RUN))
     by_row = fits.groupBy("row").agg(F.count_distinct("item").alias("n_items"),
                                      F.sort_array(F.collect_set("item_id")).alias("item_ids"))
     return found.select("row", "id").join(by_row, "row", "left").select(

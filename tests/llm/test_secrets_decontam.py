@@ -116,6 +116,21 @@ def test_a_conflict_takes_away_its_own_windows_only(spark):
     assert [got[i]["item_ids"] for i in range(4)] == [[1], [1], [2], []]
 
 
+def test_broad_placeholders_short_items_and_shifts(spark):
+    bench = [(1, "Tom drives to IBM with twelve boxes, covers 5km and then sells them near Paris."),
+             (2, "the slow green river runs below an old stone bridge towards some quiet town"),
+             (3, "every morning the baker carries warm bread across the wide market square before "
+                 "the first bells ring over town")]
+    two, three = bench[1][1], bench[2][1]
+    got = run(spark, [
+        # names at the beginning, in capitals and of two words, number words, attached units
+        "Alice drives to NASA with seven boxes, covers 40 miles and then sells them near New York.",
+        two.replace("below", "under"), three.replace("wide", "broad"),  # one word in the middle
+        three.replace("across the", "right across all of the"),  # words put in
+        "the slow green river is not what a baker carries before the first bells"], bench)
+    assert [got[i]["item_ids"] for i in range(5)] == [[1], [2], [3], [3], []]
+
+
 def test_repeats_and_empty_tables(spark):
     got = run(spark, [" ".join([BENCH[1][1]] * 300)] * 3)
     assert all(r["item_ids"] == [2] for r in got.values())
