@@ -9,7 +9,9 @@ windows, so that one changed word leaves enough of them (from 13 tokens on; item
 than ``WINDOW`` tokens are one window). A second form of each text keeps names as words, for
 texts in other letter case. A third, broad form takes every capitalised word but A and I as a
 name, numbers as words (English, Spanish, French, German) or with their unit attached as
-numbers, and a run of names, or a number's words and its unit, as one token.
+numbers, and a run of names, or a number's words and its unit, as one token. The exact form keeps all words, numbers, names
+and signs (+ * / =) as they are and asks for no plain words, so that verbatim copies of items
+dense in numbers or names match. In scripts without white space each character is a word.
 
 A match has to be consistent: along matches at one alignment of document and item, what
 fills a placeholder in the item has to stand for one thing in the document (two things may
@@ -23,9 +25,10 @@ Scale. Document windows are filtered by a Bloom filter of fixed size before they
 scan, so only likely matches are shuffled; the join behind it is exact. Its size does not
 depend on the benchmark; a larger benchmark lets more windows through to the join.
 
-Defined cases: null and empty texts match nothing; items of fewer than ``LEAST`` tokens, or
-windows with fewer than ``LITERALS`` words, are too unspecific to be looked for; a null
-item_id is an item of its own; repeated rows are each decided.
+Defined cases: null and empty texts match nothing. Placeholder windows with fewer than
+``LITERALS`` words, and whole items of fewer than ``LEAST`` tokens, are too unspecific to be
+looked for with placeholders; their exact copies are found. Items of one or two words are not
+looked for at all. A null item_id is an item of its own; repeated rows are each decided.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,7 +52,8 @@ SHARE = 0.4
 RUN = 13
 #: words that may be put in or left out between matches that are counted together
 SLACK = 3
-GROUPS = 2
+LEAST_EXACT = 3
+GROUPS, EXACT = 3, 2
 UNITS = frozenset(
     "% ° kg g mg lb lbs oz t km m cm mm mi ft in yd l ml h hr hrs hour hours min mins minute "
     "minutes s sec secs second seconds ms day days week weeks month months year years mph "
@@ -56,8 +61,13 @@ UNITS = frozenset(
     "cent cents euro euros pound pounds percent degree degrees meter meters metre metres "
     "kilometer kilometers gram grams kilogram kilograms liter liters litre litres mile miles "
     "inch inches foot feet °c °f kb mb gb tb".split())
-_EDGE = " \t\r\n.,;:!?\"'()[]{}<>«»“”‘’…*#&|_~`^=+\\/"
-NUMBER, UNIT, NAME, DROP, ATTACHED, SPELT, CAPS = range(1, 8)
+_EDGE = " \t\r\n.,;:!?\"'()[]{}<>«»“”‘’…*#&|_~`^=+\\/。、，．！？：；「」『』（）《》【】"
+NUMBER, UNIT, NAME, DROP, ATTACHED, SPELT, CAPS, SIGN = range(1, 9)
+_SIGNS = frozenset("+*/=<>^×÷·|~#&_\\")
+#: characters of scripts that put no white space between words
+_UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+_LEADS = np.zeros(256, dtype=bool)  # first bytes that may begin one of them
+_LEADS[[0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0]] = True
 _ATTACHED = re.compile(r"(\d[\d.,:/]*)([^\W\d].*)")
 _SPELT = {word: str(n) for words in (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen "
@@ -85,12 +95,14 @@ _words: dict[str, tuple] = {}
 def _kind(word: str) -> tuple[str, int, bool, str]:
     """(word as a template token, kind of it, whether it ends a sentence, what it fills a
     broad placeholder with). Kinds: 0 word, NUMBER, UNIT (also a word), NAME (if not first in
-    its sentence), DROP; words that are placeholders in the broad form only: ATTACHED (a
+    its sentence), DROP, SIGN (a token of the exact form only); words that are placeholders in the broad form only: ATTACHED (a
     number with its unit), SPELT (a number), CAPS (a name)."""
-    ends = word.rstrip("\"')]»”’*")[-1:] in (".", "!", "?", "…", ":")
+    ends = word.rstrip("\"')]»”’*")[-1:] in (".", "!", "?", "…", ":", "。", "！", "？", "：")
     core = word.strip(_EDGE)
     if not core:
-        return "", UNIT if word.strip(".,;:") in UNITS else DROP, ends, ""
+        if (unit := word.strip(".,;:")) in UNITS:
+            return unit, UNIT, ends, unit
+        return word, SIGN if _SIGNS.intersection(word) else DROP, ends, ""
     money = core.lstrip("$€£-").rstrip("%")
     if money[:1].isdigit() and money.replace(",", "").replace(".", "").replace(
             ":", "").replace("/", "").isdigit():
@@ -161,7 +173,8 @@ class Form:
 class Template:
     """The forms of a slice: names as placeholders, names as words, and the broad form, in
     which any capitalised word is a name, numbers may be spelt or carry their unit, and a
-    run of names, or of a number's words and its unit, is one token."""
+    run of names, or of a number's words and its unit, is one token; and the exact form, all
+    words and signs as they are."""
 
     def __init__(self, words: Words):
         literal, kind, ends, fill = _tokens(words)
@@ -175,7 +188,7 @@ class Template:
         slot[(kind == UNIT) & prior] = UNIT
         named = slot.copy()
         named[(kind == NAME) & ~before_ends] = NAME
-        keep = np.flatnonzero(kind != DROP)
+        keep = np.flatnonzero((kind != DROP) & (kind != SIGN))
         doc, lit = words.doc[keep], literal[keep]
         self.forms = []
         for form in (named, slot):
@@ -183,6 +196,9 @@ class Template:
             self.forms.append(Form(0, doc, np.where(kinds > 0, _CODES[kinds], lit), kinds, lit))
         comma = np.isin(words.raw[words.end - 1], list(b",;")) if n else ends
         self.forms.append(self._broad(doc, lit, kind[keep], (ends | comma)[keep], fill[keep]))
+        said = np.flatnonzero(kind != DROP)
+        self.forms.append(Form(2, words.doc[said], literal[said],
+                               np.zeros(len(said), dtype=np.int64), literal[said]))
 
     @staticmethod
     def _broad(doc, literal, kind, ends, fill) -> Form:
@@ -216,7 +232,8 @@ class Template:
                     if size not in wanted:
                         continue
                     fine = form.doc[:many] == form.doc[k:]
-                    fine &= form.words[size:] - form.words[:many] >= min(LITERALS, size)
+                    if form.group != EXACT:
+                        fine &= form.words[size:] - form.words[:many] >= min(LITERALS, size)
                     if number == 0:
                         named[size] = acc
                     elif number == 1:
@@ -225,18 +242,26 @@ class Template:
                     yield number, size, at, mix(acc[at] + U64(size << 8))
 
 
-def window_size(tokens: np.ndarray) -> np.ndarray:
-    """Tokens of a window of items of so many tokens (0: not looked for): the most, up to
-    WINDOW, for which one changed word leaves SHARE of the windows, but at least LEAST."""
+def window_size(tokens: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """Tokens of a window of items of so many tokens (0: fewer than ``least``): the most, up
+    to WINDOW, for which one changed word leaves SHARE of the windows, but at least LEAST."""
     size = np.clip((1 - SHARE) * (tokens + 1) / (2 - SHARE) + 1e-9, LEAST, WINDOW).astype(int)
-    return np.where(tokens < LEAST, 0, np.where(tokens < WINDOW, tokens, size))
+    return np.where(tokens < least, 0, np.where(tokens < WINDOW, tokens, size))
+
+
+def _spaced(column: pa.Array) -> pa.Array:
+    """The texts with a space around each character of a script without white space."""
+    if not _LEADS[text_buffer(column)[0]].any():
+        return column
+    # as large strings: the spaces may take more than 2 GB
+    return pc.replace_substring_regex(column.cast(pa.large_string()), _UNSPACED, r" \0 ")
 
 
 def _windows(column: pa.Array, sizes: dict[int, set[int]], wanted: Bloom | None):
     """(row, size, form, position, tokens of the row, hash, fillers) of the windows of each
     text that the filter may hold; fillers are (kind, filler) of the window's placeholders.
     Without a filter the texts are items, with windows of the items' own sizes."""
-    words = Words(*text_buffer(column))
+    words = Words(*text_buffer(_spaced(column)))
     t = Template(words)
     counts = [np.bincount(f.doc, minlength=len(column)) for f in t.forms]
     begins = [np.cumsum(c) - c for c in counts]
@@ -246,7 +271,8 @@ def _windows(column: pa.Array, sizes: dict[int, set[int]], wanted: Bloom | None)
         if wanted is not None:
             some = wanted.holds(h)
         else:
-            some = window_size(count)[form.doc[at]] == size
+            least = LEAST_EXACT if form.group == EXACT else LEAST
+            some = window_size(count, least)[form.doc[at]] == size
         at, h = at[some], h[some]
         for a, x in zip(at.tolist(), h.view(np.int64).tolist()):
             spots = [a + i for i in range(size) if form.kinds[a + i]]
@@ -285,7 +311,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     each row of ``docs`` (doc_id, text) against ``benchmark`` (item_id, text)."""
     items = written(arrow_stage(
         benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")),
-        _hits({g: set(range(LEAST, WINDOW + 1)) for g in range(GROUPS)}, None, "item_id"),
+        _hits({g: set(range(LEAST_EXACT, WINDOW + 1)) for g in range(GROUPS)}, None, "item_id"),
         f"item_id long, n int, hits array<{_HIT}>").withColumn(
             "item", F.monotonically_increasing_id()), "items")
     asked = items.select("item", "item_id", F.explode("hits").alias("i")).select(

@@ -131,6 +131,16 @@ def test_broad_placeholders_short_items_and_shifts(spark):
     assert [got[i]["item_ids"] for i in range(5)] == [[1], [2], [3], [3], []]
 
 
+def test_exact_copies_of_dense_short_and_unspaced_items(spark):
+    bench = [(1, "What is 12 times 7?"), (2, "Compute 15 + 27 * 3"),
+             (3, "Anna Berta Carl Dora Emil Frida Georg Hanna Ida Jakob"),
+             (4, "1 2 3 5 8 13 21 34 55 89 144"), (5, "哪一条河流经过这个王国的古老首都？"), (6, "小明有多少")]
+    copies = [f"well then {t} and so on" for _, t in bench[:4]] + [
+        f"你好{t}谢谢" for _, t in bench[4:]]
+    got = run(spark, copies + ["Compute 15 - 27 / 3", "What is 13 times 8?", "这个古老的河流。"], bench)
+    assert [got[i]["item_ids"] for i in range(9)] == [[1], [2], [3], [4], [5], [6], [], [], []]
+
+
 def test_repeats_and_empty_tables(spark):
     got = run(spark, [" ".join([BENCH[1][1]] * 300)] * 3)
     assert all(r["item_ids"] == [2] for r in got.values())
