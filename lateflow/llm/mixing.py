@@ -6,36 +6,44 @@ released blocks, earliest deadline first takes one in each slot. With weights th
 one this meets every deadline, so at every slot each source has had its weight times the
 slots, less than one block off.
 
-Weights are rounded to multiples of 1 / ``grain`` (each source at least one), so the
-schedule repeats every ``grain`` slots: one period is worked out once, and block i of a
-source with q units sits in period i // q at the slot of unit i % q. Placing all rows is
-then a join with one period (``grain`` rows, fixed by a parameter). Rows are numbered within
-a source over hash ranges, so a source with a third of all rows has no task to itself.
+Up to slot ``horizon`` (the first slot for which a source has no full block left, so at most
+the number of blocks) the schedule follows the exact target weights, as fractions. The
+driver works it out slot by slot and keeps the source of each slot, two bytes; executors
+number the blocks of ``CHUNK`` slots each, and rows meet their block's slot in a join. Rows
+are numbered within a source over hash ranges, so a source with a third of all rows has no
+task to itself.
 
-All rows are kept. Up to slot ``horizon`` (the first slot for which a source has no block
-left) the mix is exact; after it the remaining sources keep their slots and order.
+All rows are kept. After the horizon the remaining blocks follow a schedule of weights
+rounded to multiples of 1 / ``GRAIN`` (each source at least one), which repeats every
+``GRAIN`` slots: block i of a source with q units sits in period i // q at the slot of unit
+i % q. With a ``grain`` given, that schedule of rounded weights is used from the start.
 
 Defined cases: a null source is a source of its own; without given weights a source weighs
 its row count to the power ``temper``; a source missing from given weights weighs as the
-smallest given; an empty table gives no rows. More than ``grain`` sources are refused.
+smallest given; a source of weight zero comes after the horizon; an empty table gives no rows. More than ``grain`` sources are refused.
 Equal rows are interchangeable.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lateflow.llm.shared import numbered
+from lateflow.llm.shared import arrow_stage, numbered
 
 BLOCK = 16
 GRAIN = 4096
 TEMPER = 0.7
 #: rows of all sources in one hash range, so that no task numbers many more of one source
 CELL_ROWS = 1 << 12
+#: slots of the exact schedule in one row of its table
+CHUNK = 1 << 14
 
 
 def units(weights: dict[str | None, float], grain: int = GRAIN) -> dict[str | None, int]:
@@ -69,12 +77,67 @@ def period(share: dict[str | None, int], grain: int = GRAIN) -> list[tuple]:
     return out
 
 
+def exact(weights: list) -> list[int]:
+    """The weights as whole numbers in the same proportion."""
+    parts = [Fraction(w) for w in weights]
+    scale = math.lcm(*(p.denominator for p in parts))
+    return [int(p * scale) for p in parts]
+
+
+def schedule(weights: list[int], blocks: list[int]) -> array:
+    """Source (its place in the list) of each slot, earliest deadline first, up to the first
+    slot whose source has none of its ``blocks`` left."""
+    total, out = sum(weights), array("H")
+    waiting = [(0, n) for n, w in enumerate(weights) if w > 0]  # by release
+    ready: list[tuple[int, int]] = []  # by deadline
+    done = [0] * len(weights)
+    while waiting or ready:
+        while waiting and waiting[0][0] <= len(out):
+            n = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-(-(done[n] + 1) * total // weights[n]), n))
+        n = heapq.heappop(ready)[1]
+        if done[n] >= blocks[n]:
+            break
+        out.append(n)
+        done[n] += 1
+        heapq.heappush(waiting, (done[n] * total // weights[n], n))
+    return out
+
+
+def _placed(spark, slots: array, weights: list[int]) -> DataFrame:
+    """_n (source), block, _slot, _first (release) and _last (deadline) of the schedule."""
+    chunks, done = [], [0] * len(weights)
+    for at in range(0, len(slots), CHUNK):
+        part = slots[at:at + CHUNK]
+        chunks.append((at, list(done), bytearray(part.tobytes())))
+        for n in part:
+            done[n] += 1
+    total = sum(weights)
+
+    def stage(batch: pa.RecordBatch):
+        for row in batch.to_pylist():
+            part, seen, out = array("H"), row["done"], []
+            part.frombytes(row["part"])
+            for slot, n in enumerate(part, row["at"]):
+                i, w = seen[n], weights[n]
+                seen[n] += 1
+                out.append((n, i, slot, i * total // w, -(-(i + 1) * total // w)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in zip(*out)],
+                names=["_n", "block", "_slot", "_first", "_last"])
+
+    return arrow_stage(
+        spark.createDataFrame(chunks, "at long, done array<long>, part binary"), stage,
+        "_n long, block long, _slot long, _first long, _last long")
+
+
 def pfair_mix(docs: DataFrame, weights: dict[str | None, float] | None = None,
-              block: int = BLOCK, grain: int = GRAIN, temper: float = TEMPER,
+              block: int = BLOCK, grain: int | None = None, temper: float = TEMPER,
               order: list[str] | None = None) -> DataFrame:
     """``docs`` with block (number within its source), release, deadline, slot, position
     (order within the mix) and in_horizon. Columns of those names are replaced."""
     spark = docs.sparkSession
+    rounded, grain = grain is not None, grain or GRAIN
     docs = docs.drop("block", "release", "deadline", "slot", "position", "in_horizon", "number")
     order = order or [c for c, t in docs.dtypes if c in ("doc_id", "text")]
     counts = {r["source"]: r["n"] for r in docs.groupBy(
@@ -88,24 +151,40 @@ def pfair_mix(docs: DataFrame, weights: dict[str | None, float] | None = None,
     table = spark.createDataFrame(
         period(share, grain) if share else [],
         "_source string, _unit long, _at long, _release long, _deadline long")
-    sizes = spark.createDataFrame([(s, share[s]) for s in share], "_source string, _q long")
+    names = list(share)
+    whole = exact([weights[s] for s in names])
+    slots = array("H") if rounded else schedule(whole, [counts[s] // block for s in names])
+    taken = [0] * len(names)
+    for n in slots:
+        taken[n] += 1
+    sizes = spark.createDataFrame(
+        [(s, share[s], n, taken[n]) for n, s in enumerate(names)],
+        "_source string, _q long, _n long, _taken long")
     rows = numbered(docs, ["source"], order, CELL_ROWS, sum(counts.values()))
     rows = rows.withColumn("block", F.floor(F.col("number") / block).cast("long"))
     same = F.col("source").cast("string").eqNullSafe(F.col("_source"))
     # both tables have at most ``grain`` rows
     rows = rows.join(F.broadcast(sizes), same).drop("_source")
-    rows = rows.withColumn("_k", F.floor(F.col("block") / F.col("_q")).cast("long"))
-    rows = rows.withColumn("_u", F.col("block") % F.col("_q"))
+    rest = F.greatest(F.col("block") - F.col("_taken"), F.lit(0))
+    rows = rows.withColumn("_k", F.floor(rest / F.col("_q")).cast("long"))
+    rows = rows.withColumn("_u", rest % F.col("_q"))
     rows = rows.join(F.broadcast(table), same & (F.col("_u") == F.col("_unit")))
-    ends = []
-    at = {(s, i): slot for s, i, slot, _, _ in (period(share, grain) if share else [])}
-    for s, n in counts.items():
-        blocks = n // block  # the first block that is missing or not full
-        ends.append(blocks // share[s] * grain + at[s, blocks % share[s]])
-    horizon = min(ends, default=0)
-    offset = F.col("_k") * grain
+    offset = F.col("_k") * grain + len(slots)
+    place = {"release": offset + F.col("_release"), "deadline": offset + F.col("_deadline"),
+             "slot": offset + F.col("_at")}
+    horizon = len(slots)
+    if rounded:
+        ends = []
+        at = {(s, i): slot for s, i, slot, _, _ in (period(share, grain) if share else [])}
+        for s, n in counts.items():
+            blocks = n // block  # the first block that is missing or not full
+            ends.append(blocks // share[s] * grain + at[s, blocks % share[s]])
+        horizon = min(ends, default=0)
+    elif slots:
+        rows = rows.join(_placed(spark, slots, whole), ["_n", "block"], "left")
+        place = {c: F.coalesce(F.col(x), place[c]) for c, x in (
+            ("release", "_first"), ("deadline", "_last"), ("slot", "_slot"))}
     return rows.select(
-        *docs.columns, "block", (offset + F.col("_release")).alias("release"),
-        (offset + F.col("_deadline")).alias("deadline"), (offset + F.col("_at")).alias("slot"),
-        ((offset + F.col("_at")) * block + F.col("number") % block).alias("position"),
-        (offset + F.col("_at") < horizon).alias("in_horizon"))
+        *docs.columns, "block", *(x.alias(c) for c, x in place.items()),
+        (place["slot"] * block + F.col("number") % block).alias("position"),
+        (place["slot"] < horizon).alias("in_horizon"))

@@ -70,6 +70,32 @@ def test_all_rows_are_placed_in_their_slots(spark):
     assert not filled
 
 
+def test_long_schedule_stays_within_one_block_of_the_target_weights():
+    rows = {f"s{i}": 3000 for i in range(19)} | {"big": 28_500, "rare": 2}
+    weights = [n ** mixing.TEMPER for n in rows.values()]
+    target = [Fraction(w) / sum(map(Fraction, weights)) for w in weights]
+    slots = mixing.schedule(mixing.exact(weights), [10_000] * len(weights))
+    assert len(slots) > 20_000
+    done = [0] * len(weights)
+    for slot, n in enumerate(slots, 1):
+        done[n] += 1
+        assert slot % 50 or all(abs(d - w * slot) < 1 for d, w in zip(done, target))
+
+
+def test_rows_follow_the_target_weights(spark):
+    sizes = {"a": 30_000, "b": 10_000, None: 100, "zero": 40}
+    weights = {"a": 0.7, "b": 0.29995, None: 0.00005, "zero": 0}
+    rows = [(i, "t", s, "x", "y", 0) for s, n in sizes.items() for i in range(n)]
+    out = mixing.pfair_mix(spark.createDataFrame(rows, SCHEMA), weights, block=1).collect()
+    assert len(out) == len(rows) == len({r["position"] for r in out})
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in out)
+    mixed = sorted((r["slot"], r["source"]) for r in out if r["in_horizon"] and r["source"])
+    horizon = sum(r["in_horizon"] for r in out)
+    assert horizon > 30_000
+    done = Counter(s for _, s in mixed)
+    assert abs(done["a"] - 0.7 * horizon) < 1.001 and abs(done["b"] - 0.29995 * horizon) < 1.001
+
+
 def test_mixing_edges(spark):
     assert mixing.pfair_mix(spark.createDataFrame([], SCHEMA)).count() == 0
     with pytest.raises(ValueError):
