@@ -5,11 +5,13 @@ sample of documents are labelled credentials: for each kind they form a prefix t
 character classes, whose statistically compatible states are merged (red-blue order,
 Hoeffding bounds on the transition and ending frequencies) into a probabilistic automaton.
 A further automaton of the same make is inferred from ordinary words. Every other candidate
-(a run of credential characters, at least ``SHORTEST`` long, with a digit and a letter) is scored by the
-log likelihood ratio per character against the ordinary words; it is reported as kind
-``format`` if some kind's ratio is positive and reaches the ratio that all but ``MISSED`` of
-that kind's own labelled credentials reach. Base spans always stay; a candidate that
-overlaps one is not reported again.
+(a run of credential characters beside the base spans, at least ``SHORTEST`` long) is scored
+in its whole length by the log likelihood ratio per character against the ordinary words; it
+is reported as kind ``format`` if some kind's ratio is positive and reaches the ratio that all
+but ``MISSED`` of that kind's own labelled credentials reach. A candidate that is not reported
+is parted at its separators (``SEPARATORS``, one after the other) and its parts are
+candidates. Base spans always stay and overlap no candidate. The fit, unlike the scan, reads
+the first ``LONGEST`` characters of a credential.
 
 Scale. The fit uses at most ``SAMPLE`` credentials of a kind and as many ordinary words,
 from about ``SAMPLE_ROWS`` rows chosen by a hash; the scan is one pass without a shuffle,
@@ -40,6 +42,8 @@ MISSED = 0.02
 #: significance of the Hoeffding bound: smaller merges more
 MERGE_ALPHA = 0.05
 KINDS = ("assign", "access", "hex")
+SEPARATORS = (b"=", b"/", b".", b"+", b"-", b"_")
+_KEEP = 1 << 16
 
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
 _ASSIGN = re.compile(
@@ -49,15 +53,12 @@ _VALUE = np.zeros(256, dtype=bool)
 _VALUE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")] = True
 _HEX = np.zeros(256, dtype=bool)
 _HEX[list(b"0123456789abcdef")] = True
-_DIGIT = np.zeros(256, dtype=bool)
-_DIGIT[list(b"0123456789")] = True
-_LETTER = _VALUE & ~_DIGIT
-_LETTER[list(b"+/_.=-")] = False
 #: character classes: digit, a-f, g-z, A-F, G-Z, and each other character for itself
 _CLASS = np.arange(256, dtype=np.int64)
 for _k, _chars in enumerate((b"0123456789", b"abcdef", b"ghijklmnopqrstuvwxyz", b"ABCDEF",
                              b"GHIJKLMNOPQRSTUVWXYZ")):
     _CLASS[list(_chars)] = 1000 + _k
+_SHAPE = bytes(b"0agAG"[c - 1000] if c >= 1000 else c for c in _CLASS.tolist())
 
 
 class Automaton:
@@ -98,7 +99,7 @@ class Automaton:
             for c in self.uses[a].keys() | self.uses[b].keys():
                 if self._differ(self.uses[a].get(c, 0), n, self.uses[b].get(c, 0), m):
                     return False
-                if c in self.next[a] and c in self.next[b] and len(stack) < 200:
+                if c in self.next[a] and c in self.next[b]:
                     stack.append((self.next[a][c], self.next[b][c]))
         return True
 
@@ -156,6 +157,7 @@ class Formats:
         classes = lambda x: _CLASS[np.frombuffer(x, np.uint8)].tolist()
         self.plain = Automaton([classes(x) for x in ordinary])
         self.kinds, self.least = {}, {}
+        self.known: dict[bytes, bool] = {}
         for kind in KINDS:
             if labelled.get(kind):
                 self.kinds[kind] = Automaton([classes(x) for x in labelled[kind]])
@@ -167,8 +169,37 @@ class Formats:
         return (automaton.logp(classes) - self.plain.logp(classes)) / len(x)
 
     def accepts(self, x: bytes) -> bool:
-        return any(self._ratio(a, x) > 0 and self._ratio(a, x) >= self.least[k]
-                   for k, a in self.kinds.items())
+        shape = x.translate(_SHAPE)  # texts of one shape have one answer
+        if shape not in self.known:
+            if len(self.known) >= _KEEP:
+                self.known.clear()
+            found = False
+            if self.kinds:
+                classes = _CLASS[np.frombuffer(x, np.uint8)].tolist()
+                plain = self.plain.logp(classes)
+                for kind, automaton in self.kinds.items():
+                    ratio = (automaton.logp(classes) - plain) / len(x)
+                    found = found or ratio > 0 and ratio >= self.least[kind]
+            if len(x) > LONGEST:
+                return found
+            self.known[shape] = found
+        return self.known[shape]
+
+    def spans(self, x: bytes, level: int = 0) -> list[tuple[int, int]]:
+        """The accepted ranges of a run: itself, or else those of its parts."""
+        if len(x) < SHORTEST:
+            return []
+        if self.accepts(x):
+            return [(0, len(x))]
+        while level < len(SEPARATORS) and SEPARATORS[level] not in x:
+            level += 1
+        if level == len(SEPARATORS):
+            return []
+        out, at = [], 0
+        for part in x.split(SEPARATORS[level]):
+            out += [(at + s, at + e) for s, e in self.spans(part, level + 1)]
+            at += len(part) + 1
+        return out
 
 
 def _runs(mask: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -256,15 +287,15 @@ def scan(docs: DataFrame, formats: Formats) -> DataFrame:
             taken = np.zeros(len(raw), dtype=bool)
             for s, _, e, _ in spans:
                 taken[s:e] = True
-            start, end = _runs(_VALUE[raw], SHORTEST)
-            digits, letters = (np.concatenate(([0], np.cumsum(m[raw], dtype=np.int32)))
-                               for m in (_DIGIT, _LETTER))
-            busy = np.concatenate(([0], np.cumsum(taken, dtype=np.int32)))
-            try_ = ((digits[end] > digits[start]) & (letters[end] > letters[start])
-                    & (busy[end] == busy[start]))
-            for s, e in zip(start[try_].tolist(), end[try_].tolist()):
-                if formats.accepts(data[s:min(e, s + LONGEST)]):
-                    spans.append((s, 3, e, s))
+            start, end = _runs(_VALUE[raw] & ~taken, SHORTEST)
+            marks = b"".join(SEPARATORS)
+            for s, e in zip(start.tolist(), end.tolist()):
+                run = data[s:e]
+                if s and taken[s - 1]:  # what is left beside a base span
+                    s += len(run) - len(run := run.lstrip(marks))
+                if taken[e]:
+                    run = run.rstrip(marks)
+                spans += [(s + x, 3, s + y, s + x) for x, y in formats.spans(run)]
             spans.sort()
             counts = np.zeros((3, n), dtype=np.int64)
             hashes, texts_ = [empty] * n, [""] * n

@@ -57,6 +57,24 @@ def test_base_spans_and_inferred_formats(spark):
     assert not any("format" in got[i]["spans"] for i in range(120))
 
 
+def test_formats_in_parts_of_runs_and_beside_base_spans(spark):
+    rng = random.Random(5)
+    key = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    words = "the house river green walking slowly information usually something".split()
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    a, b, path = key(24), key(24), "usually/" * 20
+    texts = [f"{prose(60)} password={key(24)} x" for _ in range(200)] + [
+        f"see {path}{a} there",  # past the first 128 characters of its run
+        f"see {'0a' * 12}-{b} there",  # joined to a base span
+        f"see {path}something there"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(df, secret_scan.fit(df)).collect()}
+    at = texts[200].index(a)
+    assert got[200] == f"format:{at}:{at + 24}"
+    assert got[201] == f"hex:4:28,format:29:53"
+    assert got[202] == "" and not any("format" in got[i] for i in range(200))
+
+
 def test_no_labels_and_empty(spark):
     schema = "doc_id long, text string"
     df = spark.createDataFrame([(None, "just words here"), (1, None), (1, None)], schema)
