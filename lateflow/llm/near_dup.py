@@ -20,7 +20,8 @@ are hashed again only for documents that share a bucket, and joined only with pa
 signatures, of one byte a coordinate, agree as often as a link's would.
 
 Recall. A pair at similarity s misses all bands with probability (1 - s^ROWS)^BANDS:
-3e-5 at 0.85, 2e-7 at 0.9; that the signatures of a link agree in fewer coordinates than
+3e-5 at 0.85, 2e-7 at 0.9. Lower thresholds get rows and bands of their own (``banding``), so
+that a pair at the threshold misses with 3.1e-5 at most (5 rows, 27 bands at 0.8: 2e-5). That the signatures of a link agree in fewer coordinates than
 ``DEVIATIONS`` standard deviations below the mean is rarer still (6e-7). A shingle is known by a
 64-bit hash.
 
@@ -31,6 +32,8 @@ an id are one document for linking; each row is returned with its own set size.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +45,10 @@ from lateflow.llm.words import Words, mix, row_slices, shingles, text_buffer
 
 ROWS = 6
 BANDS = 22
+#: for lower thresholds: a pair at the threshold misses all bands with this probability at
+#: most; coordinates of a signature, as far as one row a band allows
+MISSED = 3.1e-5
+COORDINATES = 150
 WORDS = 5
 DEVIATIONS = 5
 _C1, _C2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
@@ -177,12 +184,25 @@ def components(edges: DataFrame) -> DataFrame:
     return label.join(least, "comp").select("node", "component")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.85, rows: int = ROWS,
-                    bands: int = BANDS) -> DataFrame:
+def banding(percent: int) -> tuple[int, int]:
+    """Rows and bands for a threshold: the most rows whose bands reach ``MISSED``."""
+    if percent >= 85:
+        return ROWS, BANDS
+    for rows in range(ROWS, 0, -1):
+        bands = math.ceil(math.log(MISSED) / math.log1p(-(percent / 100) ** rows))
+        if rows * bands <= COORDINATES:
+            break
+    return rows, bands
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.85, rows: int | None = None,
+                    bands: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) and kept
     (doc_id is its component's), for each row of ``docs`` (doc_id long, text string).
     The threshold is taken in whole hundredths, so links are decided in integers."""
     percent = round(threshold * 100)
+    fit = banding(percent)
+    rows, bands = rows or fit[0], bands or fit[1]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
     profile = written(arrow_stage(

@@ -111,3 +111,12 @@ def test_whole_table(spark, percent):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     assert run(docs) == brute(rows, percent)
+
+
+def test_bands_fit_the_threshold():
+    from lateflow.llm import near_dup
+
+    assert near_dup.banding(85) == (near_dup.ROWS, near_dup.BANDS)
+    for percent in (50, 70, 80, 82, 85, 95):
+        rows, bands = near_dup.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands < 3.2e-5
