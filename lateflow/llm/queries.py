@@ -12,6 +12,7 @@ from lateflow.llm import (chat, decontam, langid, lm_score, mixing, secret_scan,
                           token_count, topk)
 from lateflow.llm.near_dup import near_duplicates
 from lateflow.llm.shared import held, table
+from lateflow.llm.simhash import simhash_duplicates
 
 #: public vocabulary files; a cluster may keep them elsewhere
 TOKENIZERS = "/opt/tokenizers"
@@ -156,3 +157,8 @@ FROM fits WHERE k = 1"""
 def op8_template_decontam(spark, sf_dir):
     return decontam.contamination(documents(spark, sf_dir, "doc_id", "text"),
                                   table(spark, sf_dir, "benchmark")).drop("key")
+
+
+@query
+def op13_pigeonring_simhash(spark, sf_dir):
+    return simhash_duplicates(documents(spark, sf_dir, "doc_id", "text"))

@@ -30,16 +30,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-BATCH_ROWS = 2000
+#: bytes of an Arrow batch that is sent to a Python worker, as texts can be long
+BATCH_BYTES = 4 << 20
 _shipped: set[str] = set()
 
 
+def _bytes(spark: SparkSession, text: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers, once for each application: Spark's own
     file server carries the archive, so executors need no copy of the repository. Arrow
-    batches are set to at most ``BATCH_ROWS`` rows, as texts can be long."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    batches of the session are set to about ``BATCH_BYTES`` (a whole row at least), unless
+    it asks for fewer already."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if _bytes(spark, spark.conf.get(limit)) > BATCH_BYTES:
+        spark.conf.set(limit, f"{BATCH_BYTES}b")
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
