@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lateflow.llm import (chat, decontam, langid, lm_score, mixing, secret_scan, sharding,
-                          token_count, topk)
+from lateflow.llm import (centroids, chat, decontam, langid, lm_score, mixing, phrases,
+                          secret_scan, sharding, token_count, topk)
 from lateflow.llm.near_dup import near_duplicates
 from lateflow.llm.shared import held, table
 from lateflow.llm.simhash import simhash_duplicates
@@ -159,6 +159,97 @@ def op8_template_decontam(spark, sf_dir):
                                   table(spark, sf_dir, "benchmark")).drop("key")
 
 
+@query
+def op11_fingerprint_phrases(spark, sf_dir):
+    return phrases.collocations(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
+SQL["op11_fingerprint_phrases"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{phrases.UNKNOWN}') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+said AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws
+  FROM pieces),
+words AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM said GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2),
+    lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM said, range(1, {phrases.LONGEST + 1}) AS s(k) WHERE len(ws) >= k),
+freq AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM freq
+         WHERE k >= 2 AND f >= {phrases.LEAST}),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, j, l.f AS l, r.f AS r,
+    ((1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, array_to_string(ws[1:j], ' ') AS x, array_to_string(ws[j + 1:k], ' ') AS y
+        FROM cand, range(1, {phrases.LONGEST}) AS t(j) WHERE j < k) c
+  JOIN freq l ON l.lang = c.lang AND l.phrase = c.x
+  JOIN freq r ON r.lang = c.lang AND r.phrase = c.y),
+lowest AS (SELECT * FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+  SELECT DISTINCT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+  FROM cand, range(2, {phrases.LONGEST}) AS s(m), range(1, {phrases.LONGEST}) AS t(i)
+  WHERE m < k AND i + m - 1 <= k),
+covered AS (SELECT lang, phrase, max(a) AS f FROM inside GROUP BY lang, phrase),
+kept AS (
+  SELECT b.* FROM lowest b LEFT JOIN covered v ON v.lang = b.lang AND v.phrase = b.phrase
+  WHERE v.f IS NULL OR 100 * v.f < {phrases.COVERED} * b.a)
+SELECT e.lang, row_number() OVER (PARTITION BY e.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM kept e JOIN words w ON w.lang = e.lang
+QUALIFY rank <= {phrases.TOP}"""
+
+
+@query
+def op12_equal_average_clusters(spark, sf_dir):
+    return centroids.clustered(centroids.kept_vectors(
+        table(spark, sf_dir, "embeddings"), "vec_id", "embedding"))
+
+
+def _rounds_sql(rounds: int) -> str:
+    """CTEs c0, a0, m0, c1, ... of the assignments and means of each round."""
+    parts = []
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS (
+  SELECT vec_id, v, cluster, distance FROM (
+    SELECT f.vec_id, f.v, c.cluster, list_sum(list_transform(list_zip(f.v, c.c),
+      lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+    FROM fine f CROSS JOIN c{r} c) d
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1)""")
+        if r < rounds:
+            parts.append(f"""m{r} AS (
+  SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS c FROM (
+    SELECT cluster, j, sum(v[j])::HUGEINT AS s, count(*)::HUGEINT AS n
+    FROM a{r}, range(1, {centroids.COMPONENTS + 1}) AS p(j) GROUP BY cluster, j) t
+  GROUP BY cluster),
+c{r + 1} AS (SELECT o.cluster, coalesce(m.c, o.c) AS c
+  FROM c{r} o LEFT JOIN m{r} m ON o.cluster = m.cluster)""")
+    return ",\n".join(parts)
+
+
+SQL["op12_equal_average_clusters"] = f"""
+WITH fine AS (
+  SELECT vec_id, list_transform(embedding,
+    lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = {centroids.COMPONENTS}
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, v AS c FROM (
+    SELECT sha256('1:' || vec_id::VARCHAR) AS h, v FROM fine ORDER BY h
+    LIMIT {centroids.CENTROIDS}) t),
+{_rounds_sql(centroids.ROUNDS)}
+SELECT a.vec_id, a.cluster::INT AS cluster, a.distance,
+  (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+  (sum(a.distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{centroids.ROUNDS} a JOIN c{centroids.ROUNDS} c ON a.cluster = c.cluster"""
+
+
 @query
 def op13_pigeonring_simhash(spark, sf_dir):
     return simhash_duplicates(documents(spark, sf_dir, "doc_id", "text"))
