@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lateflow.functions.timecols import epoch_us
+from lateflow.functions.timecols import epoch_us, floor_div
 from lateflow.functions.trips import delay_band, event_zone, fare_usd, surge_step, zone_dim
 from lateflow.plans.scan import materialize, prefix_scan
+from lateflow.schemas import DEFAULT_SLICE_MINUTES, US_PER_MINUTE
+
+ARRIVAL_SLICE_US = DEFAULT_SLICE_MINUTES * US_PER_MINUTE
 
 
 def stream_summary(trips: DataFrame) -> DataFrame:
@@ -28,25 +31,40 @@ def stream_summary(trips: DataFrame) -> DataFrame:
     return g.select(kind.alias("kind"), key.alias("key"), "n")
 
 
-def running_max(rows: DataFrame, order: list[str], value: str,
-                partitions: int | None = None) -> DataFrame:
-    """Adds prev_max_us: the greatest ``value`` of the rows before, in ``order`` (unique).
+#: rows of a cell of the arrival scan, about
+CELL_ROWS = 1 << 16
+_SUBS = 1 << 20  # cells of one slice at most
+
+
+def running_max(rows: DataFrame, key: str, tie: str, value: str, width: int,
+                cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Adds prev_max_us: the greatest ``value`` of the rows before, by the long ``key`` and
+    then ``tie`` (together unique). Rows without a key come first.
 
-    Exact and distributed: rows are range partitioned on the order (sampled bounds split
-    even a hot value, as the last order column breaks ties) and written as a columnar
-    table; one row per partition gives the carry from earlier partitions; a window per
-    partition does the rest. No step holds more than one balanced partition.
+    A carry scan that writes no row of the input: rows are counted for each slice of ``width``
+    of the key; a slice of more than ``cell_rows`` rows is cut into equal ranges of its own
+    span; the greatest value of each cell and the prefix maximum over the cells (a table of
+    cells) give every cell its carry; inside a cell an ordinary window does the rest. A cell
+    exceeds its size only where rows are much denser than in the rest of the slice: rows that
+    share one key are not parted.
     """
-    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(rows.repartitionByRange(n, *order)
-                         .withColumn("_part", F.spark_partition_id()))
-    parts = (ranged.groupBy("_part").agg(F.max(value).alias("_most"))
-             .transform(lambda d: prefix_scan(d, "_part", "_most", 1 << 20))
-             .select("_part", F.col("prev_max").alias("_carry")))
-    w = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (ranged.join(parts, "_part")
-            .withColumn("prev_max_us", F.greatest(F.max(value).over(w), F.col("_carry")))
-            .drop("_part", "_carry"))
+    slice_ = F.coalesce(floor_div(key, width), F.lit(-(1 << 42)))
+    sliced = rows.withColumn("_slice", slice_)
+    sizes = materialize(sliced.groupBy("_slice").agg(
+        F.least(F.ceil(F.count(F.lit(1)) / cell_rows), F.lit(_SUBS)).cast("long").alias("_cells"),
+        F.min(key).alias("_lo"), F.max(key).alias("_hi")))
+    span = F.col("_hi") - F.col("_lo") + 1
+    sub = F.coalesce(F.expr("(`%s` - _lo) * _cells div (_hi - _lo + 1)" % key), F.lit(0))
+    celled = sliced.join(sizes, "_slice").withColumn(
+        "_cell", F.col("_slice") * _SUBS + F.when(span > 1, sub).otherwise(0)).drop(
+        "_slice", "_cells", "_lo", "_hi")
+    most = materialize(celled.groupBy("_cell").agg(F.max(value).alias("_most")))
+    carry = prefix_scan(most, "_cell", "_most", 4096 * _SUBS).select(
+        "_cell", F.col("prev_max").alias("_carry"))
+    w = Window.partitionBy("_cell").orderBy(key, tie).rowsBetween(Window.unboundedPreceding, -1)
+    return (celled.withColumn("_own", F.max(value).over(w)).join(carry, "_cell")
+            .withColumn("prev_max_us", F.greatest("_own", "_carry"))
+            .drop("_cell", "_own", "_carry"))
 
 
 def _clocks(trips: DataFrame) -> DataFrame:
@@ -54,10 +72,10 @@ def _clocks(trips: DataFrame) -> DataFrame:
                         epoch_us("event_time").alias("et_us"))
 
 
-def out_of_order(trips: DataFrame, partitions: int | None = None) -> DataFrame:
+def out_of_order(trips: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Events whose event time is below the max event time of everything that arrived
     before them (arrival order = processing_time, then event_id)."""
-    seen = running_max(_clocks(trips), ["pt_us", "event_id"], "et_us", partitions)
+    seen = running_max(_clocks(trips), "pt_us", "event_id", "et_us", ARRIVAL_SLICE_US, cell_rows)
     return seen.select("event_id", "pt_us", "et_us", "prev_max_us",
                        F.coalesce(F.col("et_us") < F.col("prev_max_us"), F.lit(False))
                        .alias("out_of_order"))
@@ -95,10 +113,10 @@ def late_rate_tunnel(trips: DataFrame) -> DataFrame:
             .withColumn("late_rate", F.col("late") / F.col("events")))
 
 
-def arrival_order_check(rows: DataFrame, order: list[str], time: str) -> DataFrame:
-    """Each row of a frame in the order it landed (``order``): whether its ``time`` is no
-    earlier than that of every row before it."""
-    seen = running_max(rows, order, time)
+def arrival_order_check(rows: DataFrame, key: str, tie: str, time: str, width: int) -> DataFrame:
+    """Each row of a frame in the order it landed (long ``key``, then ``tie``): whether its
+    ``time`` is no earlier than that of every row before it."""
+    seen = running_max(rows, key, tie, time, width)
     return seen.withColumn("in_order", F.coalesce(F.col(time) >= F.col("prev_max_us"), F.lit(True)))
 
 

@@ -15,7 +15,7 @@ so a hot group (a third of all rows) would sit in one task's memory. Here:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lateflow.plans.scan import materialize
@@ -58,3 +58,23 @@ def exact_median(df: DataFrame, groups: list[str], value: str, tiebreak: str,
     return g.select(*groups, F.when(F.col("_n") % 2 == 1, F.col("_lo"))
                     .otherwise(F.lit(0.5) * F.col("_lo") + F.lit(0.5) * F.col("_hi"))
                     .alias(alias))
+
+
+def positioned(df: DataFrame, order: list[str | Column], name: str = "position",
+               partitions: int | None = None) -> DataFrame:
+    """The rows with their place (1, 2, ...) in a total order, so that the order is a value
+    that can be checked and survives a write.
+
+    Rows are range partitioned by the order and written once; one count for each partition
+    gives the places of its first row, and a window inside each partition does the rest.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted = materialize(df.repartitionByRange(n, *order)
+                         .withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (parted.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+             .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry")))
+    inside = Window.partitionBy("_part").orderBy(*order)
+    return (parted.join(carry, "_part")
+            .withColumn(name, F.col("_carry") + F.row_number().over(inside))
+            .drop("_part", "_carry"))

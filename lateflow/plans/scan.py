@@ -40,34 +40,45 @@ def _write(df: DataFrame, path: str) -> None:
     df.write.parquet(path)
 
 
-def prefix_scan(df: DataFrame, key: str, value: str, block_width: int) -> DataFrame:
+def prefix_scan(df: DataFrame, key: str, value: str, block_width: int,
+                sums: tuple[str, ...] = ()) -> DataFrame:
     """Add, for rows with unique long ``key`` ordered by key:
 
     * ``prev_max``: max of ``value`` over rows with a smaller key (null if none);
     * ``upto_max``: the same including the row itself;
-    * ``idx``: 0-based position of the row (dense index of keys).
-    Nulls in ``value`` are ignored, as ``max`` does. ``df`` should be cheap to read
-    twice (materialized metadata).
+    * ``idx``: 0-based position of the row (dense index of keys);
+    * for each column c of ``sums``, ``upto_c``: its sum up to and including the row.
+    Nulls in ``value`` are ignored, as ``max`` does, and count as 0 in sums. ``df`` should be
+    cheap to read twice (materialized metadata).
 
     The carry table has one row per block that holds rows.
     """
     blk = "_scan_blk"
     w = Window.partitionBy(blk).orderBy(key)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    zero = F.lit(0)
     d = (df.withColumn(blk, floor_div(key, block_width))
          .withColumn("_in_prev", F.max(value).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-         .withColumn("_in_idx", F.row_number().over(w) - 1))
+         .withColumn("_in_idx", F.row_number().over(w) - 1)
+         .select("*", *[F.coalesce(F.sum(c).over(upto), zero).alias(f"_in_{c}") for c in sums]))
     # block totals come from the block-partitioned rows (no further exchange); the carry
     # table has one row per block that holds rows, so it is broadcast
     wb = Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (d.groupBy(blk).agg(F.max(value).alias("_bmax"), F.count(F.lit(1)).alias("_bn"))
+    carry = (d.groupBy(blk).agg(F.max(value).alias("_bmax"), F.count(F.lit(1)).alias("_bn"),
+                                *[F.sum(c).alias(f"_b_{c}") for c in sums])
              .select(blk, F.max("_bmax").over(wb).alias("_carry_max"),
-                     F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_carry_n")))
+                     F.coalesce(F.sum("_bn").over(wb), zero).alias("_carry_n"),
+                     *[F.coalesce(F.sum(f"_b_{c}").over(wb), zero).alias(f"_carry_{c}")
+                       for c in sums]))
     prev = F.greatest(F.col("_in_prev"), F.col("_carry_max"))
     return (d.join(carry, blk)
             .withColumn("prev_max", prev)
             .withColumn("upto_max", F.greatest(prev, F.col(value)))
             .withColumn("idx", (F.col("_carry_n") + F.col("_in_idx")).cast("long"))
-            .drop(blk, "_in_prev", "_in_idx", "_carry_max", "_carry_n"))
+            .select("*", *[(F.col(f"_carry_{c}") + F.col(f"_in_{c}")).alias(f"upto_{c}")
+                           for c in sums])
+            .drop(blk, "_in_prev", "_in_idx", "_carry_max", "_carry_n",
+                  *[f"_{x}_{c}" for c in sums for x in ("in", "carry")]))
 
 
 def first_at_or_after(queries: DataFrame, qkey: str, steps: DataFrame, skey: str,

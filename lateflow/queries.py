@@ -17,6 +17,7 @@ from lateflow import oracle as O
 from lateflow.functions.timecols import date_of_us, epoch_us, iso_ms, parse_iso
 from lateflow.operators import health as H
 from lateflow.operators import quality as Q
+from lateflow.plans.rank import positioned
 from lateflow.plans.replay import Replay
 from lateflow.plans.scan import materialize
 from lateflow.schemas import DEFAULT_POLICY, DEFAULT_SLICE_MINUTES
@@ -69,6 +70,7 @@ def forget() -> None:
     """The next query derives its replay anew."""
     _LAST.clear()
     _LEDGERS.clear()
+    _stream_queries._STREAMS.clear()
 
 
 def replay_for(spark: SparkSession, sf_dir: str, policy=DEFAULT_POLICY,
@@ -289,13 +291,15 @@ def _tables(spark, sf_dir):
 SELECT COALESCE(c.zone, lz.zone) AS zone, COALESCE(c.counted, 0) AS counted,
        COALESCE(lz.late, 0) AS late,
        {O.late_share('COALESCE(c.counted, 0)', 'COALESCE(lz.late, 0)')} AS late_pct,
-       lz.median_delay_min
+       lz.median_delay_min, row_number() OVER (ORDER BY
+         {O.late_share('COALESCE(c.counted, 0)', 'COALESCE(lz.late, 0)')} DESC NULLS LAST,
+         COALESCE(c.zone, lz.zone) NULLS FIRST) AS position
 FROM (SELECT zone, CAST(sum(trip_count) AS BIGINT) AS counted FROM fin GROUP BY zone) c
 FULL OUTER JOIN (
   SELECT zone, count(*) AS late, round_even(median(arrival_delay_min), 0) AS median_delay_min
   FROM late_trips WHERE zone IS NOT NULL GROUP BY zone) lz ON c.zone = lz.zone"""))
 def q_late_by_zone(spark, sf_dir):
-    return H.late_by_zone(*_tables(spark, sf_dir)).orderBy(F.col("late_pct").desc(), "zone")
+    return positioned(H.late_by_zone(*_tables(spark, sf_dir)), [F.col("late_pct").desc(), "zone"])
 
 
 @register("delay_class_counts", O.with_replay("""
@@ -330,11 +334,13 @@ def q_window_completeness(spark, sf_dir):
 @register("zone_health", O.with_replay_more(WINDOW_COMPLETENESS_SQL, """
 SELECT zone, count(*) AS windows, count(*) FILTER (WHERE completeness < 1) AS incomplete,
        count(*) FILTER (WHERE counted = 0) AS missing,
-       round_even(avg(completeness), 3) AS mean_completeness
+       round_even(avg(completeness), 3) AS mean_completeness,
+       row_number() OVER (ORDER BY round_even(avg(completeness), 3) NULLS FIRST,
+                          zone NULLS FIRST) AS position
 FROM wcomp GROUP BY zone"""))
 def q_zone_health(spark, sf_dir):
-    return (H.zone_health(H.window_completeness(*_tables(spark, sf_dir)))
-            .orderBy("mean_completeness", "zone"))
+    return positioned(H.zone_health(H.window_completeness(*_tables(spark, sf_dir))),
+                      ["mean_completeness", "zone"])
 
 
 @register("worst_windows", O.with_replay_more(WINDOW_COMPLETENESS_SQL, """
@@ -460,9 +466,10 @@ def q_arrival_order_check(spark, sf_dir):
     (goes back wherever an event arrived late)."""
     rows = trips_for(spark, sf_dir).select("event_id", epoch_us("processing_time").alias("pt_us"))
     rows = rows.withColumn("number", F.col("event_id").cast("long"))
-    parts = [Q.arrival_order_check(rows, order, "pt_us").select(
+    parts = [Q.arrival_order_check(rows, key, "event_id", "pt_us", width).select(
         F.lit(name).alias("landed_by"), "event_id", "pt_us", "prev_max_us", "in_order")
-        for name, order in (("arrival", ["pt_us", "event_id"]), ("event", ["number"]))]
+        for name, key, width in (("arrival", "pt_us", Q.ARRIVAL_SLICE_US),
+                                 ("event", "number", 1 << 16))]
     return parts[0].unionByName(parts[1])
 
 
@@ -588,15 +595,16 @@ def q_bad_correction(spark, sf_dir):
 
 
 @register("asof_version", O.with_replay_more(LEDGER_SQL, f"""
-SELECT v AS as_of, {SNAP_COLS} FROM published, (
-  SELECT DISTINCT unnest([1, n // 2, n]) AS v FROM nver) probes WHERE version <= v
-UNION ALL SELECT (SELECT n FROM nver) + 1, {SNAP_COLS} FROM snap_bad
-UNION ALL SELECT (SELECT n FROM nver) + 2, {SNAP_COLS} FROM snap_before"""))
+SELECT *, row_number() OVER (ORDER BY as_of, window_start_us, zone) AS position FROM (
+  SELECT v AS as_of, {SNAP_COLS} FROM published, (
+    SELECT DISTINCT unnest([1, n // 2, n]) AS v FROM nver) probes WHERE version <= v
+  UNION ALL SELECT (SELECT n FROM nver) + 1, {SNAP_COLS} FROM snap_bad
+  UNION ALL SELECT (SELECT n FROM nver) + 2, {SNAP_COLS} FROM snap_before) s"""))
 def q_asof_version(spark, sf_dir):
     led = ledger_for(spark, sf_dir)
     n = led.last
-    return _dates(led.as_of_versions([1, n // 2, n, n + 1, n + 2])
-                  .orderBy("as_of", "window_start_us", "zone"))
+    return _dates(positioned(led.as_of_versions([1, n // 2, n, n + 1, n + 2]),
+                             ["as_of", "window_start_us", "zone"]))
 
 
 @register("restore_snapshot", O.with_replay_more(LEDGER_SQL, f"""
@@ -804,3 +812,6 @@ def q_diagnose_days(spark, sf_dir):
     from lateflow.operators.versions import diagnose_days
 
     return _dates(diagnose_days(ledger_for(spark, sf_dir), "bad"))
+
+
+from lateflow import stream_queries as _stream_queries  # noqa: E402  registers its queries

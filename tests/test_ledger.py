@@ -1,254 +1,194 @@
-"""Versioned tables: partitions, exactly-once appends, evolution, time travel, compaction,
-and the correction / time travel / restore walkthrough."""
+"""Versioned tables against a model: random commits, replays, overwrites and restores, every
+version read back and compared with a list of rows kept in Python."""
 
 import datetime as dt
-import re
+import random
 
 import pytest
-from conftest import M
 from pyspark.sql import functions as F
 
-from lateflow.functions.timecols import date_of_us
-from lateflow.operators.health import count_by, order_count_by
 from lateflow.operators.repair import recount, row_difference, zone_change
 from lateflow.operators.versions import busiest_day
-from lateflow.schemas import COUNTS_TABLE, EVENT_SCHEMA, LATE_COLUMNS, LATE_TABLE
+from lateflow.schemas import COUNTS_TABLE, LATE_TABLE
 from lateflow.sources.ledger import pipeline_tables
 
-DAY0 = 1_790_553_600_000_000  # 2026-09-28T00:00:00Z
-DAY_US = 24 * 60 * M
-DAY3, DAY4 = dt.date(2026, 9, 30), dt.date(2026, 10, 1)
-
-
-def window_rows(spark, rows):
-    """(start_us, zone, n, batch_id, surge, finalized_offset_min) -> counts rows."""
-    data = [(s, s + 15 * M, z, n, surge, s + off * M, b) for s, z, n, b, surge, off in rows]
-    df = spark.createDataFrame(data, "ws BIGINT, we BIGINT, zone STRING, trip_count BIGINT, "
-                                     "avg_surge_multiplier DOUBLE, fw BIGINT, batch_id BIGINT")
-    return df.select(F.timestamp_micros("ws").alias("window_start"),
-                     F.timestamp_micros("we").alias("window_end"), "zone", "trip_count",
-                     "avg_surge_multiplier",
-                     F.timestamp_micros("fw").alias("finalized_at_watermark"), "batch_id",
-                     date_of_us("ws").alias("window_date"))
-
-
-def wrow(minute, zone, n, batch_id, surge=None):
-    return (DAY0 + minute * M, zone, n, batch_id, surge, 20)
-
-
-@pytest.fixture()
-def tables(spark, tmpdir_path):
-    t = pipeline_tables(spark, tmpdir_path)
-    for x in t.values():
-        x.ensure()
-    return t
-
-
-def test_tables_are_created_partitioned_and_empty(tables):
-    for name, column in [(COUNTS_TABLE, "window_date"), (LATE_TABLE, "event_date")]:
-        assert tables[name].spec.partition_column == column
-        assert tables[name].read().count() == 0
-    assert tables[LATE_TABLE].ensure() is False  # second call is a no-op
-    assert tables[LATE_TABLE].version() == 0
-
-
-def test_append_commits_batch_id_as_txn_version(spark, tables):
-    t = tables[COUNTS_TABLE]
-    assert t.append(window_rows(spark, [wrow(0, "Z1", 3, 0)]), "q1", 0)
-    assert t.committed_version("q1") == 0
-    assert t.committed_version("q2") is None
-
-
-def test_replayed_batch_is_skipped(spark, tables):
-    t = tables[COUNTS_TABLE]
-    rows = window_rows(spark, [wrow(0, "Z1", 3, 0)])
-    t.append(rows, "q1", 0)
-    t.append(window_rows(spark, [wrow(15, "Z1", 1, 1)]), "q1", 1)
-    assert t.append(rows, "q1", 0) is False
-    assert t.append(rows, "q1", 1) is False
-    assert t.read().count() == 2
-
-
-def test_new_query_id_is_not_blocked_by_old_one(spark, tables):
-    t = tables[COUNTS_TABLE]
-    t.append(window_rows(spark, [wrow(0, "Z1", 3, 5)]), "old-query", 5)
-    assert t.append(window_rows(spark, [wrow(15, "Z1", 1, 0)]), "new-query", 0)
-
-
-def test_time_travel_to_earlier_version(spark, tables):
-    t = tables[COUNTS_TABLE]
-    t.append(window_rows(spark, [wrow(0, "Z1", 3, 0)]), "q1", 0)
-    t.append(window_rows(spark, [wrow(15, "Z1", 1, 1)]), "q1", 1)
-    assert t.read(1).count() == 1
-    assert t.read().count() == 2
-    ts = t.commits()[1]["timestamp"]
-    assert t.version_as_of(ts) == 1 and t.read_as_of(ts).count() == 1
-
-
-def test_compact_keeps_rows_and_txn(spark, tables):
-    t = tables[COUNTS_TABLE]
-    for b in range(4):
-        t.append(window_rows(spark, [wrow(15 * b, "Z1", b + 1, b)]), "q1", b)
-    before = t.version()
-    m = t.compact()
-    assert m["numFilesRemoved"] == 4 and t.file_count() == 1
-    assert t.read().count() == 4
-    assert t.committed_version("q1") == 3
-    assert t.read(before).count() == 4  # earlier versions stay readable
-
-
-def test_count_by_orders_by_count_then_key(spark, tables):
-    t = tables[COUNTS_TABLE]
-    t.append(window_rows(spark, [wrow(0, "Z1", 1, 0), wrow(0, "Z2", 1, 0),
-                                 wrow(15, "Z1", 1, 0)]), "q1", 0)
-    got = [tuple(r) for r in order_count_by(count_by(t.read(), ["zone"]), ["zone"]).collect()]
-    assert got == [("Z1", 2), ("Z2", 1)]
-
-
-def test_tables_start_without_schema_v2_columns(tables):
-    assert "avg_surge_multiplier" not in tables[COUNTS_TABLE].columns_at()
-    assert "surge_multiplier" not in tables[LATE_TABLE].columns_at()
-
-
-def test_all_null_new_column_does_not_evolve_schema(spark, tables):
-    t = tables[COUNTS_TABLE]
-    t.append(window_rows(spark, [wrow(0, "Z1", 3, 0)]), "q1", 0)
-    assert "avg_surge_multiplier" not in t.columns_at()
-    assert t.schema_changes() == []
-
-
-def test_first_value_evolves_schema_once(spark, tables):
-    t = tables[COUNTS_TABLE]
-    t.append(window_rows(spark, [wrow(0, "Z1", 3, 0)]), "q1", 0)
-    t.append(window_rows(spark, [wrow(15, "Z1", 1, 1, 1.5)]), "q1", 1)
-    t.append(window_rows(spark, [wrow(30, "Z1", 2, 2)]), "q1", 2)
-    assert t.schema_changes() == [
-        {"version": 2, "txn_version": 1, "columns": ["avg_surge_multiplier"]}]
-    assert "avg_surge_multiplier" not in t.read(1).columns
-    assert "avg_surge_multiplier" in t.read(2).columns
-    surge = [r["avg_surge_multiplier"] for r in t.read().orderBy("window_start").collect()]
-    assert surge == [None, 1.5, None]
-    assert t.append(window_rows(spark, [wrow(15, "Z1", 1, 1, 1.5)]), "q1", 1) is False
-
-
-def test_micros_to_date_is_utc(spark):
-    df = spark.createDataFrame([(DAY0,), (DAY0 - 1,)], "us LONG")
-    assert [r[0] for r in df.select(date_of_us("us")).collect()] == \
-        [dt.date(2026, 9, 28), dt.date(2026, 9, 27)]
-
-
-def test_late_events_table_carries_every_input_column():
-    inputs = [m.group(1) for m in re.finditer(r"(\w+)\s+[A-Z]+", EVENT_SCHEMA)]
-    assert inputs == [n for n, _ in LATE_COLUMNS[:len(inputs)]]
-
-
-# --------------------------------------------------------- correction walkthrough
-def late_rows(spark, rows):
-    """(day, minute, zone, surge) late trips."""
-    data = []
-    for day, minute, zone, surge in rows:
-        t = DAY0 + day * DAY_US + minute * M
-        s = t - t % (15 * M)
-        data.append((f"{zone}-{t}", t, zone, surge, s))
-    df = spark.createDataFrame(data, "event_id STRING, t BIGINT, pickup_zone STRING, "
-                                     "surge_multiplier DOUBLE, s BIGINT")
+DAYS = [dt.date(2024, 2, 27) + dt.timedelta(days=i) for i in range(4)]  # over a leap day
+SCHEMA = ("day DATE, quarter INT, zone STRING, trip_count BIGINT, avg_surge_multiplier DOUBLE, "
+          "batch_id BIGINT")
+
+
+def frame(spark, rows):
+    start = F.expr("CAST(day AS TIMESTAMP) + make_dt_interval(0, 0, 15 * quarter)")
+    return spark.createDataFrame(rows, SCHEMA).select(
+        start.alias("window_start"), (start + F.expr("INTERVAL 15 MINUTES")).alias("window_end"),
+        "zone", "trip_count", "avg_surge_multiplier",
+        F.lit(None).cast("timestamp").alias("finalized_at_watermark"), "batch_id",
+        F.col("day").alias("window_date"))
+
+
+def shown(df):
+    """Rows as the model keeps them; a column that a version lacks reads as absent."""
+    surge = "avg_surge_multiplier" in df.columns
+    return sorted(((r["window_date"], r["zone"], r["trip_count"],
+                    r["avg_surge_multiplier"] if surge else None, r["batch_id"])
+                   for r in df.collect()), key=str), surge
+
+
+class Model:
+    """Rows and columns of every version."""
+
+    def __init__(self):
+        self.versions = [([], False)]
+        self.done = {}
+
+    def push(self, rows, surge):
+        self.versions.append((sorted(rows, key=str), surge))
+
+    @property
+    def now(self):
+        return self.versions[-1]
+
+
+def some_rows(rng, days, batch_id, surge):
+    return [(rng.choice(days), rng.randint(0, 95), rng.choice("KLM"), rng.randint(1, 9),
+             rng.choice([None, 1.5]) if surge else None, batch_id)
+            for _ in range(rng.randint(1, 5))]
+
+
+def flat(rows):
+    return [(d, z, n, s, b) for d, _, z, n, s, b in rows]
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_every_version_equals_the_model(spark, tmpdir_path, seed):
+    rng, model = random.Random(seed), Model()
+    table = pipeline_tables(spark, tmpdir_path)[COUNTS_TABLE]
+    assert table.ensure() and not table.ensure()
+    kinds = ["append"] * 6 + ["replay"] * 2 + ["overwrite", "restore", "compact"]
+    rng.shuffle(kinds)
+    for step, kind in enumerate(["append", *kinds, "append"]):
+        rows, surge = model.now
+        if kind == "append":
+            writer = rng.choice(["p", "q"])
+            number = model.done.get(writer, -1) + rng.randint(1, 2)  # batches may commit nothing
+            new = some_rows(rng, DAYS, number, step > 4)
+            assert table.append(frame(spark, new), writer, number)
+            model.done[writer] = number
+            model.push(rows + flat(new), surge or any(r[4] is not None for r in new))
+        elif kind == "replay" and model.done:
+            writer, last = rng.choice(sorted(model.done.items()))
+            again = frame(spark, some_rows(rng, DAYS, last, True))
+            assert not table.append(again, writer, rng.randint(0, last))
+        elif kind == "overwrite":
+            day = rng.choice(DAYS)
+            new = some_rows(rng, [day], -1, False)
+            table.overwrite_partitions(frame(spark, new), [day.isoformat()])
+            model.push([r for r in rows if r[0] != day] + flat(new), surge)
+        elif kind == "restore":
+            back = rng.randrange(len(model.versions))
+            table.restore(back)
+            model.push(*model.versions[back])
+        elif kind == "compact":
+            days = {r[0] for r in rows}
+            assert table.compact()["numFilesAdded"] == len(days)
+            model.push(rows, surge)
+    table.refresh()
+    assert table.version() == len(model.versions) - 1
+    for version, want in enumerate(model.versions):
+        assert shown(table.read(version)) == want, (version, table.commits()[version])
+    stamps = [c["timestamp"] for c in table.commits()]
+    assert stamps == sorted(set(stamps))
+    for version, stamp in enumerate(stamps):
+        assert table.version_as_of(stamp) == version
+    assert {w: table.committed_version(w) for w in ("p", "q", "none")} == {
+        w: model.done.get(w) for w in ("p", "q", "none")}
+    widened = [c["version"] for c in table.schema_changes()]
+    first = next((v for v, (_, s) in enumerate(model.versions) if s), None)
+    assert widened[:1] == ([first] if first is not None else [])
+
+
+def test_nothing_is_committed_by_an_empty_append(spark, tmpdir_path):
+    for table in pipeline_tables(spark, tmpdir_path).values():
+        table.ensure()
+        assert not table.append(table.read(), "w", 0)
+        assert table.version() == 0 and table.committed_version("w") is None
+        with pytest.raises(LookupError):
+            table.read(1)
+        with pytest.raises(LookupError):
+            table.version_as_of(table.commits()[0]["timestamp"] - 1)
+
+
+def test_of_two_writers_at_one_version_the_second_fails_and_harms_nothing(spark, tmpdir_path):
+    rng = random.Random(5)
+    one, two = (pipeline_tables(spark, tmpdir_path)[COUNTS_TABLE] for _ in range(2))
+    one.ensure()
+    two.commits()
+    first, second = some_rows(rng, DAYS, 0, False), some_rows(rng, DAYS, 0, False)
+    assert one.append(frame(spark, first), "one", 0)
+    with pytest.raises(FileExistsError):
+        two.append(frame(spark, second), "two", 0)
+    assert shown(one.refresh().read())[0] == sorted(flat(first), key=str)
+    assert two.refresh().append(frame(spark, second), "two", 0)
+    assert shown(one.refresh().read())[0] == sorted(flat(first + second), key=str)
+
+
+@pytest.mark.parametrize("outside", [None, DAYS[3]])
+def test_an_overwrite_takes_rows_of_its_partitions_only(spark, tmpdir_path, outside):
+    table = pipeline_tables(spark, tmpdir_path)[COUNTS_TABLE]
+    table.ensure()
+    rows = frame(spark, [(DAYS[0], 3, "K", 2, None, 0)])
+    table.append(rows, "w", 0)
+    with pytest.raises(ValueError):
+        table.overwrite_partitions(rows.withColumn("window_date", F.lit(outside).cast("date")),
+                                   [DAYS[0].isoformat()])
+    assert table.read().exceptAll(rows.drop("avg_surge_multiplier")).isEmpty()
+
+
+# ------------------------------------------------------------------- repairs of a day
+def late_trips(spark, rows):
+    """(minute of the event, minute its window starts, window length, zone), from DAYS[0]."""
+    at = "CAST(DATE'2024-02-27' AS TIMESTAMP) + make_dt_interval(0, 0, {})"
+    df = spark.createDataFrame([(f"t{i}", *r) for i, r in enumerate(rows)],
+                               "event_id STRING, m INT, s INT, w INT, pickup_zone STRING")
     return df.select("event_id", F.lit("trip_started").alias("event_type"),
-                     F.timestamp_micros("t").alias("event_time"), "pickup_zone",
-                     "surge_multiplier", F.lit("beyond_watermark").alias("late_reason"),
-                     F.timestamp_micros("s").alias("window_start"),
-                     F.timestamp_micros(F.col("s") + 15 * M).alias("window_end"),
-                     date_of_us("t").alias("event_date"))
+                     F.expr(at.format("m")).alias("event_time"), "pickup_zone",
+                     F.lit("beyond_watermark").alias("late_reason"),
+                     F.expr(at.format("s")).alias("window_start"),
+                     F.expr(at.format("s + w")).alias("window_end"),
+                     F.to_date(F.expr(at.format("m"))).alias("event_date"))
 
 
-@pytest.fixture()
-def scenario(spark, tables):
+def test_a_day_rebuilt_from_its_late_trips_is_seen_and_undone(spark, tmpdir_path):
+    tables = pipeline_tables(spark, tmpdir_path)
     counts, late = tables[COUNTS_TABLE], tables[LATE_TABLE]
-    day = lambda d, minute, z, n, surge=None: (DAY0 + d * DAY_US + minute * M, z, n, 0, surge, 30)
-    counts.append(window_rows(spark, [day(2, 0, "Z1", 10), day(2, 15, "Z2", 7)]), "q", 0)
-    late.append(late_rows(spark, [(2, 5, "Z1", None), (2, 20, "Z1", None)]), "q", 0)
-    counts.append(window_rows(spark, [day(3, 0, "Z1", 4, 1.5)]), "q", 1)
-    late.append(late_rows(spark, [(3, 3, "Z2", 2.0)]), "q", 1)
-    return tables
-
-
-def by_zone(counts, day):
-    rows = counts.filter(F.col("window_date") == F.lit(day)).groupBy("zone").agg(
-        F.sum("trip_count").alias("n"))
-    return {r["zone"]: r["n"] for r in rows.collect()}
-
-
-def test_new_columns_and_their_values_by_partition(scenario):
-    counts = scenario[COUNTS_TABLE]
-    (change,) = counts.schema_changes()
-    assert change["columns"] == ["avg_surge_multiplier"]
-    split = {r["window_date"]: (r["n"], r["v"]) for r in counts.read().groupBy("window_date").agg(
-        F.count(F.lit(1)).alias("n"), F.count("avg_surge_multiplier").alias("v")).collect()}
-    assert split == {DAY3: (2, 0), DAY4: (1, 1)}
-    assert scenario[LATE_TABLE].schema_changes()[0]["columns"] == ["surge_multiplier"]
+    for t in tables.values():
+        t.ensure()
+    published = [(d, q, z, 5, None, 0) for d in DAYS for q in (0, 1) for z in "KL"]
+    counts.append(frame(spark, published), "w", 0)
+    day = 24 * 60
+    late.append(late_trips(spark, [(day + 3, day, 15, "K"), (day + 4, day, 15, "K"),
+                                   (day + 20, day + 15, 15, "M"), (5, 0, 15, "L")]), "w", 0)
+    busiest = busiest_day(late.read()).first()["day"]
+    assert busiest == DAYS[1]
+    good = counts.version()
+    bad = counts.overwrite_partitions(recount(late.read(), busiest, F.current_timestamp()),
+                                      [busiest.isoformat()])
+    lost = {r["zone"]: r["lost"] for r in zone_change(counts.read(good), counts.read(bad)).collect()}
+    assert lost == {"K": 8, "L": 10, "M": -1, "TOTAL": 17}
+    assert tuple(row_difference(counts.read(bad), counts.read(good)).first()) == (2, 4)
+    counts.restore(good)
+    assert tuple(row_difference(counts.read(), counts.read(good)).first()) == (0, 0)
 
 
-def test_busiest_day_is_the_one_with_most_late_trips(scenario):
-    assert busiest_day(scenario[LATE_TABLE].read()).first()["day"] == DAY3
+def test_a_window_belongs_to_the_day_it_starts(spark):
+    rows = late_trips(spark, [(1435, 1410, 60, "K"), (1465, 1410, 60, "K"), (1475, 1470, 60, "K")])
+    got = [(r["window_date"], r["trip_count"]) for r in
+           recount(rows, DAYS[0], F.current_timestamp()).collect()]
+    assert got == [(DAYS[0], 2)]
 
 
-def test_a_day_rebuilt_from_late_trips_is_found_and_restored(scenario):
-    counts, late = scenario[COUNTS_TABLE], scenario[LATE_TABLE].read()
-    good = counts.version()
-    bad = counts.overwrite_partitions(recount(late, DAY3, F.current_timestamp()),
-                                      [DAY3.isoformat()])
-    assert by_zone(counts.read(), DAY3) == {"Z1": 2}
-    assert by_zone(counts.read(), DAY4) == {"Z1": 4}
-    assert by_zone(counts.read(good), DAY3) == {"Z1": 10, "Z2": 7}
-    at = next(c["timestamp"] for c in counts.commits() if c["version"] == good)
-    assert [counts.version_as_of(at + d) for d in (-1, 0)] == [good - 1, good]
-    on_day = F.col("window_date") == F.lit(DAY3)
-    change = {r["zone"]: (r["before"], r["after"], r["lost"]) for r in zone_change(
-        counts.read(good).filter(on_day), counts.read(bad).filter(on_day)).collect()}
-    assert change == {"Z1": (10, 2, 8), "Z2": (7, 0, 7), "TOTAL": (17, 2, 15)}
-    assert tuple(row_difference(counts.read(bad), counts.read(good)).first()) == (2, 2)
-    counts.restore(good)
-    assert tuple(row_difference(counts.read(), counts.read(good)).first()) == (0, 0)
-    assert counts.commits()[-1]["operation"] == "RESTORE"
-
-
-def test_a_null_zone_is_not_the_total(spark):
-    rows = spark.createDataFrame([("Z1", 2), (None, 3)], "zone STRING, trip_count BIGINT")
-    got = [tuple(r) for r in zone_change(rows, rows.limit(0)).collect()]
-    assert sorted(got, key=str) == sorted([("Z1", 2, 0, 2), (None, 3, 0, 3),
-                                           ("TOTAL", 5, 0, 5)], key=str)
-
-
-def test_recount_takes_the_windows_of_the_day_not_the_events(spark):
-    """A window that begins before midnight keeps its late trips of after midnight."""
-    start = DAY0 + DAY_US - 45 * M
-    late = spark.createDataFrame(
-        [("a", start + 10 * M, start), ("b", start + 80 * M, start)],
-        "event_id STRING, t BIGINT, s BIGINT").select(
-        F.lit("trip_started").alias("event_type"), F.timestamp_micros("t").alias("event_time"),
-        F.lit("Z1").alias("pickup_zone"), F.timestamp_micros("s").alias("window_start"),
-        F.timestamp_micros(F.col("s") + 90 * M).alias("window_end"),
-        date_of_us("t").alias("event_date"))
-    rows = recount(late, dt.date(2026, 9, 28), F.current_timestamp()).collect()
-    assert [(r["trip_count"], r["window_date"]) for r in rows] == [(2, dt.date(2026, 9, 28))]
-
-
-def test_a_stale_writer_harms_no_committed_version(spark, tables, tmpdir_path):
-    stale = tables[COUNTS_TABLE]
-    stale.commits()  # cached
-    other = pipeline_tables(spark, tmpdir_path)[COUNTS_TABLE]
-    assert other.append(window_rows(spark, [wrow(0, "Z7", 7, 0)]), "b", 0)
-    with pytest.raises(FileExistsError):
-        stale.append(window_rows(spark, [wrow(0, "Z1", 1, 0)]), "a", 0)
-    assert [(r["zone"], r["trip_count"]) for r in other.refresh().read().collect()] == [("Z7", 7)]
-    assert stale.refresh().append(window_rows(spark, [wrow(0, "Z1", 1, 0)]), "a", 0)
-    assert other.refresh().read().count() == 2 and other.read(1).count() == 1
-
-
-def test_overwrite_refuses_rows_of_other_partitions_null_included(spark, tables):
-    t = tables[COUNTS_TABLE]
-    t.append(window_rows(spark, [wrow(0, "Z1", 3, 0)]), "q", 0)
-    rows = window_rows(spark, [wrow(0, "Z1", 1, -1)])
-    for outside in (F.lit(None).cast("date"), F.lit(DAY4)):
-        with pytest.raises(ValueError):
-            t.overwrite_partitions(rows.withColumn("window_date", outside), ["2026-09-28"])
-    assert t.read().first()["trip_count"] == 3
+def test_the_total_is_a_row_of_its_own_beside_a_null_zone(spark):
+    rows = spark.createDataFrame([("K", 4), (None, 1)], "zone STRING, trip_count BIGINT")
+    got = {(r["zone"], r["before"], r["after"], r["lost"])
+           for r in zone_change(rows.limit(0), rows).collect()}
+    assert got == {("K", 0, 4, -4), (None, 0, 1, -1), ("TOTAL", 0, 5, -5)}

@@ -1,117 +1,102 @@
-"""Lateness policy: small exact vectors (window 15 min, lateness 10 min)."""
+"""Time arithmetic, lateness and the steps of the policy, against plain integers."""
+
+import random
 
 import pytest
-from conftest import M
 from pyspark.sql import functions as F
 
-from lateflow.functions.timecols import floor_to, late_reason
-from lateflow.schemas import STATE_SCHEMA, LatenessPolicy
-from lateflow.streaming.job import (StateStore, advance_watermark, closes, finalized_rows,
-                                    merge_partials)
-
-POLICY = LatenessPolicy(window_minutes=15, allowed_lateness_minutes=10)
-
-
-def partials(spark, rows):
-    """(start, zone, n[, surge_sum, surge_n]) tuples as a partials DataFrame."""
-    return spark.createDataFrame([(r[0], r[1], r[2], r[3] if len(r) > 3 else None,
-                                   r[4] if len(r) > 4 else 0) for r in rows], STATE_SCHEMA)
-
-
-def step(spark, state, batch_rows, batch_max, meta):
-    """One policy step: merge, advance, split. Returns (finalized list, open df, meta)."""
-    merged = merge_partials(state, partials(spark, batch_rows))
-    max_et, wm = advance_watermark(meta[0], meta[1], batch_max, POLICY)
-    fin = finalized_rows(merged, wm, 0, POLICY).select(
-        F.unix_micros("window_start").alias("s"), "zone", "trip_count",
-        "avg_surge_multiplier").collect()
-    open_ = merged.filter(~closes(wm, POLICY))
-    return sorted(tuple(r) for r in fin), open_, (max_et, wm)
-
-
-def test_nothing_is_late_before_first_watermark(spark):
-    df = spark.createDataFrame([(0,)], "et LONG")
-    assert df.select(late_reason("et", F.lit(0), F.lit(None).cast("long"))).first()[0] is None
-
-
-def test_watermark_trails_max_event_time_and_never_regresses():
-    meta = advance_watermark(None, None, 100 * M, POLICY)
-    assert meta[1] == 90 * M
-    meta = advance_watermark(*meta, 50 * M, POLICY)
-    assert meta[1] == 90 * M
-
-
-def test_window_finalizes_once_when_watermark_passes_its_end(spark):
-    empty = spark.createDataFrame([], STATE_SCHEMA)
-    fin, st, meta = step(spark, empty, [(0, "Z1", 3)], 20 * M, (None, None))
-    assert fin == []  # W=10 < end 15
-    fin, st, meta = step(spark, st, [(0, "Z1", 2)], 25 * M, meta)
-    assert fin == [(0, "Z1", 5, None)]  # W=15
-    assert st.count() == 0
-    fin, st, meta = step(spark, st, [], 40 * M, meta)
-    assert fin == []
-
-
-def test_late_window_classification(spark):
-    wm = advance_watermark(None, None, 60 * M, POLICY)[1]  # W=50
-    df = spark.createDataFrame([(1, 45 * M), (2, 60 * M)], "id INT, end_us LONG")
-    got = dict(df.select("id", late_reason(F.lit(1), "end_us", F.lit(wm))).collect())
-    assert got == {1: "beyond_watermark", 2: None}
-
-
-def test_surge_is_averaged_across_batches(spark):
-    empty = spark.createDataFrame([], STATE_SCHEMA)
-    fin, st, meta = step(spark, empty, [(0, "Z1", 2, 3.0, 2)], 20 * M, (None, None))
-    fin, st, meta = step(spark, st, [(0, "Z1", 2, 2.0, 1)], 25 * M, meta)
-    assert fin == [(0, "Z1", 4, round(5.0 / 3, 4))]
-    assert st.count() == 0
-
-
-def test_null_event_time_keeps_its_row(spark):
-    df = spark.createDataFrame([(None,), (7 * M,)], "et LONG")
-    rows = df.select(floor_to("et", 15 * M).alias("s"),
-                     late_reason("et", F.lit(0), F.lit(None).cast("long")).alias("r")).collect()
-    assert len(rows) == 2
-    assert (None, "missing_event_time") in [tuple(r) for r in rows]
-
-
-def test_a_batch_starts_from_the_snapshot_before_it(spark, tmpdir_path):
-    store = StateStore(spark, tmpdir_path + "/state", "w1")
-    assert store.before(0)[0] == {"max_event_time_us": None, "watermark_us": None}
-    for batch_id, max_t in [(0, 20), (1, 40), (2, 60)]:
-        meta, df = store.before(batch_id)
-        max_et, wm = advance_watermark(meta["max_event_time_us"], meta["watermark_us"],
-                                       max_t * M, POLICY)
-        store.save(batch_id, {"max_event_time_us": max_et, "watermark_us": wm}, df)
-    assert store.before(2)[0]["watermark_us"] == 30 * M  # replay of 2 starts from 1
-    assert store.newest()[0]["watermark_us"] == 50 * M
-
-
-def test_missing_zone_is_routed_only_when_enabled(spark):
-    from lateflow.streaming.job import classify_batch
-
-    rows = spark.createDataFrame(
-        [("a", "trip_started", None), ("b", "trip_completed", None), ("c", "trip_started", "Z01")],
-        "event_id STRING, event_type STRING, pickup_zone STRING").selectExpr(
-        "event_id", "event_type", "pickup_zone",
-        "timestamp_micros(600000000) AS event_time")
-    counting = LatenessPolicy(15, 10, route_missing_zone=False)
-    off = dict(classify_batch(rows, None, counting).select("event_id", "late_reason").collect())
-    assert off == {"a": None, "b": None, "c": None}
-    on = dict(classify_batch(rows, None, POLICY).select("event_id", "late_reason").collect())
-    assert on == {"a": "missing_zone", "b": None, "c": None}
-
-
-def test_writers_keep_their_own_snapshots_however_many(spark, tmpdir_path):
-    empty = spark.createDataFrame([], STATE_SCHEMA)
-    first = StateStore(spark, tmpdir_path + "/state", "w1")
-    for b in range(14):
-        first.save(b, {"max_event_time_us": b, "watermark_us": b}, empty)
-    second = StateStore(spark, tmpdir_path + "/state", "w2")
-    assert second.before(0)[0]["watermark_us"] is None  # a new writer starts from nothing
+from lateflow.functions.timecols import date_of_us, floor_div, floor_to, late_reason, policy_reason
+from lateflow.schemas import STATE_SCHEMA, US_PER_DAY, LatenessPolicy
+from lateflow.streaming.job import (StateStore, advance_watermark, classify_batch, closes,
+                                    finalized_rows, merge_partials)
+
+MINUTE = 60_000_000
+INSTANTS = [0, 1, -1, MINUTE - 1, MINUTE, -MINUTE, US_PER_DAY - 1, US_PER_DAY, -US_PER_DAY,
+            1_709_164_800_000_000, 1_709_251_199_999_999]  # the last two: a 29 February
+
+
+@pytest.mark.parametrize("width", [1, MINUTE, 45 * MINUTE, US_PER_DAY])
+def test_bounds_are_floors_on_both_sides_of_the_epoch(spark, width):
+    rng = random.Random(width)
+    values = INSTANTS + [rng.randint(-10**15, 10**15) for _ in range(50)] + [None]
+    df = spark.createDataFrame([(v,) for v in values], "us BIGINT")
+    got = df.select("us", floor_to("us", width), floor_div("us", width),
+                    F.datediff(date_of_us("us"), F.lit("1970-01-01").cast("date"))).collect()
+    assert len(got) == len(values)  # a null is a row as well
+    for us, start, number, day in got:
+        assert (start, number, day) == ((None,) * 3 if us is None else (
+            us // width * width, us // width, us // US_PER_DAY))
+
+
+def test_reasons_of_all_combinations(spark):
+    cells = [(et, end, mark, zone, kind) for et in (None, 5) for end in (9, 10, 11)
+             for mark in (None, 10) for zone in (None, "K")
+             for kind in ("trip_started", "trip_completed")]
+    df = spark.createDataFrame(cells, "et BIGINT, end BIGINT, mark BIGINT, pickup_zone STRING, "
+                                      "event_type STRING")
+    got = df.select("*", late_reason("et", "end", "mark"),
+                    policy_reason("et", "end", "mark", True)).collect()
+    for et, end, mark, zone, kind, plain, routed in got:
+        want = ("missing_event_time" if et is None else
+                "beyond_watermark" if mark is not None and end <= mark else None)
+        assert plain == want
+        assert routed == (want or ("missing_zone" if zone is None and kind == "trip_started" else None))
+
+
+@pytest.mark.parametrize("route", [True, False])
+def test_a_batch_is_classified_by_the_policy(spark, route):
+    df = spark.createDataFrame([(z, k) for z in ("K", None) for k in ("trip_started", "other")],
+                               "pickup_zone STRING, event_type STRING").withColumn(
+        "event_time", F.timestamp_micros(F.lit(3 * MINUTE)))
+    got = classify_batch(df, None, LatenessPolicy(5, 1, route_missing_zone=route)).collect()
+    assert {(r["window_start_us"], r["window_end_us"]) for r in got} == {(0, 5 * MINUTE)}
+    assert sorted(r["late_reason"] or "" for r in got) == ["", "", "", "missing_zone" * route]
+
+
+def test_the_watermark_is_the_running_maximum_less_the_lateness():
+    rng, policy = random.Random(2), LatenessPolicy(7, 3)
+    newest = mark = None
+    seen = []
+    for _ in range(200):
+        batch = rng.choice([None, rng.randint(-500, 500) * MINUTE])
+        seen += [batch] * (batch is not None)
+        newest, mark = advance_watermark(newest, mark, batch, policy)
+        assert (newest, mark) == ((max(seen), max(seen) - 3 * MINUTE) if seen else (None, None))
+
+
+def test_partials_merge_and_close_at_the_window_end(spark):
+    policy = LatenessPolicy(10, 0)
+    rng = random.Random(3)
+    rows = [(rng.choice([0, 10, 20]) * MINUTE, rng.choice(["K", "L"]), 1, s, int(s is not None))
+            for s in (rng.choice([None, 1.0, 1.5, 2.25]) for _ in range(60))]
+    state, partials = (spark.createDataFrame(part, STATE_SCHEMA) for part in (rows[:25], rows[25:]))
+    merged = merge_partials(state, partials)
+    for mark in (None, 10 * MINUTE - 1, 10 * MINUTE, 30 * MINUTE):
+        done = [(F_us, z, n, a) for F_us, z, n, a in finalized_rows(merged, mark, 4, policy).select(
+            F.unix_micros("window_start"), "zone", "trip_count", "avg_surge_multiplier").collect()]
+        want = []
+        for key in sorted({r[:2] for r in rows}):
+            own = [r for r in rows if r[:2] == key]
+            surges = [r[3] for r in own if r[3] is not None]
+            if mark is not None and key[0] + 10 * MINUTE <= mark:
+                want.append((*key, len(own), round(sum(surges) / len(surges), 4) if surges else None))
+        assert sorted(done) == want
+        assert merged.filter(~closes(mark, policy)).count() + len(done) == merged.count()
+
+
+def test_a_snapshot_is_found_by_its_writer_and_batch_only(spark, tmpdir_path):
+    none = spark.createDataFrame([], STATE_SCHEMA)
+    stores = {w: StateStore(spark, tmpdir_path, w) for w in ("n", "s")}
+    for batch_id in range(13):
+        stores["n"].save(batch_id, {"watermark_us": batch_id}, none)
+    assert stores["s"].before(0)[0]["watermark_us"] is None
+    for batch_id in (1, 5):
+        with pytest.raises(LookupError):
+            stores["s"].before(batch_id)
+    assert [stores["n"].before(b)[0]["watermark_us"] for b in (1, 4, 13)] == [0, 3, 12]
+    stores["n"].forget(6)  # batch 7 starts from no older snapshot
     with pytest.raises(LookupError):
-        second.before(1)  # its batch 0 left no state: refused, not taken as empty
-    second.save(0, {"max_event_time_us": 100, "watermark_us": 100}, empty)
-    assert first.versions() == list(range(14))
-    assert first.before(3)[0]["watermark_us"] == 2  # a rewind past ten batches
-    assert first.newest()[0]["watermark_us"] == 13 and second.newest()[0]["watermark_us"] == 100
+        stores["n"].before(7)
+    assert stores["n"].before(6)[0]["watermark_us"] == 5
+    stores["s"].save(0, {"watermark_us": 70}, none)
+    assert stores["n"].newest()[0]["watermark_us"] == 12 and stores["n"].versions()[-1] == 12

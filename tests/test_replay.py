@@ -1,4 +1,6 @@
-"""Batch replay: golden anchors and the reference's end-to-end invariants."""
+"""Batch replay: fixed values of the given tables, and a plain loop on random events."""
+
+import random
 
 import pytest
 from conftest import SF_MID, SF_SMALL
@@ -7,8 +9,9 @@ from pyspark.sql import functions as F
 from lateflow.plans.replay import Replay
 from lateflow.schemas import LatenessPolicy
 from lateflow.sources.arrivals import trip_events
+from lateflow.stream_queries import batch_balance
 
-# sf, window, batches, finalized rows, finalized trips, open trips, late trips,
+# fixed values: sf, window, batches, finalized rows, finalized trips, open trips, late trips,
 # late rows beyond watermark, missing-time rows, landed trips, first surge batch, last wm
 ANCHORS = [
     (SF_SMALL, 15, 838, 492, 492, 0, 8, 15, 2, 500, 97, 1706656576220708),
@@ -35,56 +38,65 @@ def test_golden_anchors(spark, sf, window, batches, fin_rows, fin_trips, open_tr
     assert fs == first_surge
 
 
-@pytest.fixture(scope="module")
-def replay(spark):
-    return Replay(trip_events(spark, SF_MID))
-
-
-def test_each_window_is_emitted_exactly_once(replay):
-    fin = replay.finalized_windows()
-    assert fin.select("window_start", "zone").distinct().count() == fin.count()
-
-
-def test_outputs_respect_the_watermark(replay):
-    assert replay.finalized_windows().filter(
-        F.col("window_end") > F.col("finalized_at_watermark")).count() == 0
-    late = replay.late_events().filter(F.col("late_reason") == "beyond_watermark")
-    assert late.filter(F.col("window_end") > F.col("watermark")).count() == 0
-    assert late.filter(F.col("_delay_class") == "on_time").count() == 0
-
-
-def test_counts_carry_surge_from_day_four(replay):
-    fin = replay.finalized_windows()
-    day4 = F.lit("2024-01-04").cast("date")
-    assert fin.filter((F.col("window_date") < day4)
-                      & F.col("avg_surge_multiplier").isNotNull()).count() == 0
-    assert fin.filter((F.col("window_date") >= day4)
-                      & ~(F.col("avg_surge_multiplier") >= 1.0)).count() == 0
-
-
-def test_watermark_never_regresses(replay):
-    b = replay.batches
-    assert b.filter(F.col("watermark_after_us") < F.col("watermark_before_us")).count() == 0
-
-
-def test_batch_ids_are_dense(replay):
-    b = replay.batches.agg(F.min("batch_id"), F.max("batch_id"), F.count(F.lit(1))).first()
-    assert b[0] == 0 and b[1] == b[2] - 1
-
-
-def test_no_on_time_row_falls_in_a_closed_window(replay):
-    # the guard of the per-batch step: an on-time row's window is still open
-    on_time = replay.classified.filter(F.col("late_reason").isNull())
-    assert on_time.filter(F.col("watermark_before_us").isNotNull()
-                          & (F.col("window_end_us") <= F.col("watermark_before_us"))).count() == 0
-
-
-def test_missing_zone_routing_keeps_reconciliation(spark):
-    trips = trip_events(spark, SF_SMALL).withColumn(
-        "pickup_zone", F.when(F.col("event_id").cast("long") % 50 == 0, F.lit(None))
-        .otherwise(F.col("pickup_zone")))
-    r = Replay(trips, LatenessPolicy(15, 10, route_missing_zone=True))
-    rec = r.reconcile().first()
-    assert rec["reconciles"]
-    assert r.late_rows.filter("late_reason = 'missing_zone'").count() > 0
-    assert r.finalized_internal().filter(F.col("zone").isNull()).count() == 0
+def test_no_row_of_the_products_contradicts_the_policy(spark):
+    r = Replay(trip_events(spark, SF_MID))
+    fin, late, steps = r.finalized_windows(), r.late_events(), r.batches
+    end, mark = F.col("window_end"), F.col("watermark")
+    assert fin.groupBy("window_start", "zone").count().filter("count > 1").isEmpty()
+    assert fin.filter(end > F.col("finalized_at_watermark")).isEmpty()
+    assert late.filter((F.col("late_reason") == "beyond_watermark") & (
+        (end > mark) | (F.col("_delay_class") == "on_time"))).isEmpty()
+    has = F.col("avg_surge_multiplier").isNotNull()
+    assert fin.filter(has != (F.col("window_date") >= F.lit("2024-01-04").cast("date"))).isEmpty()
+    assert steps.filter("watermark_after_us < watermark_before_us").isEmpty()
+    assert steps.agg(F.max("batch_id") - F.min("batch_id") + 1 == F.count_distinct(
+        "batch_id")).first()[0]
+    assert r.classified.filter("late_reason IS NULL AND window_end_us <= watermark_before_us").isEmpty()
+
+
+@pytest.mark.parametrize("seed, route", [(1, True), (2, False)])
+def test_random_events_equal_a_plain_loop(spark, seed, route):
+    rng, minute = random.Random(seed), 60_000_000
+    policy = LatenessPolicy(20, 4, route_missing_zone=route)
+    rows = []
+    for i in range(120):
+        pt = rng.randint(0, 600) * minute + i
+        et = None if rng.random() < 0.05 else pt - rng.choice([1, 3, 30, 90]) * minute
+        rows.append((f"{i:03}", rng.choice(["trip_started", "trip_completed"]),
+                     rng.choice(["K", "L", None]), rng.choice([None, 1.0, 2.5]), et, pt))
+    df = spark.createDataFrame(rows, "event_id STRING, event_type STRING, pickup_zone STRING, "
+                                     "surge_multiplier DOUBLE, et BIGINT, pt BIGINT").select(
+        "*", F.timestamp_micros("et").alias("event_time"),
+        F.timestamp_micros("pt").alias("processing_time")).drop("et", "pt")
+    r = Replay(df, policy, 30)
+    newest = None
+    late, counts, published, balance = set(), {}, {}, []
+    slices = sorted({x[5] // (30 * minute) for x in rows})
+    landed = 0
+    for number, s in enumerate(slices):
+        own = [x for x in rows if x[5] // (30 * minute) == s]
+        mark = None if newest is None else newest - 4 * minute
+        for i, kind, zone, surge, et, _ in own:
+            start = None if et is None else et // (20 * minute) * 20 * minute
+            landed += kind == "trip_started"
+            if et is None or (mark is not None and start + 20 * minute <= mark) or (
+                    route and zone is None and kind == "trip_started"):
+                late.add((i, number))
+            elif kind == "trip_started":
+                counts[start, zone] = counts.get((start, zone), 0) + 1
+        newest = max([x[4] for x in own if x[4] is not None] + [newest] * (newest is not None),
+                     default=None)
+        for key in [k for k in counts if newest is not None
+                    and k[0] + 20 * minute <= newest - 4 * minute]:
+            published[key] = (counts.pop(key), number)
+        balance.append((number, landed, sum(n for n, _ in published.values()),
+                        sum(counts.values())))
+    assert {(x["event_id"], x["batch_id"]) for x in r.late_rows.collect()} == late
+    assert {(x["window_start_us"], x["zone"]): (x["trip_count"], x["batch_id"])
+            for x in r.finalized_internal().collect() if x["zone"] is not None} == {
+        k: v for k, v in published.items() if k[1] is not None}
+    assert {(x["window_start_us"], x["zone"]): x["trip_count"]
+            for x in r.open_internal().collect()} == counts
+    got = batch_balance(r).orderBy("batch_id").collect()
+    assert [(x["batch_id"], x["landed"], x["finalized"], x["open"]) for x in got] == balance
+    assert all(x["balanced"] for x in got) and r.reconcile().first()["reconciles"]
