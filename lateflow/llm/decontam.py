@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lateflow.llm.shared import Bloom, U64, arrow_stage, written
+from lateflow.llm.shared import Bloom, U64, arrow_stage, keeps, written
 from lateflow.llm.words import Words, mix, row_slices, text_buffer
 
 WINDOW = 8
@@ -89,7 +89,7 @@ _SPELT |= dict.fromkeys("thousand mil mille tausend".split(), "1000") | dict.fro
 _SPELT.pop("-")
 _CODES = mix(np.arange(100, 105, dtype=U64))
 _KEEP = 1 << 20
-_words: dict[str, tuple] = {}
+_words: dict[str, tuple] = keeps({})
 
 
 def _kind(word: str) -> tuple[str, int, bool, str]:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+from lateflow.llm.shared import keeps
 from lateflow.llm.words import U64, Words
 
 CUT = 4096
@@ -66,7 +67,7 @@ class Trie:
             self.child[at, list(c)] = list(c.values())
 
 
-_tries: dict[tuple, Trie] = {}
+_tries: dict[tuple, Trie] = keeps({})
 
 
 def trie_of(pieces: list[bytes]) -> Trie:
@@ -168,7 +169,7 @@ def smoothed(counts: np.ndarray, extra: float = 0.0, prior: float = 0.1) -> np.n
     return np.log((counts + prior) / (counts.sum() + prior * len(counts) + extra))
 
 
-_seen: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+_seen: dict[str, tuple[np.ndarray, np.ndarray]] = keeps({})
 
 
 def distinct_logp(key: str, trie: Trie, logp: np.ndarray, words: Words):

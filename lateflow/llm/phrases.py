@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lateflow.llm.shared import Bloom, U64, arrow_stage, written
+from lateflow.llm.shared import Bloom, U64, arrow_stage, keeps, written
 from lateflow.llm.words import mix, row_slices, text_buffer
 
 LEAST = 10
@@ -62,7 +62,7 @@ _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 _GAP = _BREAK.copy()
 _GAP[list(b" \t")] = True
 _BYTE = [mix(np.arange(1, 257, dtype=U64) * U64(s)) for s in _STEPS]
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = keeps({})
 
 
 def _power_tables(step: int, n: int) -> tuple[np.ndarray, np.ndarray]:

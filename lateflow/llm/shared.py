@@ -59,12 +59,33 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+#: tables that a Python worker keeps from batch to batch, by their modules
+kept: list[dict] = []
+_stage: list[str] = []
+
+
+def keeps(table: dict) -> dict:
+    """Register a module's table; workers live on from stage to stage, so it is cleared when
+    another stage begins."""
+    kept.append(table)
+    return table
+
+
+def begin(stage: str) -> None:
+    if _stage != [stage]:
+        for table in kept:
+            table.clear()
+        _stage[:] = [stage]
+
+
 def arrow_stage(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
                 schema: T.StructType | str) -> DataFrame:
     """Apply ``fn`` to each Arrow batch; batches are independent."""
     ship(df.sparkSession)
+    name = uuid.uuid4().hex
 
     def run(batches):
+        begin(name)
         for batch in batches:
             if batch.num_rows:
                 yield from fn(batch)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateflow.llm.lattice import Trie
-from lateflow.llm.shared import arrow_stage
+from lateflow.llm.shared import arrow_stage, keeps
 from lateflow.llm.words import U64, Words, row_slices, text_buffer
 
 CELLS = 1 << 18
@@ -283,7 +283,7 @@ class Machine:
         return total[cut[1:]] - total[cut[:-1]] + specials
 
 
-_machines: dict[str, Machine] = {}
+_machines: dict[str, Machine] = keeps({})
 
 
 def machine_of(spec: str) -> Machine:

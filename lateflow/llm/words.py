@@ -17,7 +17,7 @@ U64 = np.uint64
 #: bytes handled at a time: bounds the temporary arrays (about 40 bytes for each)
 SEGMENT = 1 << 20
 #: bytes of text in one slice of rows, as far as whole texts allow
-SLICE = 8 << 20
+SLICE = 1 << 20
 
 _STEP = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_STEP, -1, 1 << 64)
