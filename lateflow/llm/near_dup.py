@@ -15,9 +15,10 @@ once they are few against the members, else another pivot round follows. Between
 member is set aside if too few of its shingles occur in any other open member for a link to
 be possible. So every pair of a bucket is compared, or already joined through other links,
 or excluded (set sizes, shared shingles, and, as in banding, by its signatures: see Recall);
-no partner is capped, and a pair that shares several buckets is emitted in the first. Sets
-are hashed again only for documents that share a bucket, and joined only with pairs whose
-signatures, of one byte a coordinate, agree as often as a link's would.
+no partner is capped, and a pair that shares several buckets is emitted in the first. Pairs
+meet their texts only if their signatures, of one byte a coordinate, agree as often as a
+link's would; the texts, which compress where hashes would not, are shuffled, and the full
+sets are made of them where they meet.
 
 Recall. A pair at similarity s misses all bands with probability (1 - s^ROWS)^BANDS:
 3e-5 at 0.85, 2e-7 at 0.9. Lower thresholds get rows and bands of their own (``banding``), so
@@ -53,9 +54,10 @@ WORDS = 5
 DEVIATIONS = 5
 _C1, _C2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
 _SIGMA = U64(0x2545F4914F6CDD1D)
-#: pairs left between components are emitted at once when they are no more than this many
-#: for each entry of a bucket; a bound on emitted rows, not on what is compared
-PAIRS_PER_MEMBER = 8
+#: pairs left between components after a comparison with pivots are emitted at once when
+#: they are no more than this many for each entry of a bucket; a bound on emitted rows, not
+#: on what is compared
+PAIRS_PER_MEMBER = 1
 
 
 def sets_of_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -129,21 +131,43 @@ def _profile(rows: int, bands: int):
     return stage
 
 
-def _full_sets(wanted: Bloom):
-    """Arrow stage: the whole sets of the documents whose id the filter holds."""
+def _named(wanted: Bloom):
+    """Arrow stage: the rows whose id the filter holds."""
 
     def stage(batch: pa.RecordBatch):
-        ids = batch.column(0)
-        keep = wanted.holds(mix(ids.fill_null(0).to_numpy(zero_copy_only=False).view(U64)))
-        batch = batch.filter(pa.array(keep))
-        ids, texts = batch.column(0), batch.column(1)
-        for a, b in row_slices(texts):
-            n = b - a
-            doc, s = sets_of_rows(texts.slice(a, n))
-            at = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
+        ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).view(U64)
+        yield batch.filter(pa.array(wanted.holds(mix(ids))))
+
+    return stage
+
+
+def _shingled(batch: pa.RecordBatch):
+    """The whole sets of documents, one row for each shingle."""
+    ids, texts = batch.column(0), batch.column(1)
+    for a, b in row_slices(texts):
+        doc, s = sets_of_rows(texts.slice(a, b - a))
+        yield pa.RecordBatch.from_arrays(
+            [ids.slice(a, b - a).take(pa.array(doc)), pa.array(s.view(np.int64))],
+            names=["rep", "g"])
+
+
+def _linked(percent: int):
+    """Arrow stage: the pairs (a, b) whose texts' full sets reach the threshold."""
+
+    def stage(batch: pa.RecordBatch):
+        left, right = batch.column(2), batch.column(3)
+        for x, y in row_slices(left):
+            n = y - x
+            sides = [sets_of_rows(c.slice(x, n)) for c in (left, right)]
+            sizes = sum(np.bincount(row, minlength=n) for row, _ in sides)
+            row, s = (np.concatenate(c) for c in zip(*sides))
+            order = np.lexsort((s, row))
+            row, s = row[order], s[order]
+            both = np.flatnonzero((row[1:] == row[:-1]) & (s[1:] == s[:-1]))
+            common = np.bincount(row[both], minlength=n)
+            near = pa.array(common * 100 >= (sizes - common) * percent)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(a, n), pa.ListArray.from_arrays(at, pa.array(s.view(np.int64)))],
-                names=["rep", "shingles"])
+                [batch.column(i).slice(x, n).filter(near) for i in (0, 1)], names=["a", "b"])
 
     return stage
 
@@ -251,10 +275,7 @@ def _links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     members = written(members.join(weight, "rep").select(
         "key", "rep", "n", "weight", F.col("n").alias("s")), "members")
     size = members.count()
-    ids = members.select("rep").distinct()
-    wanted = Bloom.build(_hashed_ids(ids), "h")
-    sets = written(_sets(docs, wanted, ids), "sets")
-
+    docs = docs.filter("doc_id is not null").select(F.col("doc_id").alias("rep"), "text")
     links, comp = None, None
     state = members
     while True:
@@ -266,11 +287,11 @@ def _links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             state = state.withColumn("c", F.col("rep"))
         state = written(_still_open(state), "state")
         if links is not None:  # what a first comparison with pivots has left over
-            state = written(_still_open(_with_shared(state, sets, percent)), "state")
+            state = written(_still_open(_with_shared(state, docs, percent)), "state")
         left = _pairs_left(state).agg(F.sum("left")).first()[0]
         if not left:
             break
-        if left <= PAIRS_PER_MEMBER * size:
+        if links is not None and left <= PAIRS_PER_MEMBER * size:
             with_bands = state.join(reps.select("rep", "bands"), "rep")
             x, y = with_bands.alias("x"), with_bands.alias("y")
             # a pair in several buckets is emitted in its first; if a member has left that
@@ -281,7 +302,7 @@ def _links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 f"(x.n + y.n - least(x.s, y.s)) * {percent} and x.key = "
                 "filter(x.bands, (k, i) -> k = y.bands[i])[0]"))
             pairs = pairs.selectExpr("x.rep as a", "y.rep as b", "x.n as na", "y.n as nb")
-            more = written(_confirmed(pairs, reps, sets, percent), "links")
+            more = written(_confirmed(pairs, reps, docs, percent), "links")
             return more if links is None else links.union(more)
         pivot = state.groupBy("key").agg(F.max(F.struct(
             "weight", (-F.col("rep")).alias("minus"), "rep", "n", "c")).alias("p"))
@@ -289,7 +310,7 @@ def _links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                                      F.col("p.c").alias("ca")), "pivot")
         pairs = state.join(pivot, "key").filter("c <> ca").selectExpr(
             "a", "rep as b", "na", "n as nb")
-        more = written(_confirmed(pairs, reps, sets, percent), "links")
+        more = written(_confirmed(pairs, reps, docs, percent), "links")
         grown = not more.isEmpty()
         links = more if links is None else links.union(more)
         if grown:
@@ -313,14 +334,14 @@ def _still_open(state: DataFrame) -> DataFrame:
     return state.join(_pairs_left(state).select("key"), "key", "left_semi")
 
 
-def _with_shared(state: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _with_shared(state: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Sets s to the number of a member's shingles that any other member of an open bucket
     has, and drops the members that this proves to have no link: the intersection with
     any partner is at most s, the union at least n + (smallest possible partner) - s."""
     live = state.select("rep").distinct()
-    own = sets.join(live, "rep", "left_semi").select("rep", F.explode("shingles").alias("g"))
-    common = own.groupBy("g").agg(F.count(F.lit(1)).alias("k"), F.min("rep").alias("one"),
-                                  F.max("rep").alias("two")).filter("one <> two").select("g")
+    own = written(arrow_stage(_of(docs, live), _shingled, "rep long, g long"), "shingles")
+    common = own.groupBy("g").agg(F.min("rep").alias("one"), F.max("rep").alias("two")).filter(
+        "one <> two").select("g")
     s = own.join(common, "g", "left_semi").groupBy("rep").agg(F.count(F.lit(1)).alias("s"))
     least = state.groupBy("key").agg(F.min("n").alias("least"))
     out = state.drop("s").join(s, "rep", "left").fillna(0, ["s"]).join(least, "key")
@@ -336,13 +357,14 @@ def _hashed_ids(ids: DataFrame) -> DataFrame:
     return arrow_stage(ids, stage, "h long")
 
 
-def _sets(docs: DataFrame, wanted: Bloom, ids: DataFrame) -> DataFrame:
-    found = arrow_stage(docs.filter("doc_id is not null"), _full_sets(wanted),
-                        "rep long, shingles array<long>")
-    return found.join(ids, "rep", "left_semi")
+def _of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (rep, text) of the documents named in ``ids``; a filter of fixed size keeps
+    most other texts out of the shuffle."""
+    wanted = Bloom.build(_hashed_ids(ids), "h")
+    return arrow_stage(docs, _named(wanted), "rep long, text string").join(ids, "rep", "left_semi")
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     near = pairs.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -351,9 +373,10 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int)
     agree = F.size(F.filter(F.zip_with("sa", "sb", lambda p, q: p == q), lambda same: same))
     likely = agree >= size * share - DEVIATIONS * F.sqrt(size * (share * (1 - share)))
     near = near.join(one, "a").join(two, "b").filter(likely).select("a", "b").distinct()
-    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
-    both = near.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - common
-    return both.filter(common * 100 >= union * percent).select("a", "b")
+    near = written(near, "near")
+    ids = near.select(F.col("a").alias("rep")).union(near.select(F.col("b").alias("rep"))).distinct()
+    texts = _of(docs, ids)
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
+    both = near.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+    return arrow_stage(both, _linked(percent), "a long, b long").distinct()
