@@ -6,8 +6,9 @@ cut it into pieces, of the product of the piece probabilities: the forward recur
 for many words at a time (words are lanes, positions are steps, the piece trie supplies
 the arcs). Every byte is a piece, so every text has a segmentation.
 
-A word longer than ``CUT`` bytes is scored in runs of that many bytes (a cut is forced
-between them), which bounds the steps for texts without white space.
+A word longer than ``CUT`` bytes is a lane of its own, taken in runs of that many bytes; the
+last values of a run, as many as the longest piece has bytes, are carried into the next, so
+that all segmentations of the word are summed and memory stays bounded.
 """
 
 from __future__ import annotations
@@ -57,6 +58,7 @@ class Trie:
                     children[node][b] = nxt
                 node = nxt
             piece_of[node] = number
+        self.depth = max(map(len, pieces), default=1)
         self.piece = np.array(piece_of, dtype=np.int32)
         inner = [i for i, c in enumerate(children) if c]
         self.row = np.zeros(len(children), dtype=np.int32)  # 0: no children
@@ -78,27 +80,99 @@ def trie_of(pieces: list[bytes]) -> Trie:
     return _tries[key]
 
 
+def _split(words: Words, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``pick`` of the words up to CUT bytes, and of the longer ones."""
+    long = words.end[pick] - words.start[pick] > CUT
+    return np.flatnonzero(~long), np.flatnonzero(long)
+
+
 def _lanes(words: Words, pick: np.ndarray):
     """Blocks of (owner, byte matrix [position, lane], lengths), longest lanes first."""
-    start, end = words.start[pick], words.end[pick]
-    runs = np.maximum(1, -(-(end - start) // CUT))
-    owner = np.repeat(np.arange(len(pick)), runs)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
-    s = start[owner] + number * CUT
-    lead = (number == 0).astype(np.int64)
-    length = np.minimum(s + CUT, end[owner]) - s + lead
-    order = np.argsort(-length, kind="stable")
+    start = words.start[pick]
+    size = words.end[pick] - start + 1
+    order = np.argsort(-size, kind="stable")
     at = 0
     while at < len(order):
-        longest = int(length[order[at]])
+        longest = int(size[order[at]])
         block = order[at:at + max(1, CELLS // (longest + 1))]
-        spots = s[block][None, :] + np.arange(longest)[:, None] - lead[block][None, :]
+        spots = start[block][None, :] + np.arange(longest)[:, None] - 1
         bytes_ = words.lower[np.clip(spots, 0, len(words.lower) - 1)]
-        bytes_[0, lead[block] == 1] = 32
-        yield owner[block], bytes_, length[block]
+        bytes_[0] = 32
+        yield block, bytes_, size[block]
         at += len(block)
 
 
+def _spelled(trie: Trie, data: np.ndarray, first: int, last: int) -> np.ndarray:
+    """[position, d]: the piece spelled by the d + 1 bytes from each position, or -1."""
+    out = np.full((last - first, trie.depth), -1, dtype=np.int32)
+    at, row = np.arange(first, last), np.ones(last - first, dtype=np.int32)
+    for d in range(trie.depth):
+        inside = at + d < len(data)
+        at, row = at[inside], row[inside]
+        node = trie.child[row, data[at + d]]
+        at, node = at[node > 0], node[node > 0]
+        out[at - first, d] = trie.piece[node]
+        row = trie.row[node]
+        at, row = at[row > 0], row[row > 0]
+        if not len(at):
+            break
+    return out
+
+
+def _long_word(words: Words, i: int) -> np.ndarray:
+    return np.concatenate(([np.uint8(32)], words.lower[words.start[i]:words.end[i]]))
+
+
+def _long_forward(trie: Trie, logp: np.ndarray, data: np.ndarray, keep: np.ndarray | None = None):
+    """[model] log probability of a long word. ``keep`` takes the values at all positions
+    (of one model)."""
+    depth, table = trie.depth, np.vstack((logp, np.full((1, logp.shape[1]), -np.inf)))
+    tail = np.full((depth, logp.shape[1]), -np.inf)
+    tail[-1] = 0.0
+    if keep is not None:
+        keep[0] = 0.0
+    back = np.arange(depth)
+    for first in range(0, len(data), CUT):
+        last = min(first + CUT, len(data))
+        low = max(0, first - depth + 1)
+        spelled = _spelled(trie, data, low, last)
+        start = np.arange(first, last)[:, None] - back  # of the piece of d + 1 bytes that ends here
+        arcs = np.where(start >= low, spelled[np.maximum(start - low, 0), back], -1)
+        weight = table[arcs]
+        alpha = np.concatenate((tail, np.empty((last - first, logp.shape[1]))))
+        for j in range(last - first):
+            x = alpha[j:j + depth][::-1] + weight[j]
+            top = x.max(axis=0)
+            alpha[depth + j] = top + np.log(np.exp(x - top).sum(axis=0))
+        if keep is not None:
+            keep[first + 1:last + 1] = alpha[depth:, 0]
+        tail = alpha[-depth:]
+    return tail[-1]
+
+
+def _long_counts(trie: Trie, logp: np.ndarray, data: np.ndarray, times: float) -> np.ndarray:
+    """Expected uses of each piece in a long word that occurs ``times`` times."""
+    n, depth = len(data), trie.depth
+    alpha = np.empty(n + 1)
+    total = _long_forward(trie, logp, data, alpha)[0]
+    beta = np.full(n + depth + 1, -np.inf)
+    beta[n] = 0.0
+    table, out = np.append(logp[:, 0], -np.inf), np.zeros(len(logp))
+    for first in reversed(range(0, n, CUT)):
+        last = min(first + CUT, n)
+        spelled = _spelled(trie, data, first, last)
+        weight = table[spelled]
+        for i in range(last - 1, first - 1, -1):
+            x = weight[i - first] + beta[i + 1:i + 1 + depth]
+            top = x.max()
+            beta[i] = top + np.log(np.exp(x - top).sum())
+        ends = np.arange(first, last)[:, None] + 1 + np.arange(depth)
+        use = np.exp(np.minimum(alpha[first:last, None] + weight + beta[ends] - total, 0.0)) * times
+        some = spelled >= 0
+        out += np.bincount(spelled[some], weights=use[some], minlength=len(out))
+    return out
+
+
 def _forward(trie: Trie, logp: np.ndarray, bytes_: np.ndarray, length: np.ndarray,
              keep_arcs: bool = False):
     """alpha [position, lane, model] and, if asked for, the arcs (i, j, lanes, pieces)."""
@@ -132,9 +206,12 @@ def _forward(trie: Trie, logp: np.ndarray, bytes_: np.ndarray, length: np.ndarra
 def word_logp(trie: Trie, logp: np.ndarray, words: Words, pick: np.ndarray) -> np.ndarray:
     """[word, model] natural log probability of each picked word, over all segmentations."""
     out = np.zeros((len(pick), logp.shape[1]))
-    for owner, bytes_, length in _lanes(words, pick):
+    short, long = _split(words, pick)
+    for owner, bytes_, length in _lanes(words, pick[short]):
         alpha, _ = _forward(trie, logp, bytes_, length)
-        np.add.at(out, owner, alpha[length, np.arange(len(length))])
+        out[short[owner]] = alpha[length, np.arange(len(length))]
+    for i in long:
+        out[i] = _long_forward(trie, logp, _long_word(words, pick[i]))
     return out
 
 
@@ -142,13 +219,16 @@ def expected_counts(trie: Trie, logp: np.ndarray, words: Words, counts: np.ndarr
     """Expected number of uses of each piece (forward-backward), word k taken counts[k]
     times; ``logp`` has one model."""
     out = np.zeros(len(logp))
-    for owner, bytes_, length in _lanes(words, np.arange(len(words))):
+    short, long = _split(words, np.arange(len(words)))
+    for i in long:
+        out += _long_counts(trie, logp, _long_word(words, i), counts[i])
+    for owner, bytes_, length in _lanes(words, short):
         alpha, arcs = _forward(trie, logp, bytes_, length, keep_arcs=True)
         lanes = np.arange(len(length))
         total = alpha[length, lanes, 0]
         beta = np.full(alpha.shape[:2], -np.inf)
         beta[length, lanes] = 0.0
-        times = counts[owner]
+        times = counts[short[owner]]
         for i, j, lane, piece in reversed(arcs):
             tail = logp[piece, 0] + beta[j, lane]
             beta[i, lane] = np.logaddexp(beta[i, lane], tail)

@@ -50,20 +50,31 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(use, want_use)
 
 
-def test_long_words_are_cut(monkeypatch):
-    monkeypatch.setattr(lattice, "CUT", 5)
-    logp = lattice.first_weights(len(SMALL))[:, None]
-    trie = lattice.Trie(SMALL)
-
-    def score(word, lead=True):
-        w = Words(*text_buffer(pa.array([word])))
-        return lattice.word_logp(trie, logp, w, np.arange(1))[0, 0]
-
-    whole = score("abcababcab")
-    first = score("abcab")
-    second = score("abcab") - 0.0
-    assert whole < first and whole != second
-    assert np.isfinite(score("x" * 1000))
+@pytest.mark.parametrize("cut", [1, 2, 5, 7, 4096])
+def test_long_words_sum_all_segmentations_over_runs(monkeypatch, cut):
+    rng = np.random.default_rng(cut)
+    letters = np.array(list("abcz\u00e9"))
+    words = ["abcababcab", "x", "ab", "".join(rng.choice(letters, 300)), "abc" * 40, "a" * 37]
+    w = Words(*text_buffer(pa.array([" ".join(words[:3]), " ".join(words[3:])])))
+    logp = np.log(rng.dirichlet(np.ones(len(SMALL)), 3).T)
+    trie, counts = lattice.Trie(SMALL), np.arange(1.0, len(words) + 1)
+    pick = np.array([5, 0, 3, 1, 2, 4])
+    monkeypatch.setattr(lattice, "CUT", 10**9)
+    want = lattice.word_logp(trie, logp, w, pick)
+    use = lattice.expected_counts(trie, logp[:, [1]], w, counts)
+    monkeypatch.setattr(lattice, "CUT", cut)
+    assert np.allclose(lattice.word_logp(trie, logp, w, pick), want, rtol=1e-12)
+    assert np.allclose(lattice.expected_counts(trie, logp[:, [1]], w, counts), use, rtol=1e-9)
+
+
+def test_a_word_of_many_runs_has_no_forced_cuts(monkeypatch):
+    pieces = lattice.load_pieces(PIECES)
+    trie, logp = lattice.Trie(pieces), lattice.first_weights(len(pieces))[:, None]
+    text = "thequickbrownfoxjumps" * 480
+    w = Words(*text_buffer(pa.array([text])))
+    got = lattice.word_logp(trie, logp, w, np.arange(1))[0, 0]
+    monkeypatch.setattr(lattice, "CUT", 10**9)
+    assert math.isclose(got, lattice.word_logp(trie, logp, w, np.arange(1))[0, 0], rel_tol=1e-12)
 
 
 def crc(i, n):
