@@ -1,10 +1,12 @@
 """Chat formatting by schema fingerprints, with DataFrame functions only.
 
 A layout is known by the fingerprint of its nested field paths: the sorted paths, hashed.
-``MAPPINGS`` declares for each known layout how its fields become turns (role, text);
-the fingerprint alone selects the mapping. Records come either as typed columns
-(``turns_from_columns``, one fingerprint for the frame's schema) or as JSON text of mixed
-layouts (``turns_from_json``, one fingerprint for each record).
+``MAPPINGS`` declares for each known layout how its fields become turns (role, text). Of a
+record's paths those that a layout requires are hashed, and the layout whose own fingerprint
+comes out selects the mapping; other fields (ids, sources, names) don't matter, and where
+several layouts fit, the first declared one is taken. Records come either as typed columns
+(``turns_from_columns``, the paths of the frame's schema) or as JSON text of mixed layouts
+(``turns_from_json``, the paths of each record).
 
 ``format_turns`` writes the turns as one string: ``<|turn|>role\\ntext<|end|>\\n`` for each.
 Control strings inside a role or text are escaped reversibly (as are the escapes
@@ -27,12 +29,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lateflow.llm.shared import unused
+
 TURN, END = "<|turn|>", "<|end|>\n"
 #: strings that steer this and other common chat templates
 CONTROL_OPEN = r"<(?=/?s>|</?SYS>>|\|(turn|end|im_start|im_end|system|user|assistant|endoftext)\|>)"
 CONTROL_BRACKET = r"\[(?=/?INST\])"
 ESCAPES = r"&(?=(amp|lt|lsq|nl);)"
 TURNS = "array<struct<role:string,text:string>>"
+#: levels below the elements of a JSON array that are looked through for further fields
+DEEPEST = 12
 
 
 @dataclass(frozen=True)
@@ -75,25 +81,46 @@ def paths_of(kind: T.DataType, at: str = "") -> list[str]:
     return [at]
 
 
-def fingerprint(paths) -> Column:
-    return F.xxhash64(F.array_join(F.lit(sorted(paths)), "\n"))
+def fingerprint(paths: Column) -> Column:
+    """Hash of an array of paths, whatever their order."""
+    return F.xxhash64(F.array_join(F.array_sort(paths), "\n"))
 
 
-def _variant_shape(mapping: Mapping) -> str:
-    """The shape text of a record with the mapping's paths, leaf types left out."""
-    tree: dict = {}
-    for path in mapping.paths:
-        node, parts = tree, path.split(".")
-        for i, part in enumerate(parts):
-            node = node.setdefault(part, {}) if i < len(parts) - 1 else node.setdefault(part, {})
+def _text_array(values) -> Column:
+    return F.array(*map(F.lit, values)).cast("array<string>")
 
-    def text(node):
-        return "OBJECT<" + ", ".join(
-            f"{k.removesuffix('[]')}: " + (f"ARRAY<{text(v)}>" if k.endswith("[]")
-                                           else (text(v) if v else "_"))
-            for k, v in sorted(node.items())) + ">"
 
-    return text(tree)
+def _selected(paths: Column, turns_of) -> tuple[Column, Column]:
+    """(mapping, turns) of records with these paths: the first mapping whose fingerprint is
+    that of the paths it requires."""
+    name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    for mapping in reversed(MAPPINGS):
+        wanted = _text_array(mapping.paths)
+        known = fingerprint(F.array_intersect(paths, wanted)) == fingerprint(wanted)
+        name = F.when(known, F.lit(mapping.name)).otherwise(name)
+        made = turns_of(mapping)
+        if made is not None:
+            turns = F.when(known, made.cast(TURNS)).otherwise(turns)
+    return name, turns
+
+
+def _variant_paths(record: Column) -> Column:
+    """Those paths of a JSON record that any layout names: scalar fields, and scalar fields
+    of the objects in an array."""
+    found = []
+    for path in sorted({p for m in MAPPINGS for p in m.paths}):
+        top, _, sub = path.partition("[].")
+        kind = F.schema_of_variant(F.try_variant_get(record, f"$.{top}", "variant"))
+        if sub:
+            # the fields of the elements, without what is nested deeper in them
+            inside = F.regexp_extract(kind, r"^ARRAY<OBJECT<(.*)>>$", 1)
+            for _ in range(DEEPEST):
+                inside = F.regexp_replace(inside, r"(OBJECT|ARRAY)<[^<>]*>", "_")
+            has = inside.rlike(rf"(^|, )`?{sub}`?: (?!_)")
+        else:
+            has = ~kind.rlike(r"^(OBJECT|ARRAY)<")
+        found.append(F.when(has, F.lit(path)))
+    return F.array_compact(F.array(*found))
 
 
 def _as_turns(mapping: Mapping, get) -> Column:
@@ -117,31 +144,26 @@ def _as_turns(mapping: Mapping, get) -> Column:
 
 def turns_from_columns(df: DataFrame, keep: list[str]) -> DataFrame:
     """The ``keep`` columns, mapping and turns of a frame whose other columns are one
-    layout."""
+    layout, and whatever else."""
     shape = T.StructType([f for f in df.schema.fields if f.name not in keep])
-    paths = tuple(paths_of(shape))
-    for mapping in MAPPINGS:
-        if paths == tuple(sorted(mapping.paths)):
-            return df.select(*keep, F.lit(mapping.name).alias("mapping"),
-                             _as_turns(mapping, lambda p, t: F.col(p).cast(t)).alias("turns"))
-    return df.select(*keep, F.lit(None).cast("string").alias("mapping"),
-                     F.lit(None).cast(TURNS).alias("turns"))
+    paths = paths_of(shape)
+    name, turns = _selected(_text_array(paths), lambda m: _as_turns(
+        m, lambda p, t: F.col(p).cast(t) if not m.array else F.col(p))
+        if set(m.paths) <= set(paths) else None)  # only fields that are there can be named
+    return df.select(*keep, name.alias("mapping"), turns.alias("turns"))
 
 
 def turns_from_json(df: DataFrame, record: str, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns, fingerprint, mapping and turns of JSON records of any layout.
-    Field order and leaf types don't matter; malformed records have no mapping."""
-    parsed = F.try_parse_json(F.col(record))
-    shape = F.regexp_replace(F.schema_of_variant(parsed), r": (?!OBJECT|ARRAY)[A-Z]+(\([^)]*\))?",
-                             ": _")
-    df = df.select(*keep, parsed.alias("_v"), F.xxhash64(shape).alias("fingerprint"))
-    name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for mapping in MAPPINGS:
-        known = F.col("fingerprint") == F.xxhash64(F.lit(_variant_shape(mapping)))
-        name = F.when(known, F.lit(mapping.name)).otherwise(name)
-        turns = F.when(known, _as_turns(mapping, lambda p, t: F.try_variant_get(
-            "_v", f"$.{p}", t)).cast(TURNS)).otherwise(turns)
-    return df.select(*keep, "fingerprint", name.alias("mapping"), turns.alias("turns"))
+    """The ``keep`` columns, fingerprint (of the known paths), mapping and turns of JSON
+    records of any layout. Field order, leaf types and further fields don't matter; malformed
+    records have no mapping."""
+    inner = df.select(F.struct(*keep).alias("kept"),
+                      F.try_parse_json(F.col(record)).alias("record"))
+    inner = inner.select("kept", "record", _variant_paths(F.col("record")).alias("paths"))
+    name, turns = _selected(F.col("paths"), lambda m: _as_turns(
+        m, lambda p, t: F.try_variant_get("record", f"$.{p}", t)))
+    return inner.select("kept.*", fingerprint(F.col("paths")).alias("fingerprint"),
+                        name.alias("mapping"), turns.alias("turns"))
 
 
 def escape(text: Column, role: bool = False) -> Column:
@@ -173,16 +195,17 @@ def format_turns(df: DataFrame) -> DataFrame:
     """Adds formatted (string) and loss_mask (array of turn, start, length)."""
     parts = F.transform("turns", lambda t: F.struct(
         escape(t["role"], role=True).alias("role"), escape(t["text"]).alias("text")))
-    df = df.withColumn("_parts", parts)
-    body = F.transform("_parts", lambda p: F.concat(F.lit(TURN), p["role"], F.lit("\n"),
-                                                    p["text"], F.lit(END)))
-    spans = F.transform("_parts", lambda p, i: F.struct(
+    name = unused(df, "parts")
+    df = df.withColumn(name, parts)
+    body = F.transform(name, lambda p: F.concat(F.lit(TURN), p["role"], F.lit("\n"),
+                                                p["text"], F.lit(END)))
+    spans = F.transform(name, lambda p, i: F.struct(
         i.alias("turn"), (F.length(p["role"]) + len(TURN) + 1).alias("start"),
         F.length(p["text"]).alias("length"), p["role"].alias("role")))
     learned = F.transform(F.filter(spans, lambda s: s["role"] == "assistant"),
                           lambda s: F.struct(s["turn"], s["start"], s["length"]))
     return df.withColumn("formatted", F.array_join(body, "")).withColumn(
-        "loss_mask", learned).drop("_parts")
+        "loss_mask", learned).drop(name)
 
 
 def read_back(df: DataFrame) -> DataFrame:
@@ -190,7 +213,8 @@ def read_back(df: DataFrame) -> DataFrame:
     and loss_mask alone."""
     parts = F.split("formatted", r"<\|end\|>\n")
     parts = F.slice(parts, 1, F.size(parts) - 1)
-    df = df.withColumn("_read", parts)
+    name = unused(df, "read")
+    df = df.withColumn(name, parts)
 
     def turn(part):
         inner = F.substr(part, F.lit(len(TURN) + 1))
@@ -199,9 +223,9 @@ def read_back(df: DataFrame) -> DataFrame:
                         unescape(F.substr(inner, F.length(role) + 2)).alias("text"))
 
     loss = F.transform("loss_mask", lambda s: unescape(F.substr(
-        F.get("_read", s["turn"]), s["start"] + 1, s["length"])))
-    return df.withColumn("read_turns", F.transform("_read", turn)).withColumn(
-        "read_loss", loss).drop("_read")
+        F.get(name, s["turn"]), s["start"] + 1, s["length"])))
+    return df.withColumn("read_turns", F.transform(name, turn)).withColumn(
+        "read_loss", loss).drop(name)
 
 
 def digests(df: DataFrame) -> DataFrame:

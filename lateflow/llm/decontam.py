@@ -27,8 +27,9 @@ depend on the benchmark; a larger benchmark lets more windows through to the joi
 
 Defined cases: null and empty texts match nothing. Placeholder windows with fewer than
 ``LITERALS`` words, and whole items of fewer than ``LEAST`` tokens, are too unspecific to be
-looked for with placeholders; their exact copies are found. Items of one or two words are not
-looked for at all. A null item_id is an item of its own; repeated rows are each decided.
+looked for with placeholders; their exact copies are found, wherever they stand. An item of
+one word is found where it is the whole text, as a word by itself says nothing of where it is
+from. A null item_id is an item of its own; repeated rows are each decided.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ SHARE = 0.4
 RUN = 13
 #: words that may be put in or left out between matches that are counted together
 SLACK = 3
-LEAST_EXACT = 3
+LEAST_EXACT = 1
 GROUPS, EXACT = 3, 2
 UNITS = frozenset(
     "% ° kg g mg lb lbs oz t km m cm mm mi ft in yd l ml h hr hrs hour hours min mins minute "
@@ -270,6 +271,8 @@ def _windows(column: pa.Array, sizes: dict[int, set[int]], wanted: Bloom | None)
         form, count, begin = t.forms[number], counts[number], begins[number]
         if wanted is not None:
             some = wanted.holds(h)
+            if size == 1:
+                some &= count[form.doc[at]] == 1
         else:
             least = LEAST_EXACT if form.group == EXACT else LEAST
             some = window_size(count, least)[form.doc[at]] == size

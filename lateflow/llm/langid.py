@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lateflow.llm import lattice
-from lateflow.llm.shared import arrow_stage, written
+from lateflow.llm.shared import arrow_stage, unused, written
 from lateflow.llm.words import Words, row_slices, text_buffer
 
 #: expected number of labelled rows of each language used for the fit
@@ -115,9 +115,9 @@ def _maximised(counts: DataFrame, pieces: list[bytes], langs: list[str],
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with lang_pred and score (columns of those names are replaced); only the
     text is looked at."""
-    docs = docs.drop("lang_pred", "score", "_letter")
+    docs = docs.drop("lang_pred", "score")
     text = F.col("text").cast("string")
-    marked = docs.withColumn("_letter", F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
+    marked = docs.withColumn(unused(docs, "letter"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
     names = marked.columns
     langs, prior = model.langs, model.prior
 

@@ -13,10 +13,14 @@ number the blocks of ``CHUNK`` slots each, and rows meet their block's slot in a
 are numbered within a source over hash ranges, so a source with a third of all rows has no
 task to itself.
 
-All rows are kept. After the horizon the remaining blocks follow a schedule of weights
-rounded to multiples of 1 / ``GRAIN`` (each source at least one), which repeats every
-``GRAIN`` slots: block i of a source with q units sits in period i // q at the slot of unit
-i % q. With a ``grain`` given, that schedule of rounded weights is used from the start.
+All rows are kept. After the horizon no order can hold all target weights, as a source has
+run out. The remaining blocks follow a schedule of weights rounded to multiples of
+1 / ``GRAIN`` (each source at least one), which repeats every ``GRAIN`` slots: block i of a
+source with q units sits in period i // q at the slot of unit i % q; slots of sources that
+ran out stay empty. What holds there is the deviation of less than a block from the rounded
+weights, and so from the exact ones in proportion among the sources left, up to the
+rounding of 1 / ``GRAIN`` of the slots. With a ``grain`` given, that schedule of rounded
+weights is used from the start.
 
 Defined cases: a null source is a source of its own; without given weights a source weighs
 its row count to the power ``temper``; a source missing from given weights weighs as the
@@ -135,11 +139,17 @@ def pfair_mix(docs: DataFrame, weights: dict[str | None, float] | None = None,
               block: int = BLOCK, grain: int | None = None, temper: float = TEMPER,
               order: list[str] | None = None) -> DataFrame:
     """``docs`` with block (number within its source), release, deadline, slot, position
-    (order within the mix) and in_horizon. Columns of those names are replaced."""
+    (order within the mix) and in_horizon. Columns of those names are replaced, all others
+    stay as they are."""
     spark = docs.sparkSession
     rounded, grain = grain is not None, grain or GRAIN
-    docs = docs.drop("block", "release", "deadline", "slot", "position", "in_horizon", "number")
+    docs = docs.drop("block", "release", "deadline", "slot", "position", "in_horizon")
     order = order or [c for c, t in docs.dtypes if c in ("doc_id", "text")]
+    # the caller's columns travel in one struct, so that no name of theirs meets one of here
+    keys = [f"order{i}" for i in range(len(order))]
+    docs = docs.select(F.struct(*docs.columns).alias("row"), F.col("source").alias("source"),
+                       *[F.col(c).alias(k) for c, k in zip(order, keys)])
+    order = keys
     counts = {r["source"]: r["n"] for r in docs.groupBy(
         F.col("source").cast("string").alias("source")).agg(F.count(F.lit(1)).alias("n"))
         .limit(grain + 1).collect()}
@@ -185,6 +195,6 @@ def pfair_mix(docs: DataFrame, weights: dict[str | None, float] | None = None,
         place = {c: F.coalesce(F.col(x), place[c]) for c, x in (
             ("release", "_first"), ("deadline", "_last"), ("slot", "_slot"))}
     return rows.select(
-        *docs.columns, "block", *(x.alias(c) for c, x in place.items()),
+        "row.*", "block", *(x.alias(c) for c, x in place.items()),
         (place["slot"] * block + F.col("number") % block).alias("position"),
         (place["slot"] < horizon).alias("in_horizon"))

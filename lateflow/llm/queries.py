@@ -6,6 +6,7 @@ text of those that SQL can express.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from lateflow.llm import (centroids, chat, decontam, langid, lm_score, mixing, phrases,
@@ -14,10 +15,9 @@ from lateflow.llm.near_dup import near_duplicates
 from lateflow.llm.shared import held, table
 from lateflow.llm.simhash import simhash_duplicates
 
-#: public vocabulary files; a cluster may keep them elsewhere
-TOKENIZERS = "/opt/tokenizers"
-TOKENIZER = f"{TOKENIZERS}/word_bpe_49k.json"
-PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+#: public vocabulary files
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: a shard's byte limit, fit for the sizes of the given tables
 SHARD_BYTES = 1 << 20
 

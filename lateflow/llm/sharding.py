@@ -58,10 +58,12 @@ def directory(cells: DataFrame, limit: int) -> DataFrame:
 def extendible_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """``docs`` with n_bytes, depth, prefix (of depth bits), page (0 but for overflow),
     shard_bytes and shard (text: prefix bits and page). Such columns are replaced."""
-    made = ["n_bytes", "depth", "prefix", "page", "shard_bytes", "shard", "_h", "_cell", "_at"]
-    docs = docs.drop(*made)
+    docs = docs.drop("n_bytes", "depth", "prefix", "page", "shard_bytes", "shard")
     size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long")
-    keyed = docs.withColumn("n_bytes", size).withColumn("_h", key_hash("doc_id"))
+    # the caller's columns travel in one struct, so that no name of theirs meets one of here
+    docs = docs.select(F.struct(*docs.columns).alias("row"), size.alias("n_bytes"),
+                       key_hash("doc_id").alias("_h"))
+    keyed = docs
     slim = keyed.select("_h", "n_bytes")
     total = slim.agg(F.sum("n_bytes")).first()[0] or 0
     depth = 0
@@ -95,17 +97,18 @@ def extendible_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
                          "bucket_bytes")
     out = out.join(found, ["_cell", "_at"]).withColumn("prefix", _prefix("_h", F.col("depth")))
     plain = out.filter(F.col("bucket_bytes") <= limit).withColumn("page", F.lit(0).cast("long"))
-    both = plain.select(*docs.columns, "n_bytes", "depth", "prefix", "page",
+    both = plain.select("row", "n_bytes", "depth", "prefix", "page",
                         F.col("bucket_bytes").alias("shard_bytes"))
     if levels[-1] == BITS:
         # written, so that the partition numbers are the same for counts and rows
         paged = _paged(written(out.filter(F.col("bucket_bytes") > limit).withColumn(
             "_part", F.spark_partition_id()), "overflow"), limit)
-        both = both.union(paged.select(*docs.columns, "n_bytes", "depth", "prefix", "page",
+        both = both.union(paged.select("row", "n_bytes", "depth", "prefix", "page",
                                        "shard_bytes"))
     bits = F.when(F.col("depth") > 0, F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2),
                                              F.col("depth"), F.lit("0"))).otherwise(F.lit(""))
-    return both.withColumn("shard", F.concat(bits, F.lit("-"), F.col("page").cast("string")))
+    return both.select("row.*", "n_bytes", "depth", "prefix", "page", "shard_bytes", F.concat(
+        bits, F.lit("-"), F.col("page").cast("string")).alias("shard"))
 
 
 def _paged(rows: DataFrame, limit: int) -> DataFrame:

@@ -131,6 +131,15 @@ class Bloom:
         return out
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, for a helper column (names are compared as
+    Spark does, without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[str], cell_rows: int,
              total: int, column: str = "number") -> DataFrame:
     """Number the rows of each key from 0, ordered by a hash of ``order`` and then by

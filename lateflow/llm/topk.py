@@ -15,8 +15,10 @@ groups of bounded size, whatever the table's; each returns k rows a query, of wh
 window keeps the best k. Nothing is broadcast.
 
 Defined cases: vectors that are null or hold null or non-finite components, and null ids,
-take no part. Shorter vectors count as ended by zeros. Rows with the query's own id are not
-its candidates. Components and scores have to fit 64-bit integers.
+take no part. Shorter vectors count as ended by zeros. Rows that repeat an id are queries
+and candidates of their own: a query's candidates are all rows but its own one, and a query
+id that repeats has an answer for each of its rows. Components and scores have to fit 64-bit
+integers.
 """
 
 from __future__ import annotations
@@ -58,8 +60,9 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 class ImpactIndex:
     """Postings of a block of vectors, by dimension and descending value, in segments."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None):
         self.ids, self.vectors = ids, vectors
+        self.rows = ids if rows is None else rows
         n, dims = vectors.shape
         order = np.argsort(-vectors, axis=0, kind="stable")
         cut = np.unique(np.linspace(0, n, min(SEGMENTS, n) + 1).astype(np.int64))
@@ -72,6 +75,7 @@ class ImpactIndex:
         self.low = ranked[self.last - 1].astype(float)
 
     def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places in the block, scores) of the best k but the row ``own``."""
         n, dims = self.vectors.shape
         most = np.maximum(query * self.high, query * self.low)
         least = np.minimum(query * self.high, query * self.low).min(axis=0)
@@ -80,7 +84,7 @@ class ImpactIndex:
         segment, dim = np.unravel_index(turn, impact.shape)
         ahead_of = np.vstack((-np.sort(-impact, axis=0), np.zeros(dims)))
         base, got = least.sum(), np.zeros(n)
-        possible = np.flatnonzero(self.ids != own)
+        possible = np.flatnonzero(self.rows != own)
         floor = -np.inf
         for at in range(0, len(turn), STEP):
             s, d = segment[at:at + STEP], dim[at:at + STEP]
@@ -98,25 +102,28 @@ class ImpactIndex:
             if len(possible) <= max(8 * k, n // 16):
                 break  # whoever is left out is proved not to be among the best k
         scores = self.vectors[possible] @ query
-        best = np.lexsort((self.ids[possible], -scores))[:k]
-        return self.ids[possible][best], scores[best]
+        best = np.lexsort((self.rows[possible], self.ids[possible], -scores))[:k]
+        return possible[best], scores[best]
 
 
 def _search(k: int):
     def search(key, queries: pa.Table, block: pa.Table) -> pa.Table:
-        out = ([], [], [])
+        out = ([], [], [], [], [])
         if queries.num_rows and block.num_rows:
             q, v = _matrix(queries["v"]), _matrix(block["v"])
             dims = max(q.shape[1], v.shape[1])
             q, v = (np.pad(x, ((0, 0), (0, dims - x.shape[1]))) for x in (q, v))
-            index = ImpactIndex(block["vec_id"].to_numpy(), v)
-            for own, vector in zip(queries["vec_id"].to_pylist(), q):
-                ids, scores = index.top(vector, own, k)
-                out[0].extend([own] * len(ids))
-                out[1].extend(ids.tolist())
-                out[2].extend(scores.tolist())
+            index = ImpactIndex(block["vec_id"].to_numpy(), v, block["row"].to_numpy())
+            for name, own, vector in zip(queries["vec_id"].to_pylist(),
+                                         queries["row"].to_pylist(), q):
+                at, scores = index.top(vector, own, k)
+                out[0].extend([own] * len(at))
+                out[1].extend([name] * len(at))
+                out[2].extend(index.rows[at].tolist())
+                out[3].extend(index.ids[at].tolist())
+                out[4].extend(scores.tolist())
         return pa.table([pa.array(x, pa.int64()) for x in out],
-                        names=["query_id", "vec_id", "score"])
+                        names=["query_row", "query_id", "row", "vec_id", "score"])
 
     return search
 
@@ -125,21 +132,20 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k best candidates of each query;
     ``vectors`` has vec_id and v, ``is_query`` is a boolean column of it."""
     ship(vectors.sparkSession)
-    vectors = written(vectors, "vectors")
-    queries = vectors.filter(is_query).dropDuplicates(["vec_id"])
+    # numbered before it is written, so that a row's number is the same wherever it is read
+    vectors = written(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    queries = vectors.filter(is_query)
     blocks = max(1, -(-vectors.count() // BLOCK))
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    deal = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
-    # the row hash deals copies of an id apart as well
-    row = F.pmod(F.xxhash64("vec_id", "v", F.monotonically_increasing_id()),
-                 F.lit(blocks)).cast("int")
-    left = queries.select("vec_id", "v", deal(query_blocks, "q").alias("qb"), F.explode(
+    # by the row, so that copies of an id are dealt apart as well
+    deal = lambda n, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)).cast("int")
+    left = queries.select("row", "vec_id", "v", deal(query_blocks, "q").alias("qb"), F.explode(
         F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"))
-    right = vectors.select("vec_id", "v", row.alias("b"), F.explode(
+    right = vectors.select("row", "vec_id", "v", deal(blocks, "b").alias("b"), F.explode(
         F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"))
     found = left.groupBy("b", "qb").cogroup(right.groupBy("b", "qb")).applyInArrow(
-        _search(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        _search(k), "query_row long, query_id long, row long, vec_id long, score long")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(best)).filter(
         F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"),
                                    "vec_id", "score")

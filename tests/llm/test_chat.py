@@ -78,10 +78,33 @@ def test_typed_layouts(spark):
     got = {r["id"]: r for r in chat.turns_from_columns(df, ["id"]).collect()}
     assert [tuple(t) for t in got[1]["turns"]] == [("user", "a"), ("assistant", "b")]
     assert [tuple(t) for t in got[2]["turns"]] == [("assistant", "c")]
-    odd = chat.turns_from_columns(df.withColumn("more", F.lit(1)), ["id"]).first()
+    more = df.withColumn("more", F.lit(1)).withColumn("extra", F.array(F.struct(F.lit(1).alias("x"))))
+    assert chat.turns_from_columns(more, ["id"]).collect() == chat.turns_from_columns(
+        df, ["id"]).collect()
+    odd = chat.turns_from_columns(more.drop("prompt"), ["id"]).first()
     assert odd["mapping"] is None and odd["turns"] is None
 
 
+def test_further_fields_do_not_matter(spark):
+    talk = [{"role": "user", "content": "a", "id": 3}, {"content": "b", "role": "assistant",
+                                                        "meta": {"role": ["x"]}}]
+    records = [
+        ({"id": 7, "messages": talk, "source": {"prompt": "p"}}, "messages"),
+        ({"messages": [{"content": "a", "meta": {"role": "user"}}]}, None),  # role is elsewhere
+        ({"messages": "a"}, None), ({"messages": [["role", "content"]]}, None),
+        ({"messages": [{"role": "user", "content": {"text": "a"}}]}, None),
+        ({"question": "a", "answer": "b", "n": [1, 2]}, "question"),
+        ({"instruction": "s", "input": None, "output": "b", "score": 1.5}, "instruction"),
+        ({"prompt": "a", "completion": "b", "messages": talk}, "messages")]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, (r, _) in enumerate(records)],
+                               "record_id long, record string").withColumnRenamed(
+        "record_id", "paths")
+    got = {r["paths"]: r for r in chat.turns_from_json(df, "record", ["paths"]).collect()}
+    assert [got[i]["mapping"] for i in range(len(records))] == [m for _, m in records]
+    assert [tuple(t) for t in got[0]["turns"]] == [("user", "a"), ("assistant", "b")]
+    assert [tuple(t) for t in got[6]["turns"]] == [("system", "s"), ("assistant", "b")]
+
+
 def test_nulls_ties_and_empty(spark):
     schema = "conv_id long, turn long, role string, text string"
     df = spark.createDataFrame([(None, 0, None, None), (1, 0, "user", "b"), (1, 0, "user", "a"),

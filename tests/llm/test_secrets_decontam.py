@@ -116,7 +116,7 @@ def test_templates_and_slots(spark):
     got = run(spark, texts)
     hits = {i: r["n_items"] for i, r in got.items()}
     assert [hits[i] > 0 for i in range(len(texts))] == [
-        True, True, True, True, True, False, False, False, False, False, False, True, True]
+        True, True, True, True, True, False, False, False, False, True, False, True, True]
     assert got[0]["item_ids"] == [1] and got[4]["item_ids"] == [2] and got[11]["item_ids"] == []
     assert all(r["contaminated"] == (r["n_items"] > 0) for r in got.values())
 
@@ -159,6 +159,13 @@ def test_exact_copies_of_dense_short_and_unspaced_items(spark):
     assert [got[i]["item_ids"] for i in range(9)] == [[1], [2], [3], [4], [5], [6], [], [], []]
 
 
+def test_items_of_one_and_two_words(spark):
+    bench = [(1, "Bonjour monde"), (2, "Paris")]
+    got = run(spark, ["Bonjour monde", "x Bonjour monde y", "bonjour le monde", "monde, bonjour",
+                      "Paris.", "a day in Paris", " paris "], bench)
+    assert [got[i]["item_ids"] for i in range(7)] == [[1], [1], [], [], [2], [], [2]]
+
+
 def test_repeats_and_empty_tables(spark):
     got = run(spark, [" ".join([BENCH[1][1]] * 300)] * 3)
     assert all(r["item_ids"] == [2] for r in got.values())

@@ -16,11 +16,12 @@ def brute(rows, k):
             if i is not None and e is not None
             and all(x is not None and math.isfinite(x) for x in e)]
     out = []
-    for q in sorted({i for i, _ in fine if i % 10 == 0}):
-        v = next(e for i, e in fine if i == q)
-        best = sorted((-sum(a * b for a, b in zip(v, e)), i) for i, e in fine if i != q)[:k]
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
-    return out
+    for n, (q, v) in enumerate(fine):
+        if q % 10 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, e)), i)
+                          for m, (i, e) in enumerate(fine) if m != n)[:k]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    return sorted(out)
 
 
 def run(spark, rows, k=10):
@@ -39,6 +40,7 @@ def test_random_clustered_and_odd_vectors(spark, monkeypatch):
     rows += [(1000 + i, [0.5] * 12) for i in range(25)]  # ties
     rows += [(2000, None), (2010, [None] * 12), (2020, [math.nan] * 12), (2030, [math.inf] * 12),
              (None, [1.0] * 12), (2040, []), (2050, [3.0]), (2060, [0.0] * 12)]
+    rows += [(20, [0.25] * 12), (20, [-1.0] * 12), (7, [0.5] * 12), (30, rows[30][1])]  # repeats
     assert run(spark, rows) == brute(rows, 10)
 
 
@@ -47,6 +49,7 @@ def test_few_candidates_and_empty(spark):
     assert run(spark, rows) == brute(rows, 10)
     assert run(spark, []) == []
     assert run(spark, [(0, [1.0])]) == []
+    assert run(spark, [(100, [1.0]), (100, [3.0])]) == [(100, 1, 100, 3072 * 1024)] * 2
 
 
 def test_processing_stops_on_proof():
