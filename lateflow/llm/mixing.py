@@ -9,9 +9,9 @@ slots, less than one block off.
 Up to slot ``horizon`` (the first slot for which a source has no full block left, so at most
 the number of blocks) the schedule follows the exact target weights, as fractions. The
 driver works it out slot by slot and keeps the source of each slot, two bytes; executors
-number the blocks of ``CHUNK`` slots each, and rows meet their block's slot in a join. Rows
-are numbered within a source over hash ranges, so a source with a third of all rows has no
-task to itself.
+number the blocks of ``CHUNK`` slots each. Rows are numbered within a source over hash ranges
+(cells), so a source with a third of all rows has no task to itself; the schedule is joined
+with the table of cells, and rows, which move once, with their cell's slots.
 
 All rows are kept. After the horizon no order can hold all target weights, as a source has
 run out. The remaining blocks follow a schedule of weights rounded to multiples of
@@ -38,10 +38,13 @@ from fractions import Fraction
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lateflow.llm.shared import arrow_stage, numbered
+from lateflow.llm.shared import arrow_stage, written
 
 BLOCK = 16
+#: name of the null source
+NULL = "\0null"
 GRAIN = 4096
 TEMPER = 0.7
 #: rows of all sources in one hash range, so that no task numbers many more of one source
@@ -147,54 +150,88 @@ def pfair_mix(docs: DataFrame, weights: dict[str | None, float] | None = None,
     order = order or [c for c, t in docs.dtypes if c in ("doc_id", "text")]
     # the caller's columns travel in one struct, so that no name of theirs meets one of here
     keys = [f"order{i}" for i in range(len(order))]
-    docs = docs.select(F.struct(*docs.columns).alias("row"), F.col("source").alias("source"),
+    safe = F.coalesce(F.col("source").cast("string"), F.lit(NULL))
+    docs = docs.select(F.struct(*docs.columns).alias("row"), safe.alias("name"),
                        *[F.col(c).alias(k) for c, k in zip(order, keys)])
-    order = keys
-    counts = {r["source"]: r["n"] for r in docs.groupBy(
-        F.col("source").cast("string").alias("source")).agg(F.count(F.lit(1)).alias("n"))
-        .limit(grain + 1).collect()}
+    found = docs.groupBy("name").agg(F.count(F.lit(1)).alias("n")).limit(grain + 1).collect()
+    counts = {None if r["name"] == NULL else r["name"]: r["n"] for r in found}
     if weights is None:
         weights = {s: n ** temper for s, n in counts.items()}
     else:
-        weights = {s: weights.get(s, min(weights.values())) for s in counts}
+        weights = {s: weights.get(s, min(weights.values(), default=1)) for s in counts}
     share = units(weights, grain) if counts else {}
-    table = spark.createDataFrame(
-        period(share, grain) if share else [],
-        "_source string, _unit long, _at long, _release long, _deadline long")
     names = list(share)
     whole = exact([weights[s] for s in names])
     slots = array("H") if rounded else schedule(whole, [counts[s] // block for s in names])
     taken = [0] * len(names)
     for n in slots:
         taken[n] += 1
-    sizes = spark.createDataFrame(
-        [(s, share[s], n, taken[n]) for n, s in enumerate(names)],
-        "_source string, _q long, _n long, _taken long")
-    rows = numbered(docs, ["source"], order, CELL_ROWS, sum(counts.values()))
-    rows = rows.withColumn("block", F.floor(F.col("number") / block).cast("long"))
-    same = F.col("source").cast("string").eqNullSafe(F.col("_source"))
-    # both tables have at most ``grain`` rows
-    rows = rows.join(F.broadcast(sizes), same).drop("_source")
-    rest = F.greatest(F.col("block") - F.col("_taken"), F.lit(0))
-    rows = rows.withColumn("_k", F.floor(rest / F.col("_q")).cast("long"))
-    rows = rows.withColumn("_u", rest % F.col("_q"))
-    rows = rows.join(F.broadcast(table), same & (F.col("_u") == F.col("_unit")))
-    offset = F.col("_k") * grain + len(slots)
-    place = {"release": offset + F.col("_release"), "deadline": offset + F.col("_deadline"),
-             "slot": offset + F.col("_at")}
+    repeat = period(share, grain) if share else []
     horizon = len(slots)
     if rounded:
-        ends = []
-        at = {(s, i): slot for s, i, slot, _, _ in (period(share, grain) if share else [])}
+        ends, at = [], {(s, i): slot for s, i, slot, _, _ in repeat}
         for s, n in counts.items():
             blocks = n // block  # the first block that is missing or not full
             ends.append(blocks // share[s] * grain + at[s, blocks % share[s]])
         horizon = min(ends, default=0)
-    elif slots:
-        rows = rows.join(_placed(spark, slots, whole), ["_n", "block"], "left")
-        place = {c: F.coalesce(F.col(x), place[c]) for c, x in (
-            ("release", "_first"), ("deadline", "_last"), ("slot", "_slot"))}
+
+    # rows of a source are numbered over hash ranges (cells); only these meet the schedule
+    cells = 1
+    while cells * CELL_ROWS < sum(counts.values()) and cells < 1 << 20:
+        cells *= 2
+    spread = F.xxhash64(*keys)
+    docs = docs.select("*", spread.alias("spread"), F.floor(
+        F.shiftrightunsigned(spread, 34) * cells / (1 << 30)).cast("int").alias("cell"))
+    before = Window.partitionBy("name").orderBy("cell").rowsBetween(
+        Window.unboundedPreceding, -1)  # at most 2^20 cells of a source, one row each
+    offsets = docs.groupBy("name", "cell").agg(F.count(F.lit(1)).alias("n")).select(
+        "name", "cell", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    placed = written(_cell_slots(spark, offsets, names, share, taken, repeat, slots, whole,
+                                 block, grain), "slots")
+    inside = Window.partitionBy("name", "cell").orderBy("spread", *keys)
+    # the rows move once to be numbered; the cell's slots are joined on the same keys
+    rows = docs.withColumn("rank", F.row_number().over(inside) - 1).join(
+        placed, ["name", "cell"])
+    number = (F.col("before") + F.col("rank")).cast("long")
+    rows = rows.select("row", "slots", number.alias("number"),
+                       F.floor(number / block).cast("long").alias("block"))
+    own = F.get("slots", (F.col("block") - F.col("slots")[0]["block"]).cast("int"))
+    rows = rows.select("row", "number", "block", own.alias("own"))
     return rows.select(
-        "row.*", "block", *(x.alias(c) for c, x in place.items()),
-        (place["slot"] * block + F.col("number") % block).alias("position"),
-        (place["slot"] < horizon).alias("in_horizon"))
+        "row.*", "block", "own.release", "own.deadline", "own.slot",
+        (F.col("own.slot") * block + F.col("number") % block).alias("position"),
+        (F.col("own.slot") < horizon).alias("in_horizon"))
+
+
+def _cell_slots(spark, offsets: DataFrame, names: list, share: dict, taken: list[int],
+                repeat: list[tuple], slots: array, whole: list[int], block: int,
+                grain: int) -> DataFrame:
+    """name, cell, before (rows of the source in earlier cells) and slots: the blocks that
+    the cell's rows are in, with release, deadline and slot, in order (about a cell's rows
+    / ``block`` of them). Blocks beyond the exact schedule follow the repeating one."""
+    named = [NULL if s is None else s for s in names]
+    # both tables have at most ``grain`` rows
+    sizes = F.broadcast(spark.createDataFrame(
+        [(s, n, share[o], taken[n]) for n, (s, o) in enumerate(zip(named, names))],
+        "name string, source long, q long, taken long"))
+    table = F.broadcast(spark.createDataFrame(
+        [(NULL if s is None else s, *rest) for s, *rest in repeat],
+        "name string, unit long, at long, first long, last long"))
+    every = F.sequence(F.floor(F.col("before") / block).cast("long"),
+                       F.floor((F.col("before") + F.col("n") - 1) / block).cast("long"))
+    blocks = offsets.select("name", "cell", "before", F.explode(every).alias("block")).join(
+        sizes, "name")
+    rest = F.greatest(F.col("block") - F.col("taken"), F.lit(0))
+    blocks = blocks.withColumn("turn", F.floor(rest / F.col("q")).cast("long")).withColumn(
+        "unit", rest % F.col("q")).join(table, ["name", "unit"])
+    offset = F.col("turn") * grain + len(slots)
+    places = {"release": offset + F.col("first"), "deadline": offset + F.col("last"),
+              "slot": offset + F.col("at")}
+    if len(slots):
+        exact_ = _placed(spark, slots, whole).toDF("source", "block", "slot_", "first_", "last_")
+        blocks = blocks.join(exact_, ["source", "block"], "left")
+        places = {c: F.coalesce(F.col(x), places[c]) for c, x in (
+            ("release", "first_"), ("deadline", "last_"), ("slot", "slot_"))}
+    return blocks.groupBy("name", "cell").agg(
+        F.min("before").alias("before"), F.array_sort(F.collect_list(F.struct(
+            "block", *(x.alias(c) for c, x in places.items())))).alias("slots"))

@@ -1,5 +1,5 @@
-"""Small helpers of the llm operators: written intermediate tables, Arrow stages, a
-Bloom filter of fixed size, and numbering of rows without a one-task group."""
+"""Small helpers of the llm operators: written intermediate tables, Arrow stages, and a
+Bloom filter of fixed size."""
 
 from __future__ import annotations
 
@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from lateflow.session import ensure_checkpoint_dir
 
@@ -140,36 +139,5 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str], cell_rows: int,
-             total: int, column: str = "number") -> DataFrame:
-    """Number the rows of each key from 0, ordered by a hash of ``order`` and then by
-    ``order``, without holding a key in one task: a key is cut into hash ranges of about
-    ``cell_rows`` rows, which are counted, offset and numbered each for itself. Rows that
-    agree in all of ``order`` are interchangeable; their copies are numbered in any order.
-
-    ``total`` is the row count, or more; it fixes the number of ranges.
-    """
-    cells = 1
-    while cells * cell_rows < total and cells < 1 << 20:
-        cells *= 2
-    spread = F.xxhash64(*order)
-    marked = df.withColumn("_spread", spread).withColumn(
-        "_cell", F.floor((F.shiftrightunsigned("_spread", 34)) * cells / (1 << 30)).cast("int"))
-    safe = [F.coalesce(F.col(k).cast("string"), F.lit("\0null")).alias(f"_k{i}")
-            for i, k in enumerate(keys)]
-    marked = marked.select("*", *safe)
-    names = [f"_k{i}" for i in range(len(keys))]
-    counts = marked.groupBy(*names, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*names).orderBy("_cell").rowsBetween(
-        Window.unboundedPreceding, -1)  # at most 2^20 cells of a key, one row each
-    offsets = counts.select(*names, "_cell", F.coalesce(F.sum("_n").over(before),
-                                                        F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*names, "_cell").orderBy("_spread", *order)
-    ranked = marked.withColumn("_rank", F.row_number().over(inside) - 1)
-    return (ranked.join(offsets, [*names, "_cell"])
-            .withColumn(column, (F.col("_rank") + F.col("_before")).cast("long"))
-            .drop("_spread", "_cell", "_rank", "_before", *names))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
