@@ -3,6 +3,7 @@ Bloom filter of fixed size."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -77,6 +78,16 @@ def begin(stage: str) -> None:
         _stage[:] = [stage]
 
 
+def trim() -> None:
+    """Give memory that a task has freed back to the system: an idle worker shares its
+    executor's memory with the JVM and the other workers."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
 def arrow_stage(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
                 schema: T.StructType | str) -> DataFrame:
     """Apply ``fn`` to each Arrow batch; batches are independent."""
@@ -85,9 +96,12 @@ def arrow_stage(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
 
     def run(batches):
         begin(name)
-        for batch in batches:
-            if batch.num_rows:
-                yield from fn(batch)
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    yield from fn(batch)
+        finally:
+            trim()
 
     return df.mapInArrow(run, schema)
 
