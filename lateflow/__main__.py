@@ -109,7 +109,11 @@ def cmd_query(spark, args) -> int:
     if args.name not in SPARK:
         print("unknown query; one of:", ", ".join(sorted(SPARK)), file=sys.stderr)
         return 2
-    SPARK[args.name](spark, args.events).show(args.show, False)
+    found = SPARK[args.name](spark, args.events).cache()
+    total = found.count()
+    found.show(args.show, False)
+    if total > args.show:
+        print(f"{args.show} of {total:,} rows")
     return 0
 
 

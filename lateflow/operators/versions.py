@@ -156,7 +156,7 @@ class ReplayLedger:
 
     def as_of_ts(self, probes: DataFrame) -> DataFrame:
         """For each probe_us: the latest version committed at or before it (null: none)."""
-        steps = self.history().select((-F.col("timestamp_us")).alias("at"),
+        steps = self.recorded.select((-F.col("timestamp_us")).alias("at"),
                                       (-F.col("version")).alias("version"))
         asked = probes.select((-F.col("probe_us")).alias("q")).distinct()
         found = first_at_or_after(asked, "q", steps, "at", ["version"], US_PER_DAY)
@@ -170,6 +170,11 @@ class ReplayLedger:
     # --------------------------------------------------------------- reports
     def history(self) -> DataFrame:
         """Commits newest first: version, timestamp_us, operation, predicate, tags."""
+        return self.recorded.orderBy(F.col("version").desc())
+
+    @cached_property
+    def recorded(self) -> DataFrame:
+        """The commits in no order; one row each, derived once."""
         c = self.commits
         data = c.select(
             "version", F.col("ts_us").alias("timestamp_us"), F.lit("WRITE").alias("operation"),
@@ -211,14 +216,13 @@ class ReplayLedger:
             F.lit(None).cast("string").alias("schema_evolution"),
             F.lit(None).cast("string").alias("job"),
             F.col("n").cast("long").alias("restored_to"))
-        return (create.unionByName(data).unionByName(bad).unionByName(restore)
-                .orderBy(F.col("version").desc()))
+        return materialize(create.unionByName(data).unionByName(bad).unionByName(restore))
 
     def tagged_versions(self, job: str = BAD_CORRECTION_JOB) -> DataFrame:
         """The most recent commit tagged ``job``, the version before it, the first
         schema-evolution version, and the day the tagged overwrite replaced (the quoted
         literal of its predicate). No tagged commit -> no row."""
-        h = self.history()
+        h = self.recorded
         is_job = F.col("job") == F.lit(job)
         agg = h.agg(
             F.max(F.when(is_job, F.col("version"))).alias("bad_version"),
@@ -233,7 +237,7 @@ class ReplayLedger:
     def asof_timestamp(self) -> DataFrame:
         """Reads as of instants before, at and after every commit."""
         at = F.col("timestamp_us")
-        near = self.history().select(F.explode(F.array(at - 1, at, at + 1)).alias("probe_us"))
+        near = self.recorded.select(F.explode(F.array(at - 1, at, at + 1)).alias("probe_us"))
         return self.as_of_ts(near)
 
     def schema_changes(self) -> DataFrame:
@@ -345,7 +349,7 @@ class ReplayLedger:
 
     def describe(self) -> DataFrame:
         """Per table: latest version, live rows, and how many commits of each kind."""
-        h = self.history()
+        h = self.recorded
         counts = h.agg(
             F.max("version").alias("version"),
             F.count_if(F.col("operation") == "WRITE").alias("writes"),

@@ -32,6 +32,9 @@ from lateflow.streaming import windows as W
 STREAM_SLICE, RESTART_SLICE, WRITERS_SLICE = 720, 1440, 2880
 INTERRUPT_AFTER = 7
 _STREAMS: dict[tuple, W.Sink] = {}
+#: queries that run micro-batches before they return a plain read of what these wrote
+STREAMED = ("stream_windows", "stream_late_rows", "stream_open_windows", "stream_progress",
+            "stream_restarted", "replayed_writers")
 
 
 def folder(spark, name: str) -> str:

@@ -30,6 +30,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -278,17 +279,22 @@ def writer_of(spark: SparkSession, checkpoint: str) -> str:
 
 
 def stream(spark: SparkSession, landing: str, out: str, policy: LatenessPolicy = DEFAULT_POLICY,
-           interrupt_after: int | None = None) -> Sink:
+           interrupt_after: int | None = None,
+           applied: Callable[[int, dict], None] | None = None) -> Sink:
     """Process every slice that is ready and not yet processed, one for each micro-batch.
     ``interrupt_after`` raises ``Interrupted`` when that batch has been applied, as a crash
-    before Spark records the batch would; the next call resumes with the same batch."""
+    before Spark records the batch would; the next call resumes with the same batch.
+    ``applied`` is told the number and progress of each batch."""
     sink, checkpoint = Sink(spark, out), f"{out.rstrip('/')}/checkpoint"
     writer: list[str] = []  # the query's id; Spark writes it down when the query starts
 
     def on_batch(ready: DataFrame, batch_id: int) -> None:
         (line,) = ready.collect()  # one file of one line
         writer[:] = writer or [writer_of(spark, checkpoint)]
-        apply(sink, read_slice(spark, landing, line["slice_id"]), batch_id, writer[0], policy)
+        progress = apply(sink, read_slice(spark, landing, line["slice_id"]), batch_id, writer[0],
+                         policy)
+        if applied is not None:
+            applied(batch_id, progress)
         if batch_id == interrupt_after:
             raise Interrupted(f"after batch {batch_id}")
 

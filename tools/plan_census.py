@@ -7,7 +7,8 @@ step that queries share counts for the first of them), and prints one line per q
 partition exchanges, broadcasts, sort-merge joins, nested-loop or cartesian joins, windows,
 and scans of the events. Single-partition exchanges must only feed bounded metadata (block carries,
 per-day or per-commit tables, top-k merges); nested-loop and cartesian joins must not
-appear at all.
+appear at all. Queries that run micro-batches are left out: their own plan only reads what
+these wrote.
 """
 
 from __future__ import annotations
@@ -52,10 +53,13 @@ def written_plans():
 
 def census(spark, sf_dir: str) -> dict[str, dict[str, int]]:
     from lateflow import queries
+    from lateflow.stream_queries import STREAMED
 
     out = {}
     queries.forget()
     for name, fn in queries.SPARK.items():
+        if name in STREAMED:
+            continue
         with written_plans() as plans:
             plans.append(fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
         text = "\n".join(plans)
