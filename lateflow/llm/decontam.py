@@ -89,7 +89,7 @@ _SPELT |= dict.fromkeys("thousand mil mille tausend".split(), "1000") | dict.fro
     "million millions millón millones".split(), "1000000")
 _SPELT.pop("-")
 _CODES = mix(np.arange(100, 105, dtype=U64))
-_KEEP = 1 << 20
+_KEEP = 1 << 18
 _words: dict[str, tuple] = keeps({})
 
 

@@ -22,7 +22,7 @@ from lateflow.llm.words import U64, Words
 CUT = 4096
 CELLS = 1 << 18
 #: word values kept from slice to slice in a Python worker; cleared beyond this
-KEEP = 1 << 20
+KEEP = 1 << 18
 
 
 def load_pieces(path: str) -> list[bytes]:
