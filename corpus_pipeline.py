@@ -15,7 +15,9 @@ a DataFrame, which is written as Parquet and read back as the next stage's docs.
 4. mix: orders all documents by the Pfair schedule of the sources' target weights. The
    output is range partitioned and sorted by that order, so its files, read in order of
    their names, are the mixture.
-5. shard: adds each document's shard (prefix, depth, page) under the byte limit.
+5. shard: adds each document's shard (prefix, depth, page) under the byte limit and its place
+   there, by the order of the mix. The rows of a shard stand together in that order, so that
+   each shard is a mixture of its own.
 
 SQL cannot express the stages (forward recursions, MinHash), so ``ORACLE_SQL`` is None.
 """
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lateflow.llm import langid
 from lateflow.llm.decontam import contamination
@@ -31,7 +34,7 @@ from lateflow.llm.mixing import pfair_mix
 from lateflow.llm.near_dup import near_duplicates
 from lateflow.llm.queries import PIECES, SHARD_BYTES
 from lateflow.llm.sharding import extendible_shards
-from lateflow.llm.shared import table, unused, written
+from lateflow.llm.shared import in_file_order, table, unused, written
 
 LEAST_SCORE = 0.5
 SIMILARITY = 0.8
@@ -94,7 +97,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return extendible_shards(docs, SHARD_BYTES)
+    # the mix is the order of its files; a window holds one shard, which the limit bounds
+    mixed = unused(docs, "mixed")
+    rows = extendible_shards(in_file_order(docs, mixed), SHARD_BYTES)
+    shard = Window.partitionBy("prefix", "depth", "page").orderBy(mixed)
+    return rows.withColumn("place", F.row_number().over(shard).cast("long") - 1).drop(mixed)
 
 
 STAGES = [

@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_file_order(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column that orders its rows as its files, by the number of the task that
+    wrote them, hold them. What is read from no files is written first."""
+    try:
+        meta = df.metadataColumn("_metadata")
+        task, number = (F.regexp_extract(meta["file_name"], x, 1).try_cast("long")
+                        for x in (r"^part-(\d+)-", r"[.-]c(\d+)\."))
+        return df.select("*", F.struct(task.alias("task"), number.alias("number"),
+                                       meta["row_index"].alias("row")).alias(name))
+    except AnalysisException:
+        return in_file_order(written(df, "ordered"), name)
+
+
 #: bytes of an Arrow batch that is sent to a Python worker, as texts can be long
 BATCH_BYTES = 4 << 20
 _shipped: set[str] = set()

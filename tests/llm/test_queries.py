@@ -56,3 +56,21 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(
         str(empty / "benchmark.parquet"))
     assert P.run(spark, str(empty)).count() == 0
+
+
+def test_shards_keep_the_order_of_the_mix(spark):
+    docs = table(spark, SF_MID, "documents")
+    stages = dict(P.STAGES)
+    mixed = written(stages["mix"](spark, docs, SF_MID), "mix")
+    schedule = P.pfair_mix(docs, order=["doc_id"]).orderBy("position").select("doc_id").collect()
+    order = {r["doc_id"]: n for n, r in enumerate(schedule)}
+    assert order != {i: n for n, i in enumerate(sorted(order))}
+    # as the mix has them, and as another order of the same rows has them
+    for rows, at in ((mixed, order), (docs.orderBy("doc_id"), {i: i for i in order})):
+        shards = {}
+        for r in stages["shard"](spark, rows, SF_MID).collect():
+            shards.setdefault(r["shard"], []).append((r["place"], at[r["doc_id"]]))
+        assert len(shards) > 1
+        for found in shards.values():  # together, and in order
+            assert [p for p, _ in found] == list(range(len(found)))
+            assert found == sorted(found, key=lambda x: x[1])
