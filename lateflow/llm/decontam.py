@@ -121,16 +121,103 @@ def _kind(word: str) -> tuple[str, int, bool, str]:
     return lower, 0, ends, lower
 
 
+def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What a byte is to ``_plain`` (the bits below), and the characters of two bytes that a
+    plain word may hold, and of these the lower-case letters."""
+    byte = np.zeros(256, dtype=np.uint8)
+    for b in range(128):
+        c = chr(b)
+        byte[b] = (_IN_EDGE * (c in _EDGE) | _TAIL * (c in "\"')]*") | _STOP * (c in ".!?:")
+                   | _UPPER * c.isupper() | _LOWER * c.islower()
+                   | _ODD * (c == "-" or (c.isspace() and c not in " \t\n\v\f\r")))
+    byte[128:] = _ODD
+    byte[0xC2:0xE0] = _LEAD
+    byte[0x80:0xC0] = _NEXT
+    two = [chr(c) for c in range(0x800)]
+    same = np.array([c.lower() == c and not (c.isupper() or c.isnumeric() or c.isspace())
+                     and c not in _EDGE + "£" for c in two])
+    return byte, same, np.array([c.islower() for c in two]) & same
+
+
+_IN_EDGE, _TAIL, _STOP, _UPPER, _LOWER, _ODD, _LEAD, _NEXT = (1 << i for i in range(8))
+_BYTES, _SAME, _SMALL = _classes()
+#: hashes of the words that are units or numbers
+_LISTED = np.sort(Words(*text_buffer(pa.array(sorted(UNITS | _SPELT.keys())))).hash)
+
+
+def _plain(words: Words):
+    """Which words ``_kind`` calls a word or a name by their letters alone, and for these the
+    literal hash, kind and sentence end, without a step per word: those that begin (behind
+    ASCII signs) with a letter and hold only ASCII but hyphens and characters of two bytes
+    that lower case leaves as they are, and are no unit or number."""
+    n = len(words)
+    byte = _BYTES[words.raw]
+    fine = np.ones(n, dtype=bool)
+    odd, small = (byte & _ODD) > 0, (byte & _LOWER) > 0
+    lead = np.flatnonzero(byte & _LEAD)
+    follows = np.zeros(len(byte) + 1, dtype=bool)
+    follows[lead + 1] = True
+    odd |= follows[:-1] != ((byte & _NEXT) > 0)
+    odd[words.start] |= (byte[words.start] & _NEXT) > 0
+    odd[words.end - 1] |= (byte[words.end - 1] & _LEAD) > 0
+    lead = lead[lead + 1 < len(byte)]
+    code = ((words.raw[lead] & 31).astype(np.int64) << 6) | (words.raw[lead + 1] & 63)
+    odd[lead] |= ~_SAME[code]
+    small[lead] = _SMALL[code]
+    fine[np.searchsorted(words.start, np.flatnonzero(odd), side="right") - 1] = False
+    # the word without the signs around it
+    first, last = words.start.copy(), words.end - 1
+    core = np.flatnonzero((byte & _IN_EDGE) == 0)
+    for spot, behind in ((first, 0), (last, 1)):
+        some = np.flatnonzero(byte[spot] & _IN_EDGE)
+        at = np.searchsorted(core, spot[some]) - behind
+        inside = (at >= 0) & (at < len(core))
+        spot[some[inside]] = core[at[inside]]
+        fine[some[~inside]] = False
+    fine &= (first <= last) & (first < words.end) & (last >= words.start)
+    fine[fine] &= (byte[first[fine]] & (_UPPER | _LOWER | _LEAD)) > 0
+    at = np.flatnonzero(fine)
+    first, last = first[at], last[at]
+    literal = words.hashes(first, last + 1)
+    spot = np.minimum(np.searchsorted(_LISTED, literal), len(_LISTED) - 1)
+    fresh = _LISTED[spot] != literal
+    at, first, last, literal = at[fresh], first[fresh], last[fresh], literal[fresh]
+    kind = np.zeros(len(at), dtype=np.int8)
+    big = np.flatnonzero(byte[first] & _UPPER)
+    big = big[(last[big] > first[big]) | ~np.isin(words.raw[first[big]], list(b"AI"))]
+    lows = np.flatnonzero(small)
+    kind[big] = np.where(np.searchsorted(lows, first[big]) < np.searchsorted(
+        lows, last[big], side="right"), NAME, CAPS)
+    mark = words.end[at] - 1
+    some = np.flatnonzero(byte[mark] & _TAIL)
+    tail = np.flatnonzero((byte & _TAIL) == 0)
+    mark[some] = tail[np.searchsorted(tail, mark[some]) - 1]
+    return at, literal, kind, (byte[mark] & _STOP) > 0
+
+
 def _tokens(words: Words):
     """Per word: literal hash, kind, sentence end and the hash of what fills a broad
-    placeholder, from a table of distinct words."""
-    # the hash of the bytes in lower case, told apart by the first letter's case
-    first = words.raw[words.start] if len(words) else np.zeros(0, np.uint8)
-    upper = np.add.reduceat((words.raw != words.lower).astype(np.int64), words.start) \
-        if len(words) else np.zeros(0, np.int64)
-    with np.errstate(over="ignore"):
-        key = mix(words.hash + first.astype(U64) * U64(31) + np.minimum(upper, 2).astype(U64))
+    placeholder. Plain words are done together, the others from a table of distinct words."""
+    n = len(words)
+    out = (np.zeros(n, U64), np.zeros(n, np.int8), np.zeros(n, bool), np.zeros(n, U64))
+    rest = np.ones(n, dtype=bool)
+    if n:
+        at, literal, kind, ends = _plain(words)
+        for o, a in zip(out, (literal, kind, ends, literal)):
+            o[at] = a
+        rest[at] = False
+    at = np.flatnonzero(rest)
+    if len(at):
+        for o, a in zip(out, _listed(words, at)):
+            o[at] = a
+    return out
+
+
+def _listed(words: Words, which: np.ndarray):
+    """What ``_kind`` says of these words, from a table of distinct words."""
+    key = words.hashes(words.start[which], words.end[which], words.raw)
     h, at, index = np.unique(key, return_index=True, return_inverse=True)
+    at = which[at]
     known, lit, kind, ends, fill = _words.get("t", (
         np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int8), np.zeros(0, bool),
         np.zeros(0, U64)))

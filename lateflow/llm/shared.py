@@ -151,12 +151,23 @@ class Bloom:
 
     def holds(self, h: np.ndarray) -> np.ndarray:
         """Which of the uint64 hashes may be among the keys."""
-        out = np.ones(len(h), dtype=bool)
-        for i in range(self.PROBES):
-            p = (h >> U64(7 * i)) & self.mask
-            out &= ((self.words[(p >> U64(6)).astype(np.int64)] >> (p & U64(63))) & U64(1)) == 1
+        out = self._probe(h, 0)
+        left = np.flatnonzero(out)
+        if 2 * len(left) < len(h):  # most are out: the others alone go on
+            out[left] = self._rest(h[left])
+            return out
+        return out & self._rest(h)
+
+    def _rest(self, h: np.ndarray) -> np.ndarray:
+        out = self._probe(h, 1)
+        for i in range(2, self.PROBES):
+            out &= self._probe(h, i)
         return out
 
+    def _probe(self, h: np.ndarray, i: int) -> np.ndarray:
+        p = (h >> U64(7 * i)) & self.mask
+        return ((self.words[(p >> U64(6)).astype(np.int64)] >> (p & U64(63))) & U64(1)) == 1
+
 
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have, for a helper column (names are compared as

@@ -99,22 +99,25 @@ class Words:
             np.logical_or(space[1:], edge[1:-1], out=after[:-1])
         self.end = np.flatnonzero(~space & after) + 1
         self.doc = np.searchsorted(offsets, self.start, side="right") - 1
-        self.hash = self._hashes()
+        self.hash = self.hashes(self.start, self.end)
 
-    def _hashes(self) -> np.ndarray:
-        out = np.empty(len(self.start), dtype=U64)
+    def hashes(self, start: np.ndarray, end: np.ndarray, data: np.ndarray | None = None):
+        """Hashes of byte ranges, which are in order and do not overlap, in lower case or
+        of ``data``."""
+        data = self.lower if data is None else data
+        out = np.empty(len(start), dtype=U64)
         first = 0
         with np.errstate(over="ignore"):
             while first < len(out):
-                base = self.start[first]
-                last = int(np.searchsorted(self.end, base + SEGMENT, side="right"))
+                base = start[first]
+                last = int(np.searchsorted(end, base + SEGMENT, side="right"))
                 last = max(last, first + 1)
-                part = self.lower[base:self.end[last - 1]]
+                part = data[base:end[last - 1]]
                 up, down = _power_tables(len(part))
                 total = np.empty(len(part) + 1, dtype=U64)
                 total[0] = 0
                 np.cumsum(_BYTE[part] * up[:len(part)], out=total[1:])
-                s, e = self.start[first:last] - base, self.end[first:last] - base
+                s, e = start[first:last] - base, end[first:last] - base
                 out[first:last] = mix((total[e] - total[s]) * down[s] + (e - s).astype(U64))
                 first = last
         return out

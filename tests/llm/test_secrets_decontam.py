@@ -5,10 +5,14 @@ import random
 import re
 import string
 
+import numpy as np
+import pyarrow as pa
 from conftest import SF_MID
 
 from lateflow.llm import decontam, secret_scan
 from lateflow.llm.queries import QUERIES
+from lateflow.llm.shared import Bloom
+from lateflow.llm.words import Words, text_buffer
 
 PATTERNS = {
     "assign": (r"""(?i:password|passwd|secret|token|api_?key)["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
@@ -182,3 +186,53 @@ def test_planted_passages_of_the_whole_table(spark):
     got = QUERIES["op8_template_decontam"](spark, SF_MID).collect()
     assert {r["doc_id"] for r in got if r["contaminated"]} == want
     assert len(got) == len(docs)
+
+
+def test_plain_words_take_no_step_each(monkeypatch):
+    """Words of letters are told apart together, however many different ones a text has."""
+    rng = random.Random(8)
+    plain = {"".join(rng.choices("abcdefgéñжя", k=9)) for _ in range(5000)}
+    text = " ".join(f"{rng.choice(['', '('])}{w.capitalize() if w < 'b' else w}{rng.choice(['', '.', ',', '?!'])}"
+                    for w in sorted(plain))
+    asked, kind = [], decontam._kind
+    monkeypatch.setattr(decontam, "_kind", lambda w: asked.append(w) or kind(w))
+    decontam._words.clear()
+    decontam._tokens(Words(*text_buffer(pa.array([text]))))
+    assert len(asked) < 10
+
+
+def test_tokens_are_what_each_word_is():
+    rng = random.Random(9)
+    signs = list(".,;:!?\"'()[]*&-$%€£=+_~@|/\\<>^`#{}") + list("«»“”’…°।。！ \u0085\x1c\x7f")
+    letters = list("abcABC019éÉßÜöÑ÷×İıΣσςЖжЁאبª²½ǅ٣中ไ😀")
+    known = [*decontam.UNITS, *decontam._SPELT, "Twelve", "twenty-one", "5km", "$3", "A", "I", "IBM",
+             "ABc", "ABC", "(aB", "(Ab", "(A)", "O'Neil", "McD", "***", "?\"'", "x:*)", "-", "a-b", "a1b"]
+
+    def word():
+        w = rng.choice(known) if rng.random() < .3 else "".join(rng.choices(letters, k=rng.randint(1, 5)))
+        return "".join([rng.choice(signs) * (rng.random() < .3), w, *rng.choices(signs, k=rng.choice((0, 0, 1, 2)))])
+
+    texts = [" ".join(word() for _ in range(rng.randint(0, 6))) for _ in range(3000)] + [
+        "", None, "x", "É", "*", "(Aa"]
+    words = Words(*text_buffer(pa.array(texts)))
+    decontam._words.clear()
+    literal, kind, ends, fill = decontam._tokens(words)
+    want = [decontam._kind(words.raw[a:b].tobytes().decode()) for a, b in zip(words.start, words.end)]
+    hashed = lambda ts: Words(*text_buffer(pa.array(["".join(t.split()) or "." for t in ts]))).hash
+    assert literal.tolist() == hashed([w[0] for w in want]).tolist()
+    assert kind.tolist() == [w[1] for w in want] and ends.tolist() == [w[2] for w in want]
+    assert fill.tolist() == hashed([w[3] for w in want]).tolist()
+
+
+def test_filter_narrowed_or_whole():
+    """The same rows pass, whether few or most of a batch may be keys."""
+    rng = np.random.default_rng(1)
+    keys, others = (rng.integers(0, 1 << 64, 4000, dtype=np.uint64) for _ in range(2))
+    bloom = Bloom(np.zeros(1 << 12, dtype=np.uint64))
+    for i in range(Bloom.PROBES):
+        p = (keys >> np.uint64(7 * i)) & bloom.mask
+        np.bitwise_or.at(bloom.words, (p >> np.uint64(6)).astype(int), np.uint64(1) << (p & np.uint64(63)))
+    alone = np.array([bloom.holds(h[None])[0] for h in others])
+    assert 0 < alone.sum() < 400 and bloom.holds(keys).all() and not len(bloom.holds(keys[:0]))
+    assert (bloom.holds(others) == alone).all()
+    assert bloom.holds(np.concatenate((keys, others)))[4000:].tolist() == alone.tolist()
