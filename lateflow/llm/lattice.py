@@ -42,7 +42,8 @@ def load_pieces(path: str) -> list[bytes]:
 
 
 class Trie:
-    """Pieces as a byte trie with a dense child table for nodes that have children."""
+    """Pieces as a byte trie. The children of each node that has some are one stretch of a
+    table, from its least to its greatest byte."""
 
     def __init__(self, pieces: list[bytes]):
         children: list[dict[int, int]] = [{}]
@@ -63,10 +64,22 @@ class Trie:
         inner = [i for i, c in enumerate(children) if c]
         self.row = np.zeros(len(children), dtype=np.int32)  # 0: no children
         self.row[inner] = np.arange(1, len(inner) + 1)
-        self.child = np.zeros((len(inner) + 1, 256), dtype=np.int32)
+        low = np.array([min(children[i]) for i in inner], dtype=np.int64)
+        span = np.array([max(children[i]) for i in inner], dtype=np.int64) - low + 1
+        # 256 places on either side, so that every byte of every row falls into the table
+        self.base = np.zeros(len(inner) + 1, dtype=np.int32)
+        self.base[1:] = np.cumsum(span) - span - low + 256
+        size = int(span.sum()) + 512
+        self.owner, self.child = np.full(size, -1, np.int32), np.zeros(size, np.int32)
         for at, i in enumerate(inner, 1):
-            c = children[i]
-            self.child[at, list(c)] = list(c.values())
+            for b, node in children[i].items():
+                spot = self.base[at] + b
+                self.owner[spot], self.child[spot] = at, node
+
+    def step(self, row: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The nodes that the rows' nodes reach by these bytes, 0 if none."""
+        at = self.base[row] + byte
+        return np.where(self.owner[at] == row, self.child[at], 0)
 
 
 _tries: dict[tuple, Trie] = keeps({})
@@ -109,7 +122,7 @@ def _spelled(trie: Trie, data: np.ndarray, first: int, last: int) -> np.ndarray:
     for d in range(trie.depth):
         inside = at + d < len(data)
         at, row = at[inside], row[inside]
-        node = trie.child[row, data[at + d]]
+        node = trie.step(row, data[at + d])
         at, node = at[node > 0], node[node > 0]
         out[at - first, d] = trie.piece[node]
         row = trie.row[node]
@@ -186,7 +199,7 @@ def _forward(trie: Trie, logp: np.ndarray, bytes_: np.ndarray, length: np.ndarra
         row = np.ones(len(lane), dtype=np.int32)
         j = i
         while len(lane):
-            node = trie.child[row, bytes_[j, lane]]
+            node = trie.step(row, bytes_[j, lane])
             j += 1
             some = node > 0
             lane, node = lane[some], node[some]

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lateflow.llm.shared import arrow_stage, written
+from lateflow.llm.shared import arrow_stage, local_rows, written
 
 BLOCK = 16
 #: name of the null source
@@ -116,7 +116,7 @@ def _placed(spark, slots: array, weights: list[int]) -> DataFrame:
     chunks, done = [], [0] * len(weights)
     for at in range(0, len(slots), CHUNK):
         part = slots[at:at + CHUNK]
-        chunks.append((at, list(done), bytearray(part.tobytes())))
+        chunks.append((at, list(done), part.tobytes()))
         for n in part:
             done[n] += 1
     total = sum(weights)
@@ -134,7 +134,8 @@ def _placed(spark, slots: array, weights: list[int]) -> DataFrame:
                 names=["_n", "block", "_slot", "_first", "_last"])
 
     return arrow_stage(
-        spark.createDataFrame(chunks, "at long, done array<long>, part binary"), stage,
+        local_rows(spark, chunks, {"at": pa.int64(), "done": pa.list_(pa.int64()),
+                                   "part": pa.binary()}), stage,
         "_n long, block long, _slot long, _first long, _last long")
 
 
@@ -211,12 +212,12 @@ def _cell_slots(spark, offsets: DataFrame, names: list, share: dict, taken: list
     / ``block`` of them). Blocks beyond the exact schedule follow the repeating one."""
     named = [NULL if s is None else s for s in names]
     # both tables have at most ``grain`` rows
-    sizes = F.broadcast(spark.createDataFrame(
-        [(s, n, share[o], taken[n]) for n, (s, o) in enumerate(zip(named, names))],
-        "name string, source long, q long, taken long"))
-    table = F.broadcast(spark.createDataFrame(
-        [(NULL if s is None else s, *rest) for s, *rest in repeat],
-        "name string, unit long, at long, first long, last long"))
+    sizes = F.broadcast(local_rows(
+        spark, [(s, n, share[o], taken[n]) for n, (s, o) in enumerate(zip(named, names))],
+        {"name": pa.string()} | dict.fromkeys(("source", "q", "taken"), pa.int64())))
+    table = F.broadcast(local_rows(
+        spark, [(NULL if s is None else s, *rest) for s, *rest in repeat],
+        {"name": pa.string()} | dict.fromkeys(("unit", "at", "first", "last"), pa.int64())))
     every = F.sequence(F.floor(F.col("before") / block).cast("long"),
                        F.floor((F.col("before") + F.col("n") - 1) / block).cast("long"))
     blocks = offsets.select("name", "cell", "before", F.explode(every).alias("block")).join(

@@ -139,12 +139,16 @@ def _profile(rows: int, bands: int):
     return stage
 
 
-def _named(wanted: Bloom):
-    """Arrow stage: the rows whose id the filter holds."""
+def _named(wanted: Bloom, then=None):
+    """Arrow stage: the rows whose id the filter holds, or what ``then`` makes of them."""
 
     def stage(batch: pa.RecordBatch):
         ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).view(U64)
-        yield batch.filter(pa.array(wanted.holds(mix(ids))))
+        rows = batch.filter(pa.array(wanted.holds(mix(ids))))
+        if then is None:
+            yield rows
+        elif rows.num_rows:
+            yield from then(rows)
 
     return stage
 
@@ -437,8 +441,8 @@ def _with_shared(state: DataFrame, docs: DataFrame, percent: int):
     other member of an open bucket has, and drops the members that this proves to have no
     link: the intersection with any partner is at most s, the union at least n + (smallest
     possible partner) - s."""
-    own = written(arrow_stage(_of(docs, state.select("rep")), _shingled,
-                              "rep long, g long, sketch array<long>"), "shingles")
+    own = written(_of(docs, state.select("rep"), _shingled,
+                      "rep long, g long, sketch array<long>"), "shingles")
     named = own.filter("g is not null").select("rep", "g")
     common = named.groupBy("g").agg(F.min("rep").alias("one"), F.max("rep").alias("two")).filter(
         "one <> two").select("g")
@@ -457,11 +461,14 @@ def _hashed_ids(ids: DataFrame) -> DataFrame:
     return arrow_stage(ids, stage, "h long")
 
 
-def _of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def _of(docs: DataFrame, ids: DataFrame, then=None,
+        schema: str = "rep long, text string") -> DataFrame:
     """The rows (rep, text) of the documents named in ``ids`` (rep), and a few others: a
-    filter of fixed size keeps most other texts out of the shuffle."""
+    filter of fixed size keeps most other texts out of the shuffle. ``then`` is an Arrow
+    stage on these rows; in the same one, as two in a row need two Python workers for each
+    core, and executors keep every worker that they once had."""
     wanted = Bloom.build(_hashed_ids(ids.distinct()), "h")
-    return arrow_stage(docs, _named(wanted), "rep long, text string")
+    return arrow_stage(docs, _named(wanted, then), schema)
 
 
 def _confirmed(near: DataFrame, docs: DataFrame, percent: int) -> DataFrame:

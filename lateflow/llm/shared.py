@@ -120,6 +120,16 @@ def arrow_stage(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], fields: dict[str, pa.DataType]) -> DataFrame:
+    """A few rows of the driver as a DataFrame. They go as an Arrow table: from a list, Spark
+    would have Python workers of another kind unpickle them, which executors then keep beside
+    those of the Arrow stages."""
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return spark.createDataFrame(pa.table(
+        [pa.array(list(c), kind) for c, kind in zip(columns, fields.values())],
+        names=list(fields)))
+
+
 def held(column: str, divisor: int):
     """crc32(column as text) mod divisor; null for a null id."""
     return F.crc32(F.col(column).cast("string")) % F.lit(divisor)

@@ -208,7 +208,7 @@ class Machine:
             row = np.ones(len(lane), dtype=np.int32)
             j = i
             while len(lane):
-                node = trie.child[row, bytes_[j, lane]]
+                node = trie.step(row, bytes_[j, lane])
                 j += 1
                 some = node > 0
                 lane, node = lane[some], node[some]

@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-#: bytes handled at a time: bounds the temporary arrays (about 40 bytes for each)
-SEGMENT = 1 << 20
+#: bytes hashed at a time: bounds the temporary arrays (about 40 bytes for each) and the
+#: tables of powers that every Python worker keeps
+SEGMENT = 1 << 16
 #: bytes of text in one slice of rows, as far as whole texts allow
 SLICE = 1 << 20
 
