@@ -2,13 +2,14 @@
 
 import hashlib
 import math
+import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
 from conftest import SF_MID
 
-from lateflow.llm import mixing
+from lateflow.llm import mixing, sharding
 from lateflow.llm.queries import QUERIES
 from lateflow.llm.sharding import BITS, extendible_shards
 
@@ -158,3 +159,56 @@ def test_rows_that_no_bit_parts_overflow_into_pages(spark):
 
 def test_empty_table(spark):
     assert extendible_shards(spark.createDataFrame([], SCHEMA), 10).count() == 0
+
+
+def noted(monkeypatch):
+    """(name, physical plan, table) of each table that the sharding writes."""
+    seen, write = [], sharding.written
+
+    def note(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append((name, plan, write(df, name)))
+        return seen[-1][2]
+
+    monkeypatch.setattr(sharding, "written", note)
+    return seen
+
+
+def test_what_goes_to_executors_grows_with_the_shards_and_not_with_the_cells(spark, monkeypatch):
+    seen = noted(monkeypatch)
+    rows = [(i, "x" * (i * 37 % 190)) for i in range(6000)]
+    df = spark.createDataFrame([(i, t, "s", "a", "b", 1) for i, t in rows], SCHEMA)
+    out = extendible_shards(df, 20_000).collect()
+    shards = len({r["shard"] for r in out})
+    (cells,) = [x.count() for name, _, x in seen if name == "cells"]
+    (directory,) = [x.count() for name, _, x in seen if name == "directory"]
+    assert 30 < shards and 20 * shards < cells and directory <= 4 * shards
+    # prefixes of all lengths, many times the cells, are never sent
+    assert not [p for name, p, _ in seen if name in ("sums", "buckets") and "Broadcast" in p]
+    (plan,) = [p for name, p, _ in seen if name == "directory"]
+    assert not re.search(r"BroadcastExchange(?s:.)*explode", plan)
+
+
+def test_nothing_is_sent_that_has_more_rows_than_allowed(spark, monkeypatch):
+    seen = noted(monkeypatch)
+    monkeypatch.setattr(sharding, "SENT", 0, raising=False)
+    limit = 300
+    plain = [(i, "x" * (i * 37 % 190)) for i in range(400)] + [(None, "\u00e9" * 20), (1000, None)]
+    long = [(i, "y" * 500) for i in range(2000, 2020)]  # over the limit: down to the last bit
+    again = [(7777, "z" * 90)] * 40
+    df = spark.createDataFrame([(i, t, "s", "a", "b", 1) for i, t in plain + long + again],
+                               SCHEMA).repartition(3)
+    shards = extendible_shards(df, limit)
+    seen.append(("shards", shards._jdf.queryExecution().executedPlan().toString(), shards))
+    assert {"cells", "directory", "overflow"} <= {name for name, _, _ in seen}
+    assert not [name for name, p, _ in seen if "Broadcast" in p]
+    out = shards.collect()
+    want = brute_shards(plain + long + again, limit)
+    assert sorted(((r["doc_id"], r["n_bytes"], r["depth"], r["prefix"]) for r in out),
+                  key=str) == sorted((w[:4] for w in want), key=str)
+    sizes = defaultdict(int)
+    for r in out:
+        sizes[r["shard"]] += r["n_bytes"]
+    assert all(r["shard_bytes"] == sizes[r["shard"]] for r in out)
+    assert all(n <= limit or n == 500 for n in sizes.values())
+    assert len({r["shard"] for r in out if r["doc_id"] == 7777}) == 14  # 3 rows a page

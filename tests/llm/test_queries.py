@@ -6,6 +6,7 @@ import corpus_pipeline as P
 import pytest
 from conftest import SF_MID, SF_SMALL
 
+from lateflow.llm import sharding
 from lateflow.llm.queries import QUERIES, SQL
 from lateflow.llm.shared import table, written
 
@@ -74,3 +75,14 @@ def test_shards_keep_the_order_of_the_mix(spark):
         for found in shards.values():  # together, and in order
             assert [p for p, _ in found] == list(range(len(found)))
             assert found == sorted(found, key=lambda x: x[1])
+
+
+def test_the_last_stage_gives_the_same_with_nothing_sent_to_executors(spark, monkeypatch):
+    docs = table(spark, SF_MID, "documents")
+    rows = written(dict(P.STAGES)["mix"](spark, docs, SF_MID), "mix")
+    want = P.assign_shards(spark, rows, SF_MID)
+    monkeypatch.setattr(sharding, "SENT", 0, raising=False)
+    got = P.assign_shards(spark, rows, SF_MID)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.dtypes == want.dtypes and got.columns[:len(docs.columns)] == docs.columns
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count() == docs.count()
