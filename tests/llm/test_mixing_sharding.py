@@ -212,3 +212,20 @@ def test_nothing_is_sent_that_has_more_rows_than_allowed(spark, monkeypatch):
     assert all(r["shard_bytes"] == sizes[r["shard"]] for r in out)
     assert all(n <= limit or n == 500 for n in sizes.values())
     assert len({r["shard"] for r in out if r["doc_id"] == 7777}) == 14  # 3 rows a page
+
+
+def test_columns_that_nobody_asks_for_do_not_move(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SENT", 0, raising=False)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+        out = extendible_shards(docs, 1 << 16).select("doc_id", "shard")
+        assert out.count() == docs.count()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    # only the length is taken of a text; what the exchange moves does not hold it
+    assert "Exchange hashpartitioning" in plan
+    assert not re.search(r"text#\d+ AS |struct\(", plan)
